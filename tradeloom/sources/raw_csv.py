@@ -162,13 +162,11 @@ def load_raw_tables(
 
 
 def load_summary(report: DataFrame) -> DataFrame:
-    def files(status: str) -> Column:
-        matching = F.when(F.col("status") == status, F.col("files")).otherwise(0)
-        return F.coalesce(F.sum(matching), F.lit(0)).cast("long").alias(status)
+    """Number of tables by outcome."""
+
+    def tables(status: str) -> Column:
+        return F.count_if(F.col("status") == status).alias(status)
 
     return report.agg(
-        F.coalesce(F.sum("files"), F.lit(0)).cast("long").alias("total"),
-        files(LOADED),
-        files(SKIPPED),
-        files(ERROR),
+        F.count(F.lit(1)).alias("total"), tables(LOADED), tables(SKIPPED), tables(ERROR)
     )
