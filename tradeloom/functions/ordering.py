@@ -59,7 +59,7 @@ def running_totals(
     each range gets local running totals and the totals of the ranges before it are added.
     """
     w = F.col(weight) if weight else F.lit(1).cast("long")
-    if df.limit(max_window_rows + 1).count() <= max_window_rows:
+    if df.count() <= max_window_rows:
         ordered = Window.partitionBy(*group).orderBy(*order)
         upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn("before", F.sum(w).over(upto) - w).withColumn(

@@ -65,6 +65,7 @@ def export_portfolio(
     specialization: DataFrame,
     complexity: DataFrame,
     *,
+    products: DataFrame | None = None,
     top_n: int = S.TOP_FLOWS,
     by_product: bool = False,
     all_products_known: bool = False,
@@ -72,52 +73,58 @@ def export_portfolio(
     """Tier shares, weighted complexity, product count and top-flow concentration per country-year.
 
     The concentration is over the largest rows, that is, flows of one product to one partner;
-    ``by_product=True`` takes the largest products instead. ``all_products_known=True`` states that
-    ``complexity`` covers each non-NULL product and year of ``specialization`` (as it does when
-    both come from one fact table); the top flows then need no join.
+    ``by_product=True`` takes the largest products instead. ``products`` may give the sums of
+    ``export_value`` and ``export_share`` per country, product and year if they are stored.
+    ``all_products_known=True`` states that ``complexity`` covers each non-NULL product and year of
+    ``specialization`` (as it does when both come from one fact table); the top flows then need no
+    join.
     """
+    if products is None:
+        products = specialization.groupBy("country_id", "product_id", "year").agg(
+            F.sum("export_value").alias("export_value"),
+            F.sum("export_share").alias("export_share"),
+        )
     tiers = complexity.select("product_id", "year", "avg_pci", "complexity_tier")
-    joined = specialization.select(
-        "country_id", "year", "product_id", "export_value", "export_share"
-    ).join(tiers, ["product_id", "year"])
 
     def tier_sum(tier: str):
         return F.sum(
             F.when(F.col("complexity_tier") == tier, F.col("export_value")).otherwise(F.lit(0.0))
         )
 
-    portfolio = joined.groupBy("country_id", "year").agg(
-        tier_sum(S.HIGH).alias("high"),
-        tier_sum(S.MEDIUM_HIGH).alias("medium_high"),
-        tier_sum(S.MEDIUM_LOW).alias("medium_low"),
-        tier_sum(S.LOW).alias("low"),
-        F.sum(F.col("export_share") * F.col("avg_pci")).alias("weighted_complexity"),
-        F.count_distinct("product_id").alias("product_diversity"),
-        F.sum("export_value").alias("exports"),
+    portfolio = (
+        products.join(tiers, ["product_id", "year"])
+        .groupBy("country_id", "year")
+        .agg(
+            tier_sum(S.HIGH).alias("high"),
+            tier_sum(S.MEDIUM_HIGH).alias("medium_high"),
+            tier_sum(S.MEDIUM_LOW).alias("medium_low"),
+            tier_sum(S.LOW).alias("low"),
+            F.sum(F.col("export_share") * F.col("avg_pci")).alias("weighted_complexity"),
+            F.count(F.lit(1)).alias("product_diversity"),
+            F.sum("export_value").alias("exports"),
+        )
     )
 
-    sizes = specialization.select("country_id", "year", "product_id", "export_value")
+    sizes = products if by_product else specialization
+    sizes = sizes.select("country_id", "year", "product_id", "export_value")
     if all_products_known:
         sizes = sizes.filter(F.col("product_id").isNotNull())
     else:
         sizes = sizes.join(tiers.select("product_id", "year"), ["product_id", "year"], "left_semi")
-    if by_product:
-        sizes = sizes.groupBy("country_id", "year", "product_id").agg(
-            F.sum("export_value").alias("export_value")
-        )
     # The rank filter becomes a group limit below the shuffle: each task sends at most top_n rows
     # per country-year. Ties cannot change the sum.
     largest = Window.partitionBy("country_id", "year").orderBy(F.col("export_value").desc())
     top = (
         sizes.withColumn("flow_rank", F.row_number().over(largest))
         .filter(F.col("flow_rank") <= top_n)
-        .groupBy(F.col("country_id").alias("_c"), F.col("year").alias("_y"))
+        .groupBy("country_id", "year")
         .agg(F.sum("export_value").alias("top_exports"))
     )
+    # Both have one row per country-year; aggregating their union pairs NULL countries as well.
+    paired = portfolio.unionByName(top, allowMissingColumns=True).groupBy("country_id", "year")
+    measures = [c for c in portfolio.columns if c not in ("country_id", "year")]
     exports = F.col("exports")
-    return portfolio.join(
-        top, F.col("country_id").eqNullSafe(F.col("_c")) & (F.col("year") == F.col("_y"))
-    ).select(
+    return paired.agg(*[F.max(c).alias(c) for c in [*measures, "top_exports"]]).select(
         "country_id",
         "year",
         ratio(F.col("high"), exports).alias("high_complexity_share"),
@@ -143,7 +150,16 @@ def year_steps(country_year: DataFrame, last_base_year: int | None) -> DataFrame
     return steps
 
 
-def _with_target(base: DataFrame, steps: DataFrame) -> DataFrame:
+def export_totals(rows: DataFrame) -> DataFrame:
+    """Row count, sum and sum of inverses of exports per country, product and year."""
+    return rows.groupBy("country_id", "product_id", "year").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("export_value").alias("value_sum"),
+        F.sum(ratio(F.lit(1.0), F.col("export_value"))).alias("inverse_sum"),
+    )
+
+
+def _with_target(totals: DataFrame, steps: DataFrame) -> DataFrame:
     """Add the next available year's sum and row count to country-product-year totals.
 
     A country-product has one row per year, so the windows are small, and looking one row ahead
@@ -151,7 +167,7 @@ def _with_target(base: DataFrame, steps: DataFrame) -> DataFrame:
     """
     ahead = Window.partitionBy("country_id", "product_id").orderBy("year")
     return (
-        base.withColumn("_next", F.lead("year").over(ahead))
+        totals.withColumn("_next", F.lead("year").over(ahead))
         .withColumn("target_sum", F.lead("value_sum").over(ahead))
         .withColumn("target_rows", F.lead("n_rows").over(ahead))
         .join(
@@ -162,19 +178,12 @@ def _with_target(base: DataFrame, steps: DataFrame) -> DataFrame:
     )
 
 
-def _product_year_totals(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("country_id", "product_id", "year").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("export_value").alias("value_sum"),
-        F.sum(ratio(F.lit(1.0), F.col("export_value"))).alias("inverse_sum"),
-    )
-
-
 def coi_growth_analysis(
     country_year: DataFrame,
     specialization: DataFrame,
     product_year: DataFrame,
     *,
+    totals: DataFrame | None = None,
     last_base_year: int | None = S.LAST_BASE_YEAR,
     n_tiles: int = S.N_TILES,
     by_product: bool = False,
@@ -189,7 +198,7 @@ def coi_growth_analysis(
 
     * With S2 and n2 the sum and number of target rows, the pairs of one base row add up to
       S2 / e1 - n2. Hence per country, product and year only the row count, the value sum and the
-      sum of 1 / e1 are needed, and no pair is ever formed.
+      sum of 1 / e1 are needed, and no pair is ever formed. ``totals`` may give these stored.
     * Rows of one product are neighbours in the quartile order, so the running row counts of
       products give the quartile of all its rows, except for the at most ``n_tiles - 1`` products
       per year that straddle a boundary.
@@ -197,30 +206,36 @@ def coi_growth_analysis(
       interchangeable; that is also how ties in ``avg_pci`` are ordered.
 
     ``by_product=True`` sums each country's product over partners before growth is taken, so that
-    it no longer depends on the number of partners. ``specialization`` and ``product_year`` should
-    be cheap to read twice.
+    it no longer depends on the number of partners.
     """
     rows = specialization.filter(F.col("product_id").isNotNull()).select(
         "country_id", "product_id", "year", "export_value"
     )
+    if totals is None:
+        totals = stored(export_totals(rows), "export-totals")
+    totals = totals.filter(F.col("product_id").isNotNull())
     if by_product:
-        rows = rows.groupBy("country_id", "product_id", "year").agg(
-            F.sum("export_value").alias("export_value")
+        totals = totals.select(
+            "country_id",
+            "product_id",
+            "year",
+            F.lit(1).cast("long").alias("n_rows"),
+            "value_sum",
+            ratio(F.lit(1.0), F.col("value_sum")).alias("inverse_sum"),
+        )
+        rows = totals.select(
+            "country_id", "product_id", "year", F.col("value_sum").alias("export_value")
         )
     steps = year_steps(country_year, last_base_year)
-    products = product_ranges(rows, product_year, n_tiles, max_window_rows=max_window_rows)
+    products = product_ranges(totals, product_year, n_tiles, max_window_rows=max_window_rows)
 
     upper, lower = n_tiles, n_tiles - 1
     tile = F.col("first_tile")
+    in_one_tile = products.filter((tile == F.col("last_tile")) & (tile >= lower))
     pair_sum = F.col("target_sum") * F.col("inverse_sum") - F.col("target_rows") * F.col("n_rows")
     whole = (
-        _with_target(_product_year_totals(rows), steps)
-        .join(
-            products.filter(F.col("first_tile") == F.col("last_tile"))
-            .filter(tile >= lower)
-            .select("product_id", "year", "first_tile"),
-            ["product_id", "year"],
-        )
+        _with_target(totals, steps)
+        .join(in_one_tile.select("product_id", "year", "first_tile"), ["product_id", "year"])
         .select(
             "country_id",
             "base_year",
@@ -229,7 +244,7 @@ def coi_growth_analysis(
             F.when(tile == lower, pair_sum).alias("medium"),
         )
     )
-    split = _straddling_growth(rows, products, steps, n_tiles, max_window_rows)
+    split = _straddling_growth(rows, totals, products, steps, n_tiles, max_window_rows)
     growth = (
         whole.unionByName(split)
         .groupBy("country_id", "base_year", "target_year")
@@ -256,7 +271,7 @@ def coi_growth_analysis(
 
 
 def product_ranges(
-    rows: DataFrame,
+    totals: DataFrame,
     product_year: DataFrame,
     n_tiles: int,
     *,
@@ -264,8 +279,8 @@ def product_ranges(
 ) -> DataFrame:
     """First and last quartile of each product's export rows within its year."""
     counts = (
-        rows.groupBy("product_id", "year")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        totals.groupBy("product_id", "year")
+        .agg(F.sum("n_rows").alias("n_rows"))
         .join(product_year.select("product_id", "year", "avg_pci"), ["product_id", "year"])
     )
     placed = running_totals(
@@ -290,7 +305,12 @@ def product_ranges(
 
 
 def _straddling_growth(
-    rows: DataFrame, products: DataFrame, steps: DataFrame, n_tiles: int, max_window_rows: int
+    rows: DataFrame,
+    totals: DataFrame,
+    products: DataFrame,
+    steps: DataFrame,
+    n_tiles: int,
+    max_window_rows: int,
 ) -> DataFrame:
     """Growth terms of the products whose rows lie in more than one quartile."""
     # At most n_tiles - 1 products per year.
@@ -300,10 +320,10 @@ def _straddling_growth(
         F.col("before").alias("product_before"),
         F.col("total").alias("year_rows"),
     )
-    their_rows = rows.join(
+    their_totals = totals.join(
         F.broadcast(straddling.select("product_id").distinct()), "product_id", "left_semi"
     )
-    targets = _with_target(_product_year_totals(their_rows), steps).select(
+    targets = _with_target(their_totals, steps).select(
         "country_id", "product_id", "year", "base_year", "target_year", "target_sum", "target_rows"
     )
     copies = (

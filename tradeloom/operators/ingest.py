@@ -47,17 +47,22 @@ def unmatched_rows(
     fresh = clean_source(raw, min_year=min_year)
     # One row per year: where ``existing`` is partitioned by year, other years are not read.
     years = _valid_rows(raw, min_year).select("year").distinct()
-    # One row per key: the join then needs no second shuffle of this side.
+    # One row per key: the join needs no second shuffle of this side and adds no rows.
     keys = (
         existing.join(F.broadcast(years), "year", "left_semi")
         .select(*[F.col(k).alias(f"_{k}") for k in S.FACT_KEYS])
         .distinct()
+        .withColumn("_matched", F.lit(True))
     )
     same = F.lit(True)
     for k in S.FACT_KEYS:
         left, right = F.col(k), F.col(f"_{k}")
         same = same & (left.eqNullSafe(right) if null_safe else left == right)
-    return fresh.join(keys, same, "left_anti")
+    # An anti-join would be moved below the distinct of ``fresh``; all copies of a row would then
+    # meet in one task of the join.
+    return (
+        fresh.join(keys, same, "left").filter(F.col("_matched").isNull()).select(*S.FACT_COLUMNS)
+    )
 
 
 def merge_combined(

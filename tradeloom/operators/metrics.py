@@ -6,45 +6,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import ratio
 
 
-def country_year_metrics(fact: DataFrame) -> DataFrame:
+def country_product_year(fact: DataFrame) -> DataFrame:
+    """Totals over partners per country, product and year: the base of most metric tables.
+
+    It is the one large shuffle that these tables share, so a pipeline stores it and passes it on
+    as ``by_product``. Rows combine on the map side, so no country or product, however large,
+    sends more than its distinct keys.
+    """
+    exports = F.col("export_value")
+    return fact.groupBy("country_id", "product_id", "year").agg(
+        F.max("eci").alias("eci"),
+        F.max("coi").alias("coi"),
+        F.sum("pci").alias("pci_sum"),
+        F.count("pci").alias("pci_rows"),
+        F.sum(exports).alias("export_value"),
+        F.sum("import_value").alias("import_value"),
+        F.sum(exports - F.col("import_value")).alias("trade_balance"),
+        F.count_if(exports > 0).alias("export_rows"),
+        F.sum(F.when(exports > 0, F.lit(1.0) / exports)).alias("inverse_exports"),
+    )
+
+
+def country_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None) -> DataFrame:
     """Indices, trade totals and distinct product and partner counts per country and year.
 
     Two distinct counts in one aggregate would expand every fact row three times. Instead the fact
     is reduced once by product (carrying the sums) and once by partner, and both reductions meet
-    in one small aggregate. The reductions combine on the map side, so a country that holds a
-    large part of all rows is shuffled only as its distinct products and partners.
+    in one small aggregate.
     """
-    by_product = fact.groupBy("country_id", "year", "product_id").agg(
-        F.max("eci").alias("eci"),
-        F.max("coi").alias("coi"),
-        F.sum("export_value").alias("exports"),
-        F.sum("import_value").alias("imports"),
-        F.sum(F.col("export_value") - F.col("import_value")).alias("balance"),
+    if by_product is None:
+        by_product = country_product_year(fact)
+    sums = by_product.select(
+        "country_id", "year", "product_id", "eci", "coi", "export_value", "import_value",
+        "trade_balance",
     )
     by_partner = fact.select("country_id", "year", "partner_country_id").distinct()
     return (
-        by_product.unionByName(by_partner, allowMissingColumns=True)
+        sums.unionByName(by_partner, allowMissingColumns=True)
         .groupBy("country_id", "year")
         .agg(
             F.max("eci").alias("eci"),
             F.max("coi").alias("coi"),
-            F.sum("exports").alias("total_exports"),
-            F.sum("imports").alias("total_imports"),
-            F.sum("balance").alias("trade_balance"),
+            F.sum("export_value").alias("total_exports"),
+            F.sum("import_value").alias("total_imports"),
+            F.sum("trade_balance").alias("trade_balance"),
             F.count("product_id").alias("product_count"),
             F.count("partner_country_id").alias("partner_count"),
         )
     )
 
 
-def product_year_metrics(fact: DataFrame) -> DataFrame:
-    """Mean complexity, world exports and number of reporting countries per product and year."""
-    return fact.groupBy("product_id", "year").agg(
-        F.avg("pci").alias("avg_pci"),
+def product_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None) -> DataFrame:
+    """Mean complexity, world exports and number of reporting countries per product and year.
+
+    The mean is over fact rows, so a country counts once per partner.
+    """
+    if by_product is None:
+        by_product = country_product_year(fact)
+    return by_product.groupBy("product_id", "year").agg(
+        ratio(F.sum("pci_sum"), F.sum("pci_rows")).alias("avg_pci"),
         F.sum("export_value").alias("global_export_value"),
-        F.count_distinct("country_id").alias("exporting_countries"),
+        F.count("country_id").alias("exporting_countries"),
     )
 
 
@@ -78,6 +103,36 @@ def product_export_totals(fact: DataFrame) -> DataFrame:
     )
 
 
+def positive_exports(fact: DataFrame) -> DataFrame:
+    return fact.filter(F.col("export_value") > 0)
+
+
+def stored_export_totals(by_product: DataFrame) -> DataFrame:
+    """Count, sum and sum of inverses of export rows, taken from ``country_product_year``."""
+    return by_product.filter(F.col("export_rows") > 0).select(
+        "country_id",
+        "product_id",
+        "year",
+        F.col("export_rows").alias("n_rows"),
+        F.col("export_value").alias("value_sum"),
+        F.col("inverse_exports").alias("inverse_sum"),
+    )
+
+
+def with_country_share(rows: DataFrame, country_totals: DataFrame) -> DataFrame:
+    """Add ``export_share``, the row's part of its country's exports of the year."""
+    totals = country_totals.select(
+        F.col("country_id").alias("_c"), F.col("year").alias("_y"), "country_total"
+    )
+    # Null-safe, as NULL is one group of a window too.
+    same = F.col("country_id").eqNullSafe(F.col("_c")) & (F.col("year") == F.col("_y"))
+    return (
+        rows.join(totals, same)
+        .withColumn("export_share", F.col("export_value") / F.col("country_total"))
+        .drop("_c", "_y", "country_total")
+    )
+
+
 def export_specialization(
     fact: DataFrame,
     *,
@@ -90,30 +145,20 @@ def export_specialization(
     twice and put each country-year in one task. Stored totals may be passed in; Spark then knows
     their size and broadcasts them when small, and a hot key of the fact is split by AQE when not.
     """
-    rows = fact.filter(F.col("export_value") > 0).select(
+    rows = positive_exports(fact).select(
         "country_id", "product_id", "year", "export_value", "pci"
     )
     by_country = country_totals if country_totals is not None else country_export_totals(fact)
     by_product = product_totals if product_totals is not None else product_export_totals(fact)
-    c = by_country.select(
-        F.col("country_id").alias("_c"), F.col("year").alias("_cy"), "country_total"
+    totals = by_product.select(
+        F.col("product_id").alias("_p"), F.col("year").alias("_y"), "product_total"
     )
-    p = by_product.select(
-        F.col("product_id").alias("_p"), F.col("year").alias("_py"), "product_total"
-    )
-    # Null-safe, as NULL is one group of a window too.
+    same = F.col("product_id").eqNullSafe(F.col("_p")) & (F.col("year") == F.col("_y"))
     return (
-        rows.join(c, F.col("country_id").eqNullSafe(F.col("_c")) & (F.col("year") == F.col("_cy")))
-        .join(p, F.col("product_id").eqNullSafe(F.col("_p")) & (F.col("year") == F.col("_py")))
-        .select(
-            "country_id",
-            "product_id",
-            "year",
-            "export_value",
-            "pci",
-            (F.col("export_value") / F.col("country_total")).alias("export_share"),
-            (F.col("export_value") / F.col("product_total")).alias("global_market_share"),
-        )
+        with_country_share(rows, by_country)
+        .join(totals, same)
+        .withColumn("global_market_share", F.col("export_value") / F.col("product_total"))
+        .drop("_p", "_y", "product_total")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import complexity, ingest, metrics, views
 from ..sources import tables
+from ..sources.shared import stored
 
 COMBINED = "combined_trade_data"
 
@@ -30,8 +31,7 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 
     A metric table is read back before the next step uses it, so that joins are planned from the
     size of its files. Metric tables of fact size (flows, specialization) are written as well, for
-    readers of the database; the steps here derive them again from the fact, which is cheaper than
-    reading their copies.
+    readers of the database; the steps here start from the fact or from its totals by product.
     """
     fact = tables.fact_in(spark, f"{database}.{COMBINED}")
 
@@ -39,37 +39,54 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
         return tables.overwrite_table(df, f"{database}.{name}")
 
     built: dict[str, DataFrame] = {}
+    by_product = stored(metrics.country_product_year(fact), "country-product-year")
     country_year = built["country_year_metrics"] = keep(
-        "country_year_metrics", metrics.country_year_metrics(fact)
+        "country_year_metrics", metrics.country_year_metrics(fact, by_product=by_product)
     )
     product_year = built["product_year_metrics"] = keep(
-        "product_year_metrics", metrics.product_year_metrics(fact)
+        "product_year_metrics", metrics.product_year_metrics(fact, by_product=by_product)
     )
     flows = metrics.bilateral_flows(fact)
     built["bilateral_flows"] = keep("bilateral_flows", flows)
     # Exports are never negative, so the totals over positive rows are those of the metric tables.
-    specialization = metrics.export_specialization(
-        fact,
-        country_totals=country_year.withColumnRenamed("total_exports", "country_total"),
-        product_totals=product_year.withColumnRenamed("global_export_value", "product_total"),
+    country_totals = country_year.withColumnRenamed("total_exports", "country_total")
+    built["export_specialization"] = keep(
+        "export_specialization",
+        metrics.export_specialization(
+            fact,
+            country_totals=country_totals,
+            product_totals=product_year.withColumnRenamed("global_export_value", "product_total"),
+        ),
     )
-    built["export_specialization"] = keep("export_specialization", specialization)
     dynamics = built["complexity_dynamics"] = keep(
         "complexity_dynamics", metrics.complexity_dynamics(country_year)
     )
     tiers = built["product_complexity"] = keep(
         "product_complexity", complexity.product_complexity(product_year)
     )
+    exports = metrics.positive_exports(fact)
     portfolio = built["export_portfolio"] = keep(
         "export_portfolio",
-        complexity.export_portfolio(specialization, tiers, all_products_known=True),
+        complexity.export_portfolio(
+            exports,
+            tiers,
+            products=metrics.with_country_share(
+                metrics.positive_exports(by_product), country_totals
+            ),
+            all_products_known=True,
+        ),
     )
     diversification = built["partner_diversification"] = keep(
         "partner_diversification", metrics.partner_diversification(flows)
     )
     growth = built["coi_growth_analysis"] = keep(
         "coi_growth_analysis",
-        complexity.coi_growth_analysis(country_year, specialization, product_year),
+        complexity.coi_growth_analysis(
+            country_year,
+            exports,
+            product_year,
+            totals=metrics.stored_export_totals(by_product),
+        ),
     )
     built["v_global_yearly_metrics"] = keep(
         "v_global_yearly_metrics", views.v_global_yearly_metrics(country_year)

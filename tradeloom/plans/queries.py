@@ -187,8 +187,8 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "combined_trade_data": combined,
     "merge_combined": partial(merged, null_safe=False),
     "merge_combined_null_safe": partial(merged, null_safe=True),
-    "country_year_metrics": lambda w: metrics.country_year_metrics(w.fact),
-    "product_year_metrics": lambda w: metrics.product_year_metrics(w.fact),
+    "country_year_metrics": Workbench.new_country_year,
+    "product_year_metrics": Workbench.new_product_year,
     "bilateral_flows": lambda w: w.flows,
     "export_specialization": lambda w: rounded(
         w.specialization, ["export_share", "global_market_share"], 9
@@ -198,7 +198,7 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "product_complexity": lambda w: complexity.product_complexity(w.product_year),
     "export_portfolio": lambda w: rounded(w.new_portfolio(), PORTFOLIO),
     "export_portfolio_by_product": lambda w: rounded(
-        complexity.export_portfolio(w.specialization, w.complexity, by_product=True), PORTFOLIO
+        w.new_portfolio(by_product=True), PORTFOLIO
     ),
     "partner_diversification": lambda w: rounded(
         metrics.partner_diversification(w.flows), ["partner_hhi"]

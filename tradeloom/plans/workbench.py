@@ -47,27 +47,39 @@ class Workbench:
     def raw(self) -> tuple[DataFrame, DataFrame]:
         return sample.raw_tables(self.fact)
 
+    @property
+    def by_product(self) -> DataFrame:
+        return self._stored("by_product", lambda: metrics.country_product_year(self.fact))
+
     @property
     def country_year(self) -> DataFrame:
-        return self._stored("country_year", lambda: metrics.country_year_metrics(self.fact))
+        return self._stored("country_year", self.new_country_year)
+
+    def new_country_year(self) -> DataFrame:
+        return metrics.country_year_metrics(self.fact, by_product=self.by_product)
 
     @property
     def product_year(self) -> DataFrame:
-        return self._stored("product_year", lambda: metrics.product_year_metrics(self.fact))
+        return self._stored("product_year", self.new_product_year)
+
+    def new_product_year(self) -> DataFrame:
+        return metrics.product_year_metrics(self.fact, by_product=self.by_product)
 
     @property
     def flows(self) -> DataFrame:
         return metrics.bilateral_flows(self.fact)
 
     @property
-    def specialization(self) -> DataFrame:
-        """Not stored: it has the size of the fact, and its joins are with small stored tables.
+    def country_totals(self) -> DataFrame:
+        """Exports are never negative, so the total over positive rows is that over all."""
+        return self.country_year.withColumnRenamed("total_exports", "country_total")
 
-        Exports are never negative, so the totals are those of the metric tables.
-        """
+    @property
+    def specialization(self) -> DataFrame:
+        """Not stored: it has the size of the fact, and its joins are with small stored tables."""
         return metrics.export_specialization(
             self.fact,
-            country_totals=self.country_year.withColumnRenamed("total_exports", "country_total"),
+            country_totals=self.country_totals,
             product_totals=self.product_year.withColumnRenamed(
                 "global_export_value", "product_total"
             ),
@@ -87,9 +99,16 @@ class Workbench:
     def portfolio(self) -> DataFrame:
         return self._stored("portfolio", self.new_portfolio)
 
-    def new_portfolio(self) -> DataFrame:
+    def new_portfolio(self, **options) -> DataFrame:
+        products = metrics.positive_exports(self.by_product).select(
+            "country_id", "product_id", "year", "export_value"
+        )
         return complexity.export_portfolio(
-            self.specialization, self.complexity, all_products_known=True
+            metrics.positive_exports(self.fact),
+            self.complexity,
+            products=metrics.with_country_share(products, self.country_totals),
+            all_products_known=True,
+            **options,
         )
 
     @property
@@ -104,13 +123,17 @@ class Workbench:
 
     def new_growth(self, **options) -> DataFrame:
         return complexity.coi_growth_analysis(
-            self.country_year, self.specialization, self.product_year, **options
+            self.country_year,
+            metrics.positive_exports(self.fact),
+            self.product_year,
+            totals=metrics.stored_export_totals(self.by_product),
+            **options,
         )
 
     @property
     def tier_trade(self) -> DataFrame:
         return self._stored(
-            "tier_trade", lambda: reports.tier_year_trade(self.fact, self.complexity)
+            "tier_trade", lambda: reports.tier_year_trade(self.by_product, self.complexity)
         )
 
     @property
@@ -167,7 +190,7 @@ class Workbench:
 
     def new_leaders(self) -> DataFrame:
         return reports.v_product_complexity_leaders(
-            self.fact,
+            self.by_product,
             self.complexity,
             sample.product_categories(self.spark, self.folder),
             self.tier_trade,

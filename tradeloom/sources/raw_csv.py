@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .shared import path_exists
 
 LOADED, SKIPPED, ERROR = "loaded", "skipped", "error"
 UPLOADED, ALREADY_EXISTS = "uploaded", "already_exists"
@@ -103,10 +104,7 @@ def land_csv(
         .agg(F.sum("length").alias("length"))
         .collect()
     }
-    try:
-        present = {row["table_name"] for row in _table_sizes(spark, landing)}
-    except PySparkException:
-        present = set()  # the landing folder does not exist yet
+    present = _table_sizes(spark, landing)
 
     def land(name: str) -> tuple[str, str]:
         if name in present:
@@ -121,16 +119,19 @@ def land_csv(
 
     with ThreadPoolExecutor(max_workers) as pool:
         status = dict(pool.map(land, sorted(found)))
-    landed = {r["table_name"]: r["length"] for r in _table_sizes(spark, landing)} if found else {}
+    landed = _table_sizes(spark, landing)
     return spark.createDataFrame(
         [(name, status[name], found[name], landed.get(name)) for name in sorted(found)],
         LANDING_SCHEMA,
     )
 
 
-def _table_sizes(spark: SparkSession, landing: str):
-    files = list_raw_files(spark, landing)
-    return files.groupBy("table_name").agg(F.sum("length").alias("length")).collect()
+def _table_sizes(spark: SparkSession, landing: str) -> dict[str, int]:
+    """Bytes per landed table; none for a landing folder that does not exist yet."""
+    if not path_exists(spark, landing):
+        return {}
+    sizes = list_raw_files(spark, landing).groupBy("table_name").agg(F.sum("length"))
+    return {name: length for name, length in sizes.collect()}
 
 
 def load_raw_tables(

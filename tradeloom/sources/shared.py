@@ -8,33 +8,44 @@ that size is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+_folders: dict[str, str] = {}
+
+
+def _file_system(spark: SparkSession, folder: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, folder: str) -> bool:
+    path, files = _file_system(spark, folder)
+    return files.exists(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can read, private to this application.
+    """Folder that every executor can read, private to this application and removed at its end.
 
-    ``spark.checkpoint.dir`` names it. Where it is unset, a local master gets a temporary folder;
-    on a cluster that would not be visible to the executors, so it is an error there.
+    ``spark.checkpoint.dir`` names its parent. Where that is unset, a local master gets a temporary
+    folder; on a cluster that would not be visible to the executors, so it is an error there.
     """
-    global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-        if _local_folder is None:
-            _local_folder = tempfile.mkdtemp(prefix="tradeloom-")
-            atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
-        configured = _local_folder
-    return f"{configured.rstrip('/')}/tradeloom-{spark.sparkContext.applicationId}"
+    application = spark.sparkContext.applicationId
+    if application not in _folders:
+        parent = spark.conf.get("spark.checkpoint.dir", None)
+        if not parent:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
+            parent = tempfile.mkdtemp(prefix="tradeloom-")
+        folder = f"{parent.rstrip('/')}/tradeloom-{application}-{uuid.uuid4().hex[:8]}"
+        path, files = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[application] = folder
+    return _folders[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
