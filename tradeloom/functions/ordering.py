@@ -48,18 +48,20 @@ def running_totals(
     order: Sequence[Column],
     weight: str | None = None,
     *,
+    max_rows: int | None = None,
     max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``before`` (weight of all earlier rows of the group) and ``total`` (weight of the group).
 
     ``order`` must be total within a group. ``weight`` is a bigint column, one per row by default.
-    ``df`` is counted first, so it should be a stored table, for which the count comes from the
-    parquet footers. A small table is done with one window per group. For a larger one the rows
-    are range partitioned on (group, order), which splits a group of any size over many tasks;
-    each range gets local running totals and the totals of the ranges before it are added.
+    ``df`` is counted first unless ``max_rows`` bounds its size, so it should be a stored table,
+    for which the count comes from the parquet footers. A small table is done with one window per
+    group. For a larger one the rows are range partitioned on (group, order), which splits a group
+    of any size over many tasks; each range gets local running totals and the totals of the ranges
+    before it are added.
     """
     w = F.col(weight) if weight else F.lit(1).cast("long")
-    if df.count() <= max_window_rows:
+    if (df.count() if max_rows is None else max_rows) <= max_window_rows:
         ordered = Window.partitionBy(*group).orderBy(*order)
         upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn("before", F.sum(w).over(upto) - w).withColumn(

@@ -23,10 +23,12 @@ def product_complexity(
     rows with a larger value, so it is found on the distinct values with their frequencies. Pass a
     stored ``product_year``: it is counted to choose between a window per year and ranges.
     """
+    rows = product_year.count()
     placed = running_totals(
         product_year,
         ["year"],
         [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc_nulls_first()],
+        max_rows=rows,
         max_window_rows=max_window_rows,
     ).select(
         "product_id",
@@ -40,6 +42,7 @@ def product_complexity(
         ["year"],
         [F.col("global_export_value").desc_nulls_last()],
         "n",
+        max_rows=rows,
         max_window_rows=max_window_rows,
     ).select(
         F.col("year").alias("_year"),

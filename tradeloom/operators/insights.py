@@ -125,12 +125,17 @@ def export_portfolio_for_year(portfolio_view: DataFrame, year: int) -> DataFrame
     return portfolio_view.filter(F.col("year") == year).orderBy(F.col("eci").desc(), "country_id")
 
 
+def of_countries(rows: DataFrame, countries: Sequence[int] | DataFrame) -> DataFrame:
+    """Rows of the listed countries, or of those in the ``country_id`` column of a DataFrame."""
+    if isinstance(countries, DataFrame):
+        return rows.join(countries.select("country_id"), "country_id", "left_semi")
+    return rows.filter(F.col("country_id").isin(*countries))
+
+
 def export_portfolio_for_countries(
-    portfolio_view: DataFrame, year: int, countries: Sequence[int]
+    portfolio_view: DataFrame, year: int, countries: Sequence[int] | DataFrame
 ) -> DataFrame:
-    return export_portfolio_for_year(
-        portfolio_view.filter(F.col("country_id").isin(*countries)), year
-    )
+    return export_portfolio_for_year(of_countries(portfolio_view, countries), year)
 
 
 def shares_long(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -163,12 +168,12 @@ def partner_diversification_for_year(diversification_view: DataFrame, year: int)
 
 
 def diversification_score(rows: DataFrame) -> DataFrame:
-    """Mean of diversification (1 - HHI) and complexity scaled to 0..1 over the given rows.
+    """Mean of diversification (1 - HHI) and complexity scaled to 0..1 within the year.
 
-    The rows are the countries of one year. The combined score is NULL when all have the same
-    index.
+    The combined score is NULL in a year in which all countries have the same index.
     """
-    low, high = F.min("eci").over(Window.partitionBy()), F.max("eci").over(Window.partitionBy())
+    countries = Window.partitionBy("year")
+    low, high = F.min("eci").over(countries), F.max("eci").over(countries)
     return (
         rows.withColumn("diversification_score", F.lit(1.0) - F.col("partner_hhi"))
         .withColumn("eci_scaled", ratio(F.col("eci") - low, high - low))
@@ -286,8 +291,10 @@ def top_ranked_countries(evolution: DataFrame, n: int = 16) -> DataFrame:
     )
 
 
-def portfolio_evolution_for_countries(evolution: DataFrame, countries: Sequence[int]) -> DataFrame:
-    return evolution.filter(F.col("country_id").isin(*countries)).orderBy("year", "country_id")
+def portfolio_evolution_for_countries(
+    evolution: DataFrame, countries: Sequence[int] | DataFrame
+) -> DataFrame:
+    return of_countries(evolution, countries).orderBy("year", "country_id")
 
 
 def evolution_long(evolution_rows: DataFrame, *, with_rank: bool = True) -> DataFrame:
@@ -301,9 +308,7 @@ def latest_rank(evolution_rows: DataFrame) -> DataFrame:
 
 def latest_eci(evolution_rows: DataFrame) -> DataFrame:
     """Index text of the countries that have data in the latest year of all given rows."""
-    latest = F.max("year").over(Window.partitionBy())
-    return (
-        evolution_rows.select("country_id", "year", "eci", latest.alias("latest"))
-        .filter(F.col("year") == F.col("latest"))
-        .select("country_id", "year", fixed_text(F.col("eci")).alias("eci_text"))
+    latest = evolution_rows.agg(F.max("year").alias("year"))  # one row
+    return evolution_rows.join(F.broadcast(latest), "year", "left_semi").select(
+        "country_id", "year", fixed_text(F.col("eci")).alias("eci_text")
     )

@@ -108,70 +108,78 @@ RELATIONS = {
                             AS export_rank
               FROM product_year)""",
     "portfolio_rows": """
-        SELECT country_id, year, s.product_id, export_share, avg_pci, complexity_tier,
+        SELECT country_id, year, product_id, export_share, avg_pci, complexity_tier AS tier,
                export_value,
                row_number() OVER (PARTITION BY country_id, year ORDER BY export_value DESC)
-                   AS flow_rank
-        FROM specialization s JOIN complexity USING (product_id, year)""",
+                   AS place
+        FROM specialization JOIN complexity USING (product_id, year)""",
     "product_sums": """
         SELECT country_id, year, product_id, sum(export_value) AS export_value,
                row_number() OVER (PARTITION BY country_id, year ORDER BY sum(export_value) DESC)
-                   AS product_rank
+                   AS place
         FROM portfolio_rows GROUP BY country_id, year, product_id""",
-    "portfolio": """
-        SELECT country_id, year,
-               sum(CASE WHEN complexity_tier = 'High Complexity' THEN export_value ELSE 0 END)
-                   / sum(export_value) AS high_complexity_share,
-               sum(CASE WHEN complexity_tier = 'Medium-High Complexity' THEN export_value
-                        ELSE 0 END) / sum(export_value) AS medium_high_share,
-               sum(CASE WHEN complexity_tier = 'Medium-Low Complexity' THEN export_value
-                        ELSE 0 END) / sum(export_value) AS medium_low_share,
-               sum(CASE WHEN complexity_tier = 'Low Complexity' THEN export_value ELSE 0 END)
-                   / sum(export_value) AS low_complexity_share,
+    "portfolio_sums": """
+        SELECT country_id, year, sum(export_value) AS exports,
+               sum(export_value) FILTER (WHERE tier = 'High Complexity') AS high,
+               sum(export_value) FILTER (WHERE tier = 'Medium-High Complexity') AS medium_high,
+               sum(export_value) FILTER (WHERE tier = 'Medium-Low Complexity') AS medium_low,
+               sum(export_value) FILTER (WHERE tier = 'Low Complexity') AS low,
+               sum(export_value) FILTER (WHERE place <= 10) AS top,
                sum(export_share * avg_pci) AS weighted_complexity,
-               count(DISTINCT product_id) AS product_diversity,
-               sum(CASE WHEN flow_rank <= 10 THEN export_value ELSE 0 END) / sum(export_value)
-                   AS top10_concentration
-        FROM portfolio_rows GROUP BY country_id, year""",
+               count(DISTINCT product_id) AS product_diversity
+        FROM portfolio_rows GROUP BY ALL""",
+    "portfolio": """
+        SELECT country_id, year, coalesce(high, 0) / exports AS high_complexity_share,
+               coalesce(medium_high, 0) / exports AS medium_high_share,
+               coalesce(medium_low, 0) / exports AS medium_low_share,
+               coalesce(low, 0) / exports AS low_complexity_share,
+               weighted_complexity, product_diversity, top / exports AS top10_concentration
+        FROM portfolio_sums""",
+    "partner_sums": """
+        SELECT exporter_id AS country_id, year, importer_id, sum(export_value) AS exports
+        FROM flows GROUP BY ALL""",
+    "partner_parts": """
+        SELECT country_id, year, importer_id,
+               exports / sum(exports) OVER (PARTITION BY country_id, year) AS part
+        FROM partner_sums""",
+    "concentrations": """
+        SELECT country_id, year, count(*) AS partner_count, sum(part * part) AS partner_hhi
+        FROM partner_parts GROUP BY ALL""",
     "diversification": """
-        SELECT country_id, year, count(DISTINCT partner_id) AS partner_count,
-               sum(squared_share) AS partner_hhi,
-               CASE WHEN sum(squared_share) < 0.15e0 THEN 'Highly Diversified'
-                    WHEN sum(squared_share) < 0.25e0 THEN 'Moderately Diversified'
-                    WHEN sum(squared_share) < 0.45e0 THEN 'Moderately Concentrated'
-                    ELSE 'Highly Concentrated' END AS concentration_category
-        FROM (SELECT exporter_id AS country_id, year, importer_id AS partner_id,
-                     power(sum(export_value) / sum(sum(export_value))
-                           OVER (PARTITION BY exporter_id, year), 2) AS squared_share
-              FROM flows GROUP BY exporter_id, year, importer_id)
-        GROUP BY country_id, year""",
-    "targets": """
-        SELECT b.year AS base_year, min(m.year) AS target_year
-        FROM (SELECT DISTINCT year FROM country_year WHERE year < 2022) b
-        CROSS JOIN country_year m WHERE m.year > b.year GROUP BY b.year""",
+        SELECT *, CASE WHEN partner_hhi >= 0.45e0 THEN 'Highly Concentrated'
+                       WHEN partner_hhi >= 0.25e0 THEN 'Moderately Concentrated'
+                       WHEN partner_hhi >= 0.15e0 THEN 'Moderately Diversified'
+                       ELSE 'Highly Diversified' END AS concentration_category
+        FROM concentrations""",
+    "year_steps": """
+        SELECT base_year, (SELECT min(year) FROM country_year WHERE year > base_year)
+                              AS target_year
+        FROM (SELECT DISTINCT year AS base_year FROM country_year)""",
     "tiled": """
         SELECT s.country_id, s.year, s.product_id, s.export_value,
                ntile(4) OVER (PARTITION BY s.year
                               ORDER BY p.avg_pci NULLS FIRST, s.product_id,
                                        s.country_id NULLS FIRST, s.export_value) AS tile
         FROM specialization s JOIN product_year p USING (product_id, year)""",
+    "pairs": """
+        SELECT a.country_id, base_year, target_year, a.tile,
+               (b.export_value - a.export_value) / a.export_value AS change
+        FROM tiled a
+        JOIN year_steps ON a.year = base_year AND base_year < 2022
+        JOIN tiled b ON b.country_id = a.country_id AND b.product_id = a.product_id
+                    AND b.year = target_year""",
     "growth_sums": """
-        SELECT c.country_id, t.base_year, c.coi, t.target_year,
-               sum(CASE WHEN h.tile = 4
-                        THEN (h2.export_value - h.export_value) / h.export_value END) AS high,
-               sum(CASE WHEN h.tile = 3
-                        THEN (h2.export_value - h.export_value) / h.export_value END) AS medium
-        FROM country_year c JOIN targets t ON c.year = t.base_year
-        LEFT JOIN tiled h ON c.country_id = h.country_id AND c.year = h.year
-        LEFT JOIN tiled h2 ON h.country_id = h2.country_id AND h.product_id = h2.product_id
-                          AND h2.year = t.target_year
-        GROUP BY c.country_id, t.base_year, c.coi, t.target_year""",
+        SELECT country_id, base_year, target_year, sum(change) FILTER (WHERE tile = 4) AS high,
+               sum(change) FILTER (WHERE tile = 3) AS medium
+        FROM pairs GROUP BY ALL""",
     "growth": """
-        SELECT country_id, base_year, coi,
-               ntile(4) OVER (PARTITION BY base_year ORDER BY coi NULLS FIRST, country_id)
+        SELECT g.country_id, base_year, coi,
+               ntile(4) OVER (PARTITION BY base_year ORDER BY coi NULLS FIRST, g.country_id)
                    AS coi_quartile,
                high AS high_complexity_growth, medium AS medium_high_growth, target_year
-        FROM growth_sums WHERE high IS NOT NULL""",
+        FROM growth_sums g
+        JOIN country_year c ON c.country_id = g.country_id AND c.year = base_year
+        WHERE high IS NOT NULL""",
     "product_tiled": """
         SELECT s.country_id, s.year, s.product_id, s.export_value,
                ntile(4) OVER (PARTITION BY s.year
@@ -180,6 +188,17 @@ RELATIONS = {
         FROM (SELECT country_id, product_id, year, sum(export_value) AS export_value
               FROM specialization GROUP BY country_id, product_id, year) s
         JOIN product_year p USING (product_id, year)""",
+    "product_pairs": """
+        SELECT a.country_id, base_year, target_year, a.tile,
+               (b.export_value - a.export_value) / a.export_value AS change
+        FROM product_tiled a
+        JOIN year_steps ON a.year = base_year
+        JOIN product_tiled b ON b.country_id = a.country_id AND b.product_id = a.product_id
+                            AND b.year = target_year""",
+    "product_growth": """
+        SELECT country_id, base_year, target_year, sum(change) FILTER (WHERE tile = 4) AS high,
+               sum(change) FILTER (WHERE tile = 3) AS medium
+        FROM product_pairs GROUP BY ALL""",
     "global_yearly": """
         SELECT year, sum(total_exports) AS global_exports, sum(total_imports) AS global_imports,
                sum(total_exports) AS global_trade_volume, avg(eci) AS avg_eci
@@ -443,32 +462,18 @@ QUERIES = {
                round(top / total, 6) AS top10_concentration
         FROM portfolio JOIN (
             SELECT country_id, year, sum(export_value) AS total,
-                   sum(CASE WHEN product_rank <= 10 THEN export_value ELSE 0 END) AS top
+                   sum(export_value) FILTER (WHERE place <= 10) AS top
             FROM product_sums GROUP BY country_id, year) USING (country_id, year)""",
     "partner_diversification": _rounded("diversification", "partner_hhi"),
     "coi_growth_analysis": _rounded("growth", "high_complexity_growth medium_high_growth", 4),
     "coi_growth_by_product": """
-        SELECT country_id, base_year, coi,
-               ntile(4) OVER (PARTITION BY base_year ORDER BY coi NULLS FIRST, country_id)
+        SELECT g.country_id, base_year, coi,
+               ntile(4) OVER (PARTITION BY base_year ORDER BY coi NULLS FIRST, g.country_id)
                    AS coi_quartile,
                round(high, 4) AS high_complexity_growth, round(medium, 4) AS medium_high_growth,
                target_year
-        FROM (SELECT c.country_id, t.base_year, c.coi, t.target_year,
-                     sum(CASE WHEN h.tile = 4
-                              THEN (h2.export_value - h.export_value) / h.export_value END)
-                         AS high,
-                     sum(CASE WHEN h.tile = 3
-                              THEN (h2.export_value - h.export_value) / h.export_value END)
-                         AS medium
-              FROM country_year c
-              JOIN (SELECT b.year AS base_year, min(m.year) AS target_year
-                    FROM (SELECT DISTINCT year FROM country_year) b
-                    JOIN country_year m ON m.year > b.year GROUP BY b.year) t
-                ON c.year = t.base_year
-              LEFT JOIN product_tiled h ON c.country_id = h.country_id AND c.year = h.year
-              LEFT JOIN product_tiled h2 ON h.country_id = h2.country_id
-                    AND h.product_id = h2.product_id AND h2.year = t.target_year
-              GROUP BY c.country_id, t.base_year, c.coi, t.target_year)
+        FROM product_growth g
+        JOIN country_year c ON c.country_id = g.country_id AND c.year = base_year
         WHERE high IS NOT NULL""",
     # Views
     "v_global_yearly_metrics": "SELECT * FROM global_yearly",
@@ -503,6 +508,9 @@ QUERIES = {
         SELECT country_id, round(avg(eci_rank), 6) AS avg_rank
         FROM evolution GROUP BY country_id ORDER BY avg(eci_rank), country_id LIMIT 16""",
     "portfolio_evolution_for_countries": _rounded("chosen_evolution", SHARES),
+    "portfolio_evolution_of_leaders": _rounded("evolution", SHARES)
+    + """ WHERE country_id IN (SELECT country_id FROM evolution GROUP BY country_id
+                               ORDER BY avg(eci_rank), country_id LIMIT 6)""",
     "trend_split_with_change": "SELECT * FROM trends WHERE trend_category <> 'No change data'",
     "trend_split_no_change": """
         SELECT country_id, year, eci, eci_change, trade_balance, balance_change, trend_category

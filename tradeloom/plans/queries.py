@@ -235,6 +235,12 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
         insights.top_ranked_countries(w.evolution), ["avg_rank"]
     ),
     "portfolio_evolution_for_countries": lambda w: rounded(_chosen_evolution(w), SHARES),
+    "portfolio_evolution_of_leaders": lambda w: rounded(
+        insights.portfolio_evolution_for_countries(
+            w.evolution, insights.top_ranked_countries(w.evolution, 6)
+        ),
+        SHARES,
+    ),
     "trend_split_with_change": lambda w: insights.trend_split(w.trends, with_change=True),
     "trend_split_no_change": lambda w: insights.trend_split(
         views.v_eci_balance_trends(_corrected_dynamics(w)), with_change=False
