@@ -24,6 +24,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 STEPS = [
     "fact",
     "by_product",
+    "by_partner",
     "country_year",
     "product_year",
     "complexity",

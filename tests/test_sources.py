@@ -53,6 +53,20 @@ def test_columns_are_found_by_name(spark, tmp_path):
     ]
 
 
+def test_identifiers_written_with_decimals(spark, tmp_path):
+    path = tmp_path / "x.csv.gz"
+    write_gz(path, "country_id,partner_country_id,year", "840.0,12.5,2015", "4,1e400,9e30")
+    rows = [tuple(r) for r in raw_csv.read_raw_csv(spark, str(path)).collect()]
+    assert rows == [(840, None, 2015), (4, None, None)]
+
+
+def test_listed_names_are_kept_as_they_are(spark, tmp_path):
+    write_gz(tmp_path / "raw" / "a b+c%20d" / "raw" / "part.csv.gz", HEADER)
+    row = raw_csv.list_raw_files(spark, str(tmp_path) + "/raw/").first()
+    assert row["path"].endswith("part.csv.gz")
+    assert row["length"] > 0
+
+
 def test_jagged_rows_and_quoted_newlines(spark, tmp_path):
     path = tmp_path / "x.csv.gz"
     write_gz(path, "country_id,note,year", '1,"two\nlines ""quoted""",2015', "2,short")

@@ -30,7 +30,19 @@ def country_product_year(fact: DataFrame) -> DataFrame:
     )
 
 
-def country_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None) -> DataFrame:
+def country_partner_year(fact: DataFrame) -> DataFrame:
+    """Totals over products per country, partner and year, for results that need no products."""
+    return fact.groupBy("country_id", "partner_country_id", "year").agg(
+        F.sum("export_value").alias("export_value"), F.sum("import_value").alias("import_value")
+    )
+
+
+def country_year_metrics(
+    fact: DataFrame,
+    *,
+    by_product: DataFrame | None = None,
+    by_partner: DataFrame | None = None,
+) -> DataFrame:
     """Indices, trade totals and distinct product and partner counts per country and year.
 
     Two distinct counts in one aggregate would expand every fact row three times. Instead the fact
@@ -43,9 +55,11 @@ def country_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None
         "country_id", "year", "product_id", "eci", "coi", "export_value", "import_value",
         "trade_balance",
     )
-    by_partner = fact.select("country_id", "year", "partner_country_id").distinct()
+    if by_partner is None:
+        by_partner = fact.select("country_id", "year", "partner_country_id").distinct()
+    partners = by_partner.select("country_id", "year", "partner_country_id")
     return (
-        sums.unionByName(by_partner, allowMissingColumns=True)
+        sums.unionByName(partners, allowMissingColumns=True)
         .groupBy("country_id", "year")
         .agg(
             F.max("eci").alias("eci"),
@@ -73,17 +87,17 @@ def product_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None
     )
 
 
+def partner_flows(rows: DataFrame) -> DataFrame:
+    """Positive exports to known partners, with the two countries named by their role."""
+    return rows.filter(
+        F.col("partner_country_id").isNotNull() & (F.col("export_value") > 0)
+    ).withColumnsRenamed({"country_id": "exporter_id", "partner_country_id": "importer_id"})
+
+
 def bilateral_flows(fact: DataFrame) -> DataFrame:
     """Directed export flows with a known partner."""
-    return fact.filter(
-        F.col("partner_country_id").isNotNull() & (F.col("export_value") > 0)
-    ).select(
-        F.col("country_id").alias("exporter_id"),
-        F.col("partner_country_id").alias("importer_id"),
-        "product_id",
-        "year",
-        "export_value",
-        "pci",
+    return partner_flows(fact).select(
+        "exporter_id", "importer_id", "product_id", "year", "export_value", "pci"
     )
 
 
@@ -211,7 +225,8 @@ def complexity_dynamics(country_year: DataFrame, *, corrected: bool = False) ->
 def partner_diversification(flows: DataFrame) -> DataFrame:
     """Number of partners, Herfindahl-Hirschman index of partner shares and its band.
 
-    The window runs over one row per partner, so its groups are bounded by the number of countries.
+    ``flows`` may be summed over products beforehand. The window runs over one row per partner, so
+    its groups are bounded by the number of countries.
     """
     by_partner = flows.groupBy("exporter_id", "year", "importer_id").agg(
         F.sum("export_value").alias("bilateral_export")

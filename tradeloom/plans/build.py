@@ -31,7 +31,8 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 
     A metric table is read back before the next step uses it, so that joins are planned from the
     size of its files. Metric tables of fact size (flows, specialization) are written as well, for
-    readers of the database; the steps here start from the fact or from its totals by product.
+    readers of the database; the steps here start from the fact or from its totals by product and
+    by partner.
     """
     fact = tables.fact_in(spark, f"{database}.{COMBINED}")
 
@@ -40,14 +41,15 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 
     built: dict[str, DataFrame] = {}
     by_product = stored(metrics.country_product_year(fact), "country-product-year")
+    by_partner = stored(metrics.country_partner_year(fact), "country-partner-year")
     country_year = built["country_year_metrics"] = keep(
-        "country_year_metrics", metrics.country_year_metrics(fact, by_product=by_product)
+        "country_year_metrics",
+        metrics.country_year_metrics(fact, by_product=by_product, by_partner=by_partner),
     )
     product_year = built["product_year_metrics"] = keep(
         "product_year_metrics", metrics.product_year_metrics(fact, by_product=by_product)
     )
-    flows = metrics.bilateral_flows(fact)
-    built["bilateral_flows"] = keep("bilateral_flows", flows)
+    built["bilateral_flows"] = keep("bilateral_flows", metrics.bilateral_flows(fact))
     # Exports are never negative, so the totals over positive rows are those of the metric tables.
     country_totals = country_year.withColumnRenamed("total_exports", "country_total")
     built["export_specialization"] = keep(
@@ -77,7 +79,8 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
         ),
     )
     diversification = built["partner_diversification"] = keep(
-        "partner_diversification", metrics.partner_diversification(flows)
+        "partner_diversification",
+        metrics.partner_diversification(metrics.partner_flows(by_partner)),
     )
     growth = built["coi_growth_analysis"] = keep(
         "coi_growth_analysis",

@@ -201,7 +201,7 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
         w.new_portfolio(by_product=True), PORTFOLIO
     ),
     "partner_diversification": lambda w: rounded(
-        metrics.partner_diversification(w.flows), ["partner_hhi"]
+        w.new_diversification(), ["partner_hhi"]
     ),
     "coi_growth_analysis": lambda w: rounded(w.new_growth(), GROWTH, 4),
     "coi_growth_by_product": lambda w: rounded(

@@ -51,12 +51,18 @@ class Workbench:
     def by_product(self) -> DataFrame:
         return self._stored("by_product", lambda: metrics.country_product_year(self.fact))
 
+    @property
+    def by_partner(self) -> DataFrame:
+        return self._stored("by_partner", lambda: metrics.country_partner_year(self.fact))
+
     @property
     def country_year(self) -> DataFrame:
         return self._stored("country_year", self.new_country_year)
 
     def new_country_year(self) -> DataFrame:
-        return metrics.country_year_metrics(self.fact, by_product=self.by_product)
+        return metrics.country_year_metrics(
+            self.fact, by_product=self.by_product, by_partner=self.by_partner
+        )
 
     @property
     def product_year(self) -> DataFrame:
@@ -113,9 +119,10 @@ class Workbench:
 
     @property
     def diversification(self) -> DataFrame:
-        return self._stored(
-            "diversification", lambda: metrics.partner_diversification(self.flows)
-        )
+        return self._stored("diversification", self.new_diversification)
+
+    def new_diversification(self) -> DataFrame:
+        return metrics.partner_diversification(metrics.partner_flows(self.by_partner))
 
     @property
     def growth(self) -> DataFrame:
@@ -170,7 +177,7 @@ class Workbench:
 
     @property
     def partners(self) -> DataFrame:
-        return reports.v_top_trading_partners(self.fact)
+        return reports.v_top_trading_partners(self.by_partner)
 
     @property
     def annual(self) -> DataFrame:

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from .shared import path_exists
@@ -18,23 +19,27 @@ LANDING_SCHEMA = "table_name string, status string, original_bytes long, landed_
 LOAD_SCHEMA = "table_name string, files long, rows long, status string, message string"
 
 
-def _entry_name(path: Column, folder: str, suffix: str) -> Column:
-    """First path component below ``folder`` without its suffix."""
-    below = F.regexp_replace(path, r"^[a-z0-9]+:/+", "/")
-    root = "/" + folder.split(":", 1)[-1].strip("/") + "/"
-    # An authority such as a bucket or host name may stand before the folder's own path.
-    entry = F.substring_index(F.substring_index(below, root, -1), "/", 1)
-    return F.regexp_replace(F.url_decode(entry), suffix, "")
-
-
 def list_files(spark: SparkSession, folder: str, glob: str, suffix: str) -> DataFrame:
-    """Files below ``folder`` whose name matches ``glob``; only names and sizes are read."""
+    """Files below ``folder`` whose name matches ``glob``; only names and sizes are read.
+
+    ``entry_path`` is the file or folder directly below ``folder`` that a file belongs to, and
+    ``table_name`` the name of that entry without ``suffix``.
+    """
+    inside = "/" + folder.split(":", 1)[-1].strip("/") + "/"
+    # The listed path may have a scheme and a host before the folder as it was given.
+    below = F.substring_index(F.col("path"), inside, -1)
+    entry = F.substring_index(below, "/", 1)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select(_entry_name(F.col("path"), folder, suffix).alias("table_name"), "path", "length")
+        .select(
+            F.regexp_replace(entry, suffix, "").alias("table_name"),
+            F.concat(F.lit(folder.rstrip("/") + "/"), entry).alias("entry_path"),
+            "path",
+            "length",
+        )
     )
 
 
@@ -55,20 +60,36 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
     )
 
 
+def typed(text: DataFrame) -> DataFrame:
+    """Give the known columns of text rows their types; what cannot be read becomes NULL.
+
+    An identifier may be written as a whole number with decimals, such as ``840.0``.
+    """
+    types = {f.name: f.dataType for f in S.FACT_SCHEMA.fields}
+
+    def column(name: str) -> Column:
+        value = F.col(name)
+        if name not in types:
+            return value
+        number = value.try_cast("double")
+        if types[name] != T.LongType():
+            return number.alias(name)
+        whole = F.when(number == F.floor(number), number.try_cast("long"))
+        return F.coalesce(value.try_cast("long"), whole).alias(name)
+
+    return text.select(*[column(name) for name in text.columns])
+
+
 def read_raw_csv(
     spark: SparkSession, paths: str | list[str], *, multi_line: bool = True
 ) -> DataFrame:
     """Rows of one table's CSV files, with columns found by the names in the header.
 
-    Known columns get the types of the data model, a malformed value becoming NULL; others stay
-    strings. A row that is too short ends in NULLs. Quoted newlines need ``multi_line``, which
-    costs nothing for gzip, as a gzip file is one task in any case.
+    Known columns get the types of the data model; others stay strings. A row that is too short
+    ends in NULLs. Quoted newlines need ``multi_line``, which costs nothing for gzip, as a gzip
+    file is one task in any case.
     """
-    text = _csv_reader(spark, multi_line).csv(paths)
-    types = {f.name: f.dataType for f in S.FACT_SCHEMA.fields}
-    return text.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in text.columns]
-    )
+    return typed(_csv_reader(spark, multi_line).csv(paths))
 
 
 def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
@@ -145,20 +166,20 @@ def load_raw_tables(
     files = (
         list_raw_files(spark, landing)
         .groupBy("table_name")
-        .agg(F.collect_list("path").alias("paths"))  # file names of one table
+        .agg(F.collect_set("entry_path").alias("paths"), F.count(F.lit(1)).alias("files"))
         .orderBy("table_name")
         .collect()
     )
     report = []
-    for name, paths in files:
+    for name, paths, n_files in files:
         counted = Observation()
         try:
             read_raw_csv(spark, paths).observe(
                 counted, F.count(F.lit(1)).alias("rows")
             ).write.mode(mode).saveAsTable(f"{database}.{name}")
-            report.append((name, len(paths), counted.get["rows"], LOADED, None))
+            report.append((name, n_files, counted.get["rows"], LOADED, None))
         except PySparkException as error:
-            report.append((name, len(paths), None, ERROR, str(error)[:500]))
+            report.append((name, n_files, None, ERROR, str(error)[:500]))
     return spark.createDataFrame(report, LOAD_SCHEMA)
 
 

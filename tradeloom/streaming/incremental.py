@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schema as S
 from ..operators.ingest import clean_source
 from ..sources import tables
+from ..sources.raw_csv import typed
 
 
 def ingest_new_files(
@@ -27,7 +28,7 @@ def ingest_new_files(
     model in order, else the header check fails.
     """
     reader = (
-        spark.readStream.schema(S.FACT_SCHEMA)
+        spark.readStream.schema(", ".join(f"{name} string" for name in S.FACT_COLUMNS))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
@@ -46,7 +47,7 @@ def ingest_new_files(
             tables.write_fact_table(clean_source(batch), table)
 
     return (
-        reader.csv(landing)
+        typed(reader.csv(landing))
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
