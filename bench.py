@@ -97,7 +97,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "trade_pipeline_total",
+                "metric": "trade_tables_and_queries",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

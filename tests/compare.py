@@ -12,6 +12,10 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"
+}
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -36,13 +40,14 @@ def rows_of(columns: list[str], rows) -> Counter:
 
 
 def difference(spark_df, connection, sql: str) -> str | None:
-    """None when both have the same columns, types of values and rows."""
-    result = connection.execute(sql)
-    names = [d[0] for d in result.description]
-    expected = rows_of(names, result.fetchall())
+    """None when both have the same columns, types and rows."""
+    described = connection.execute("DESCRIBE " + sql).fetchall()
+    names = [row[0] for row in described]
+    types = sorted((row[0], SPARK_TYPES.get(row[1], row[1])) for row in described)
+    if types != sorted(spark_df.dtypes):
+        return f"columns {sorted(spark_df.dtypes)} instead of {types}"
+    expected = rows_of(names, connection.execute(sql).fetchall())
     found = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
-    if sorted(names) != sorted(spark_df.columns):
-        return f"columns {sorted(spark_df.columns)} instead of {sorted(names)}"
     if found != expected:
         extra = list((found - expected).items())[:2]
         missing = list((expected - found).items())[:2]

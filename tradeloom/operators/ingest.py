@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..sources.shared import stored
 
 
 def _valid_rows(raw: DataFrame, min_year: int) -> DataFrame:
@@ -72,10 +73,13 @@ def merge_combined(
     null_safe: bool = False,
     min_year: int = S.MIN_YEAR,
 ) -> DataFrame:
-    """``existing`` plus, source by source, the rows with new keys (insert-only merge)."""
-    merged = existing.select(*S.FACT_COLUMNS)
-    for raw in sources:
-        merged = merged.unionByName(
-            unmatched_rows(merged, raw, null_safe=null_safe, min_year=min_year)
-        )
-    return merged
+    """``existing`` plus, source by source, the rows with new keys (insert-only merge).
+
+    The new rows of a source are stored where a later source is compared with them.
+    """
+    parts = [existing.select(*S.FACT_COLUMNS)]
+    for place, raw in enumerate(sources, 1):
+        so_far = reduce(DataFrame.unionByName, parts)
+        fresh = unmatched_rows(so_far, raw, null_safe=null_safe, min_year=min_year)
+        parts.append(stored(fresh, "merged-source") if place < len(sources) else fresh)
+    return reduce(DataFrame.unionByName, parts)
