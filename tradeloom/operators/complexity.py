@@ -19,41 +19,39 @@ def product_complexity(
 ) -> DataFrame:
     """Complexity quartile and tier, and export rank, of each product within its year.
 
-    Ties in ``avg_pci`` are ordered by product. The rank of a value is one more than the number of
-    rows with a larger value, so it is found on the distinct values with their frequencies. Pass a
-    stored ``product_year``: it is counted to choose between a window per year and ranges.
+    Ties in ``avg_pci`` are ordered by product. Pass a stored ``product_year``: it is counted to
+    choose between windows per year and ranges.
     """
-    rows = product_year.count()
-    placed = running_totals(
-        product_year,
-        ["year"],
-        [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc_nulls_first()],
-        max_rows=rows,
-        max_window_rows=max_window_rows,
-    ).select(
-        "product_id",
-        "year",
-        "avg_pci",
-        "global_export_value",
-        tile_at(F.col("before") + 1, F.col("total"), n_tiles).alias("complexity_quartile"),
-    )
-    values = running_totals(
-        product_year.groupBy("year", "global_export_value").agg(F.count(F.lit(1)).alias("n")),
-        ["year"],
-        [F.col("global_export_value").desc_nulls_last()],
-        "n",
-        max_rows=rows,
-        max_window_rows=max_window_rows,
-    ).select(
-        F.col("year").alias("_year"),
-        F.col("global_export_value").alias("_value"),
-        (F.col("before") + 1).alias("export_rank"),
-    )
-    return placed.join(
-        values,
-        (F.col("year") == F.col("_year"))
-        & F.col("global_export_value").eqNullSafe(F.col("_value")),
-    ).select(
+    by_complexity = [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc_nulls_first()]
+    by_exports = F.col("global_export_value").desc_nulls_last()
+    n_rows = product_year.count()
+    if n_rows <= max_window_rows:
+        exports = Window.partitionBy("year").orderBy(by_exports)
+        ranked = product_year.select(
+            "product_id",
+            "year",
+            "avg_pci",
+            "global_export_value",
+            window_tiles(n_tiles, ["year"], by_complexity).alias("complexity_quartile"),
+            F.rank().over(exports).cast("long").alias("export_rank"),
+        )
+    else:
+        sizes = {"max_rows": n_rows, "max_window_rows": max_window_rows}
+        placed = running_totals(product_year, ["year"], by_complexity, **sizes)
+        # The rank of a value is one more than the number of rows with a larger value.
+        values = product_year.groupBy("year", "global_export_value").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        ranks = running_totals(values, ["year"], [by_exports], "n", **sizes).select(
+            F.col("year").alias("_year"),
+            F.col("global_export_value").alias("_value"),
+            (F.col("before") + 1).alias("export_rank"),
+        )
+        same_value = F.col("global_export_value").eqNullSafe(F.col("_value"))
+        ranked = placed.withColumn(
+            "complexity_quartile", tile_at(F.col("before") + 1, F.col("total"), n_tiles)
+        ).join(ranks, (F.col("year") == F.col("_year")) & same_value)
+    return ranked.select(
         "product_id",
         "year",
         "avg_pci",
@@ -280,17 +278,18 @@ def product_ranges(
     *,
     max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
-    """First and last quartile of each product's export rows within its year."""
+    """First and last quartile of each product's export rows within its year, as a stored table."""
     counts = (
         totals.groupBy("product_id", "year")
         .agg(F.sum("n_rows").alias("n_rows"))
         .join(product_year.select("product_id", "year", "avg_pci"), ["product_id", "year"])
     )
     placed = running_totals(
-        stored(counts, "product-rows"),
+        counts,
         ["year"],
         [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc()],
         "n_rows",
+        max_rows=product_year.count(),
         max_window_rows=max_window_rows,
     )
     before, total = F.col("before"), F.col("total")
@@ -298,6 +297,7 @@ def product_ranges(
         placed.select(
             "product_id",
             "year",
+            "n_rows",
             "before",
             "total",
             tile_at(before + 1, total, n_tiles).alias("first_tile"),
@@ -317,12 +317,14 @@ def _straddling_growth(
 ) -> DataFrame:
     """Growth terms of the products whose rows lie in more than one quartile."""
     # At most n_tiles - 1 products per year.
-    straddling = products.filter(F.col("first_tile") < F.col("last_tile")).select(
+    in_several = products.filter(F.col("first_tile") < F.col("last_tile"))
+    straddling = in_several.select(
         "product_id",
         "year",
         F.col("before").alias("product_before"),
         F.col("total").alias("year_rows"),
     )
+    n_rows = in_several.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     their_totals = totals.join(
         F.broadcast(straddling.select("product_id").distinct()), "product_id", "left_semi"
     )
@@ -335,10 +337,11 @@ def _straddling_growth(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     placed = running_totals(
-        stored(copies, "straddling-rows"),
+        copies,
         ["product_id", "year"],
         [F.col("country_id").asc_nulls_first(), F.col("export_value").asc()],
         "n",
+        max_rows=n_rows,
         max_window_rows=max_window_rows,
     ).withColumn("first", F.col("product_before") + F.col("before"))
 
