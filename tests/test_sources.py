@@ -130,6 +130,7 @@ def test_empty_landing_folder(spark, tmp_path, database):
 def test_discovery_by_name_and_level(spark, database):
     for name in (TABLE, "hs_country_country_product_year_4", "other"):
         spark.range(1).write.saveAsTable(f"{database}.{name}")
+    tables.replace_view(spark.range(1), "view_of_country_country_product_year")
     assert len(tables.source_tables(spark, database)) == 2
     assert tables.source_tables(spark, database, level="6") == [TABLE]
     with pytest.raises(LookupError):

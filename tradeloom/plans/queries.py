@@ -12,7 +12,6 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..operators import complexity, ingest, insights, metrics, reports, views
 from ..operators.views import SHARES
 from ..sources import raw_csv, tables

@@ -15,7 +15,9 @@ from .shared import path_exists
 LOADED, SKIPPED, ERROR = "loaded", "skipped", "error"
 UPLOADED, ALREADY_EXISTS = "uploaded", "already_exists"
 
-LANDING_SCHEMA = "table_name string, status string, original_bytes long, landed_bytes long"
+LANDING_SCHEMA = (
+    "table_name string, status string, original_bytes long, landed_bytes long, message string"
+)
 LOAD_SCHEMA = "table_name string, files long, rows long, status string, message string"
 
 
@@ -127,22 +129,26 @@ def land_csv(
     }
     present = _table_sizes(spark, landing)
 
-    def land(name: str) -> tuple[str, str]:
+    def land(name: str) -> tuple[str, str | None]:
         if name in present:
-            return name, ALREADY_EXISTS
+            return ALREADY_EXISTS, None
         try:
             rows = _csv_reader(spark, multi_line).csv(f"{source}/{name}.csv")
             # What an earlier failed run left has no visible part and is replaced.
             write_raw_csv(rows, f"{landing}/{name}", mode="overwrite")
-            return name, UPLOADED
-        except PySparkException:
-            return name, ERROR
+            return UPLOADED, None
+        except PySparkException as error:
+            return ERROR, str(error)[:500]
 
+    names = sorted(found)
     with ThreadPoolExecutor(max_workers) as pool:
-        status = dict(pool.map(land, sorted(found)))
+        results = list(pool.map(land, names))
     landed = _table_sizes(spark, landing)
     return spark.createDataFrame(
-        [(name, status[name], found[name], landed.get(name)) for name in sorted(found)],
+        [
+            (name, status, found[name], landed.get(name), message)
+            for name, (status, message) in zip(names, results)
+        ],
         LANDING_SCHEMA,
     )
 

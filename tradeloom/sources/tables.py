@@ -21,7 +21,9 @@ def source_tables(
     Tables of several classification levels would count trade more than once. ``level`` keeps
     those whose name ends in ``_<level>``.
     """
-    names = sorted(t.name for t in spark.catalog.listTables(database) if mark in t.name)
+    listed = spark.catalog.listTables(database)
+    # Temporary views are listed in every database.
+    names = sorted(t.name for t in listed if mark in t.name and not t.isTemporary)
     if level is not None:
         names = [name for name in names if name.endswith(f"_{level}")]
     if not names:
