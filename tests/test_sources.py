@@ -87,6 +87,15 @@ def test_landing_skips_what_is_there(spark, tmp_path):
     assert raw_csv.read_raw_csv(spark, f"{landing}/two").count() == 2
 
 
+def test_landing_leaves_out_nested_files(spark, tmp_path):
+    source = tmp_path / "csv"
+    (source / "old").mkdir(parents=True)
+    (source / "old" / "one.csv").write_text(f"{HEADER}\n")
+    (source / "two.csv").write_text(f"{HEADER}\n{line(1, 2, 3, 2015)}\n")
+    report = raw_csv.land_csv(spark, str(source), str(tmp_path / "landing")).collect()
+    assert [(r["table_name"], r["status"]) for r in report] == [("two", raw_csv.UPLOADED)]
+
+
 def test_landing_of_nothing(spark, tmp_path):
     source = tmp_path / "csv"
     source.mkdir()

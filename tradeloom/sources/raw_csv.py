@@ -120,10 +120,12 @@ def land_csv(
     A table that is already landed is skipped. Files are handled by parallel Spark jobs, and a
     plain CSV is split over tasks unless quoted newlines have to be kept (``multi_line``).
     """
+    # A CSV is a file or a folder of parts directly below ``source``.
     found = {
-        row["table_name"]: row["length"]
+        row["table_name"]: row
         for row in list_files(spark, source, "*.csv", r"\.csv$")
-        .groupBy("table_name")
+        .filter(F.col("entry_path").endswith(".csv"))
+        .groupBy("table_name", "entry_path")
         .agg(F.sum("length").alias("length"))
         .collect()
     }
@@ -133,7 +135,7 @@ def land_csv(
         if name in present:
             return ALREADY_EXISTS, None
         try:
-            rows = _csv_reader(spark, multi_line).csv(f"{source}/{name}.csv")
+            rows = _csv_reader(spark, multi_line).csv(found[name]["entry_path"])
             # What an earlier failed run left has no visible part and is replaced.
             write_raw_csv(rows, f"{landing}/{name}", mode="overwrite")
             return UPLOADED, None
@@ -146,7 +148,7 @@ def land_csv(
     landed = _table_sizes(spark, landing)
     return spark.createDataFrame(
         [
-            (name, status, found[name], landed.get(name), message)
+            (name, status, found[name]["length"], landed.get(name), message)
             for name, (status, message) in zip(names, results)
         ],
         LANDING_SCHEMA,
