@@ -107,18 +107,26 @@ def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") ->
     )
 
 
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted value may go on in the next line: some line has an odd number of quotes."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def land_csv(
     spark: SparkSession,
     source: str,
     landing: str,
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     max_workers: int = 4,
 ) -> DataFrame:
     """Write each CSV of ``source`` as gzipped parts below ``landing``; report status and sizes.
 
-    A table that is already landed is skipped. Files are handled by parallel Spark jobs, and a
-    plain CSV is split over tasks unless quoted newlines have to be kept (``multi_line``).
+    A table that is already landed is skipped. Files are handled by parallel Spark jobs. A CSV is
+    split over tasks unless it has quoted newlines, since then only reading it from the start
+    finds the ends of rows. Each file is searched for them, unless ``multi_line`` says so.
     """
     # A CSV is a file or a folder of parts directly below ``source``.
     found = {
@@ -135,7 +143,9 @@ def land_csv(
         if name in present:
             return ALREADY_EXISTS, None
         try:
-            rows = _csv_reader(spark, multi_line).csv(found[name]["entry_path"])
+            path = found[name]["entry_path"]
+            whole = has_quoted_newlines(spark, path) if multi_line is None else multi_line
+            rows = _csv_reader(spark, whole).csv(path)
             # What an earlier failed run left has no visible part and is replaced.
             write_raw_csv(rows, f"{landing}/{name}", mode="overwrite")
             return UPLOADED, None
