@@ -355,13 +355,18 @@ def rpt_compare_countries(
     )
 
 
+def _steepest_first() -> list[Column]:
+    """Equal trends differ in their last bits only; they are ordered by country."""
+    return [F.round("eci_trend", 9).desc(), F.col("country_id").asc()]
+
+
 def rpt_both_improving(correlation: DataFrame, n: int = 10) -> DataFrame:
     return (
         correlation.filter(F.col("trend_category") == S.BOTH_IMPROVING)
         .select(
             "country_id", "balance_trend", "eci_trend", "trend_category", "complexity_concentration"
         )
-        .orderBy(F.col("eci_trend").desc(), "country_id")
+        .orderBy(*_steepest_first())
         .limit(n)
     )
 
@@ -378,7 +383,7 @@ def rpt_eci_up_balance_down(correlation: DataFrame, n: int = 10) -> DataFrame:
             "low_complexity_balance_trend",
             "complexity_concentration",
         )
-        .orderBy(F.col("eci_trend").desc(), "country_id")
+        .orderBy(*_steepest_first())
         .limit(n)
     )
 

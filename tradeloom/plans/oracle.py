@@ -642,13 +642,13 @@ QUERIES = {
                round(eci_trend, 6) AS eci_trend, trend_category,
                round(complexity_concentration, 6) AS complexity_concentration
         FROM correlation c WHERE trend_category = 'Both improving'
-        ORDER BY c.eci_trend DESC, country_id LIMIT 10""",
+        ORDER BY round(c.eci_trend, 9) DESC, country_id LIMIT 10""",
     "rpt_eci_up_balance_down": f"""
         SELECT country_id, {_millions("balance_trend " + SEGMENT_TRENDS)},
                round(eci_trend, 6) AS eci_trend,
                round(complexity_concentration, 6) AS complexity_concentration
         FROM correlation c WHERE trend_category = 'ECI improving, balance worsening'
-        ORDER BY c.eci_trend DESC, country_id LIMIT 10""",
+        ORDER BY round(c.eci_trend, 9) DESC, country_id LIMIT 10""",
     "rpt_segment_trends": f"""
         SELECT country_id, product_complexity_segment,
                {_millions("segment_balance_trend avg_segment_balance")},
