@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import quality_rules, sentence_pieces, token_counts
+from tradeloom.llm import license_scan, quality_rules, sentence_pieces, token_counts, url_filter
+from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
 
+# The rules of op3 as (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -26,6 +36,38 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge(_table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+_OP3_SQL = f"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
+urls AS (
+    SELECT row_number() OVER () AS place, page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+),
+fitting AS (
+    SELECT place, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(verdict, length(rule_host || rule_path)) AS verdict
+    FROM urls JOIN rules
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY place
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM urls LEFT JOIN fitting USING (place)
+"""
+
+
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, folder)).drop("text", "places")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, folder), _table(spark, folder, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -43,8 +85,15 @@ def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op8_quality_rules, op9_sentence_pieces)}
+    def shipped(query):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return query(spark, folder)
+
+        return run
+
+    return {f.__name__: shipped(f) for f in (op2_token_counts, op3_url_filter, op5_license_scan, op8_quality_rules, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": _OP3_SQL}
