@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import license_scan, quality_rules, sentence_pieces, token_counts, url_filter
+from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, token_counts, url_filter
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -68,6 +68,11 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(_documents(spark, folder)).drop("text", "places")
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    near = simhash.near_duplicates(_documents(spark, folder))
+    return near.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, folder), _table(spark, folder, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -92,7 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op2_token_counts, op3_url_filter, op5_license_scan, op8_quality_rules, op9_sentence_pieces)}
+    return {f.__name__: shipped(f) for f in (op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
