@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, token_counts, url_filter
+from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -31,6 +31,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents").select("doc_id", "text")
 
 
+def op1_word_windows(spark: SparkSession, folder: str) -> DataFrame:
+    kept = word_windows.remove_repeats(_documents(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -97,7 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
