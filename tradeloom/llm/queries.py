@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, token_counts, url_filter, word_windows
+from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -85,7 +85,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = sentence_pieces.decode(sentence_pieces.encode(_documents(spark, folder), model), model)
+    decoded = sentence_pieces.encode_and_decode(_documents(spark, folder), model)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -94,6 +94,11 @@ def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(_documents(spark, folder))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
