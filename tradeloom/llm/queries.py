@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
+from tradeloom.llm import html_extraction, license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -69,6 +69,11 @@ FROM urls LEFT JOIN fitting USING (place)
 """
 
 
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    extracted = html_extraction.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(_documents(spark, folder)).drop("text", "places")
 
@@ -107,7 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
