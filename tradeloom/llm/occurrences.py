@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 DOCUMENT = ["doc_id", "version"]
 
 
-def versioned(documents: DataFrame) -> DataFrame:
-    """(doc_id, version, text), a null text as an empty one."""
+def versioned(documents: DataFrame, others: list[str] | tuple = ()) -> DataFrame:
+    """(doc_id, version, text) and ``others``, a null text as an empty one."""
     text = F.coalesce("text", F.lit(""))
-    return documents.select("doc_id", F.hash(text).alias("version"), text.alias("text"))
+    return documents.select("doc_id", F.hash(text).alias("version"), text.alias("text"), *(F.col(f"`{c}`") for c in others))
 
 
 def repeated_keys(keys: DataFrame, key: str) -> DataFrame:
@@ -30,7 +30,7 @@ def same_document(left: DataFrame, right: DataFrame) -> Column:
 def with_lists(documents: DataFrame, rows: DataFrame, values: Column, name: str) -> DataFrame:
     """``versioned`` documents with the set of ``values`` that ``rows`` has of each: at most one for each place in it."""
     lists = rows.groupBy(*DOCUMENT).agg(F.collect_set(values).alias(name))
-    return documents.join(lists, same_document(documents, lists), "left").select(*(documents[c] for c in documents.columns), name)
+    return documents.join(lists, same_document(documents, lists), "left").select(*(documents[f"`{c}`"] for c in documents.columns), name)
 
 
 def release(spark: SparkSession) -> None:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import html_extraction, license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
+from tradeloom.llm import decontamination, html_extraction, license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -83,6 +83,10 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matches(_documents(spark, folder), _table(spark, folder, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, folder), _table(spark, folder, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -112,7 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op7_decontamination, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

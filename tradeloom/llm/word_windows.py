@@ -123,9 +123,14 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     return repeated
 
 
-def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): ``kept`` has the words that stay, joined by one space."""
-    texts = versioned(documents)
+def remove_repeats(documents: DataFrame, window: int = WINDOW, spaces: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept): ``kept`` has the words that stay, joined by one space.
+
+    With ``spaces`` only the removed words and the white space after each of them go from the text. Then all other
+    columns of ``documents`` follow, those called like a result column left out.
+    """
+    others = [c for c in documents.columns if spaces and c not in ("doc_id", "text", "n_words", "n_removed", "kept")]
+    texts = versioned(documents, others)
     marked = with_lists(texts, repeated_windows(texts, window), F.col("word"), "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +143,28 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             np.add.at(step, start + window, -1)
             removed = np.cumsum(step[:-1]) > 0
             n_removed = np.diff(np.concatenate([[0], np.cumsum(removed)])[found.offsets])
+            kept = _spaced(slice_, found, removed) if spaces else _joined(slice_, found, ~removed)
             yield pa.RecordBatch.from_arrays(
-                [slice_.rows.column("doc_id"), pa.array(found.counts()), pa.array(n_removed), _joined(slice_, found, ~removed)],
-                names=["doc_id", "n_words", "n_removed", "kept"],
+                [slice_.rows.column("doc_id"), pa.array(found.counts()), pa.array(n_removed), kept, *(slice_.rows.column(c) for c in others)],
+                names=["doc_id", "n_words", "n_removed", "kept", *others],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return marked.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    more = "".join(f", `{c}` {documents.schema[c].dataType.simpleString()}" for c in others)
+    return marked.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string{more}")
+
+
+def _spaced(texts: Texts, found: Words, removed: np.ndarray) -> pa.Array:
+    """Each text without its removed words and what stands between them and the next word or the end."""
+    end = np.repeat(texts.offsets[1:], found.counts())
+    upto = np.where(np.append(np.diff(found.text_of()) == 0, False), np.append(found.starts[1:], 0), end) if len(found.starts) else end
+    step = np.zeros(len(texts.data) + 1, np.int64)
+    np.add.at(step, found.starts[removed], 1)
+    np.add.at(step, upto[removed], -1)
+    keep = np.cumsum(step[:-1]) == 0
+    data = texts.data[keep].tobytes()
+    ends = np.concatenate([[0], np.cumsum(keep)])[texts.offsets].tolist()
+    return pa.array([data[i:j] for i, j in zip(ends, ends[1:])], pa.binary()).cast(pa.string())
 
 
 def _joined(texts: Texts, found: Words, keep: np.ndarray) -> pa.Array:
