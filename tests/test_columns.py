@@ -35,7 +35,11 @@ def test_texts(spark):
     assert value(spark, percent_text(F.lit(0.1234))) == "12.3%"
     assert value(spark, percent_text(F.lit(-1.5))) == "-150.0%"
     assert value(spark, percent_text(F.lit(None).cast("double"))) is None
-    assert value(spark, fixed_text(F.lit(1.005))) in ("1.00", "1.01")
+    rows = [0.125, 0.625, -0.125, 0.0625, 2.675, 1.005, 0.995, 99.995, -0.0, -0.001, 2.0**45 + 0.125]
+    rows += [k / 32 for k in range(-70, 70)] + [k / 1000 for k in range(-300, 300)]
+    df = spark.createDataFrame([(v,) for v in rows], "v double")
+    for r in df.select("v", fixed_text(F.col("v")).alias("f"), percent_text(F.col("v")).alias("p")).collect():
+        assert (r.f, r.p) == (f"{r.v:.2f}", f"{r.v:.1%}")
     assert value(spark, fixed_text(F.lit(None).cast("double"))) is None
     assert value(spark, quartile_text(F.lit(3).cast("long"))) == "Q3"
 

@@ -38,8 +38,7 @@ def test_tile_of_position(spark, total, n):
         assert found[0][f"end{i}"] == sum(1 for tile in expected if tile <= i)
 
 
-@pytest.mark.parametrize("max_window_rows", [0, 10_000])
-def test_running_totals(spark, max_window_rows):
+def test_running_totals(spark):
     random.seed(3)
     rows = [
         (year, random.choice([None, 0.0, 0.5, 1.0]), product, random.randint(0, 5))
@@ -48,7 +47,7 @@ def test_running_totals(spark, max_window_rows):
     ]
     df = spark.createDataFrame(rows, "year long, value double, product_id long, n long")
     order = [F.col("value").asc_nulls_first(), F.col("product_id").asc()]
-    found = running_totals(df, ["year"], order, "n", max_window_rows=max_window_rows).collect()
+    found = running_totals(df, ["year"], order, "n").collect()
     assert len(found) == len(rows)
     for year in (2015, 2016):
         ordered = sorted(
@@ -62,15 +61,14 @@ def test_running_totals(spark, max_window_rows):
         assert got == {product: (b, before) for product, b in expected.items()}
 
 
-@pytest.mark.parametrize("max_window_rows", [0, 10_000])
-def test_product_complexity_ties(spark, max_window_rows):
+def test_product_complexity_ties(spark):
     rows = [(p, 2015, 1.0, 0.0 if p < 7 else float(p)) for p in range(10)]
     rows += [(p, 2016, None if p == 2 else float(-p), 5.0) for p in range(3)]
+    rows += [(1, None, 2.0, 3.0)]
     df = spark.createDataFrame(rows, PY)
-    found = by_key(
-        complexity.product_complexity(df, max_window_rows=max_window_rows), "year", "product_id"
-    )
-    assert len(found) == 13
+    found = by_key(complexity.product_complexity(df), "year", "product_id")
+    assert len(found) == 14
+    assert found[(None, 1)]["complexity_quartile"] == found[(None, 1)]["export_rank"] == 1
     # Equal values are ordered by product; quartile sizes differ by one at most.
     assert [found[(2015, p)]["complexity_quartile"] for p in range(10)] == ntile(10, 4)
     assert [found[(2015, p)]["export_rank"] for p in (9, 8, 7, 6, 0)] == [1, 2, 3, 4, 4]
@@ -126,10 +124,9 @@ def naive_growth(rows, pci, last_base_year, by_product=False):
     return {k: v for k, v in growth.items() if v[0] is not None}
 
 
-@pytest.mark.parametrize("max_window_rows", [0, 100_000])
 @pytest.mark.parametrize("by_product", [False, True])
 @pytest.mark.parametrize("hot", [False, True])
-def test_growth_equals_row_pairs(spark, fact_of, max_window_rows, by_product, hot):
+def test_growth_equals_row_pairs(spark, fact_of, by_product, hot):
     """Also when one product has a large part of all rows and so spans several quartiles."""
     random.seed(7)
     seen = {}
@@ -148,7 +145,6 @@ def test_growth_equals_row_pairs(spark, fact_of, max_window_rows, by_product, ho
             metrics.export_specialization(fact),
             product_year,
             by_product=by_product,
-            max_window_rows=max_window_rows,
         ),
         "country_id",
         "base_year",

@@ -7,7 +7,6 @@ from compare import TABLES, connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as driver
-from tradeloom.operators import complexity
 
 QUERIES = driver.queries()
 SQL = driver.oracle_sql()
@@ -65,9 +64,7 @@ def duck(hot_folder):
 
 
 @pytest.fixture
-def as_if_large(spark, monkeypatch):
-    for operator in (complexity.product_complexity, complexity.coi_growth_analysis):
-        monkeypatch.setitem(operator.__kwdefaults__, "max_window_rows", 0)
+def as_if_large(spark):
     for key, value in LARGE.items():
         spark.conf.set(key, value)
     yield

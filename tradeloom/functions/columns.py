@@ -23,12 +23,45 @@ def pct_change(value: Column, previous: Column, *, signed_base: bool = False) ->
     return ratio(F.lit(100.0) * (value - previous), base)
 
 
+def decimals_text(value: Column, digits: int) -> Column:
+    """``value`` with a fixed number of decimals, the exact binary value rounded, ties to even.
+
+    Whole and fractional part are separated without error. The fraction times twice the scale is
+    taken as a product and its rounding error, so that its place against the tie is exact.
+    """
+    scale = 10**digits
+    size = F.abs(value)
+    whole = F.floor(size).cast("double")
+    fraction = size - whole
+    double = fraction * F.lit(2.0 * scale)
+    # The upper 26 bits of the fraction, so that both partial products are exact.
+    upper = fraction * F.lit(134217729.0) - (fraction * F.lit(134217729.0) - fraction)
+    error = (upper * F.lit(2.0 * scale) - double) + (fraction - upper) * F.lit(2.0 * scale)
+    below = F.floor(double / F.lit(2.0))
+    past_tie = (double - (below * 2 + 1)) + error
+    up = (past_tie > 0) | ((past_tie == 0) & (below % 2 == 1))
+    units = below + F.when(up, 1).otherwise(0)
+    carried = units >= scale
+    integer = whole.cast("long") + F.when(carried, 1).otherwise(0)
+    rest = F.when(carried, units - scale).otherwise(units).cast("string")
+    sign = F.when(value.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, integer.cast("string"), F.lit("."), F.lpad(rest, digits, "0"))
+    return (
+        F.when(F.isnan(value), F.lit("nan"))
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        # Beyond whole numbers of 64 bits there is no fraction.
+        .when(size >= 2.0**63, F.format_string(f"%.{digits}f", value))
+        .when(value.isNotNull(), text)
+    )
+
+
 def percent_text(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.format_string("%.1f%%", value * F.lit(100.0)))
+    """The value times 100, with one decimal."""
+    return F.concat(decimals_text(value * F.lit(100.0), 1), F.lit("%"))
 
 
 def fixed_text(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.format_string("%.2f", value))
+    return decimals_text(value, 2)
 
 
 def quartile_text(quartile: Column) -> Column:

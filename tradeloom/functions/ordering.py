@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import stored
 
-# Below this number of rows one sorted window per group is cheaper than a range shuffle.
-MAX_WINDOW_ROWS = 2_000_000
-
 
 def window_tiles(n_tiles: int, group: Sequence[str], order: Sequence[Column]) -> Column:
     """NTILE for groups whose size is bounded by the data model (countries of one year)."""
@@ -43,31 +40,16 @@ def tile_end(tile: int, total: Column, n_tiles: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    weight: str | None = None,
-    *,
-    max_rows: int | None = None,
-    max_window_rows: int = MAX_WINDOW_ROWS,
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str | None = None
 ) -> DataFrame:
     """Add ``before`` (weight of all earlier rows of the group) and ``total`` (weight of the group).
 
     ``order`` must be total within a group. ``weight`` is a bigint column, one per row by default.
-    ``df`` is counted first unless ``max_rows`` bounds its size, so it should be a stored table,
-    for which the count comes from the parquet footers. A small table is done with one window per
-    group. For a larger one the rows are range partitioned on (group, order), which splits a group
-    of any size over many tasks; each range gets local running totals and the totals of the ranges
-    before it are added.
+    The rows are range partitioned on (group, order), which splits a group of any size over many
+    tasks, and stored; each range gets local running totals, and the totals of the ranges before it
+    are added. Groups must be few, such as years: their totals per range are broadcast.
     """
     w = F.col(weight) if weight else F.lit(1).cast("long")
-    if (df.count() if max_rows is None else max_rows) <= max_window_rows:
-        ordered = Window.partitionBy(*group).orderBy(*order)
-        upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn("before", F.sum(w).over(upto) - w).withColumn(
-            "total", F.sum(w).over(Window.partitionBy(*group))
-        )
-
     # The range of each row is stored, so that both passes below see the same ranges.
     ranged = stored(
         df.repartitionByRange(*[F.col(g) for g in group], *order).withColumn(
@@ -92,7 +74,7 @@ def running_totals(
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
     return (
         ranged.withColumn("_local", F.sum(w).over(upto) - w)
-        .join(by_range, same)
+        .join(F.broadcast(by_range), same)
         .withColumn("before", F.col("_earlier") + F.col("_local"))
         .drop("_local", "_earlier", "_range", "_r", *[f"_{g}" for g in group])
     )

@@ -7,50 +7,30 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import ratio, running_totals, tier_of, tile_at, window_tiles
-from ..functions.ordering import MAX_WINDOW_ROWS, tile_end
+from ..functions.ordering import tile_end
 from ..sources.shared import stored
 
 
-def product_complexity(
-    product_year: DataFrame,
-    *,
-    n_tiles: int = S.N_TILES,
-    max_window_rows: int = MAX_WINDOW_ROWS,
-) -> DataFrame:
+def product_complexity(product_year: DataFrame, *, n_tiles: int = S.N_TILES) -> DataFrame:
     """Complexity quartile and tier, and export rank, of each product within its year.
 
-    Ties in ``avg_pci`` are ordered by product. Pass a stored ``product_year``: it is counted to
-    choose between windows per year and ranges.
+    Ties in ``avg_pci`` are ordered by product; a NULL year is a year like any other.
     """
     by_complexity = [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc_nulls_first()]
+    placed = running_totals(product_year, ["year"], by_complexity)
+    # The rank of a value is one more than the number of rows with a larger value.
+    values = product_year.groupBy("year", "global_export_value").agg(F.count(F.lit(1)).alias("n"))
     by_exports = F.col("global_export_value").desc_nulls_last()
-    n_rows = product_year.count()
-    if n_rows <= max_window_rows:
-        exports = Window.partitionBy("year").orderBy(by_exports)
-        ranked = product_year.select(
-            "product_id",
-            "year",
-            "avg_pci",
-            "global_export_value",
-            window_tiles(n_tiles, ["year"], by_complexity).alias("complexity_quartile"),
-            F.rank().over(exports).cast("long").alias("export_rank"),
-        )
-    else:
-        sizes = {"max_rows": n_rows, "max_window_rows": max_window_rows}
-        placed = running_totals(product_year, ["year"], by_complexity, **sizes)
-        # The rank of a value is one more than the number of rows with a larger value.
-        values = product_year.groupBy("year", "global_export_value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        ranks = running_totals(values, ["year"], [by_exports], "n", **sizes).select(
-            F.col("year").alias("_year"),
-            F.col("global_export_value").alias("_value"),
-            (F.col("before") + 1).alias("export_rank"),
-        )
-        same_value = F.col("global_export_value").eqNullSafe(F.col("_value"))
-        ranked = placed.withColumn(
-            "complexity_quartile", tile_at(F.col("before") + 1, F.col("total"), n_tiles)
-        ).join(ranks, (F.col("year") == F.col("_year")) & same_value)
+    ranks = running_totals(values, ["year"], [by_exports], "n").select(
+        F.col("year").alias("_year"),
+        F.col("global_export_value").alias("_value"),
+        (F.col("before") + 1).alias("export_rank"),
+    )
+    same_year = F.col("year").eqNullSafe(F.col("_year"))
+    same_value = F.col("global_export_value").eqNullSafe(F.col("_value"))
+    ranked = placed.withColumn(
+        "complexity_quartile", tile_at(F.col("before") + 1, F.col("total"), n_tiles)
+    ).join(ranks, same_year & same_value)
     return ranked.select(
         "product_id",
         "year",
@@ -188,7 +168,6 @@ def coi_growth_analysis(
     last_base_year: int | None = S.LAST_BASE_YEAR,
     n_tiles: int = S.N_TILES,
     by_product: bool = False,
-    max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
     """Export growth in the two upper complexity quartiles, by country and base year.
 
@@ -228,15 +207,20 @@ def coi_growth_analysis(
             "country_id", "product_id", "year", F.col("value_sum").alias("export_value")
         )
     steps = year_steps(country_year, last_base_year)
-    products = product_ranges(totals, product_year, n_tiles, max_window_rows=max_window_rows)
+    products = product_ranges(totals, product_year, n_tiles)
 
     upper, lower = n_tiles, n_tiles - 1
+    # Only products with rows in the upper tiles of some year count; their next year is looked up
+    # once for both kinds of products.
+    reaching = products.filter(F.col("last_tile") >= lower).select("product_id").distinct()
+    targets = stored(
+        _with_target(totals.join(reaching, "product_id", "left_semi"), steps), "targets"
+    )
     tile = F.col("first_tile")
     in_one_tile = products.filter((tile == F.col("last_tile")) & (tile >= lower))
     pair_sum = F.col("target_sum") * F.col("inverse_sum") - F.col("target_rows") * F.col("n_rows")
     whole = (
-        _with_target(totals, steps)
-        .join(in_one_tile.select("product_id", "year", "first_tile"), ["product_id", "year"])
+        targets.join(in_one_tile.select("product_id", "year", "first_tile"), ["product_id", "year"])
         .select(
             "country_id",
             "base_year",
@@ -245,7 +229,7 @@ def coi_growth_analysis(
             F.when(tile == lower, pair_sum).alias("medium"),
         )
     )
-    split = _straddling_growth(rows, totals, products, steps, n_tiles, max_window_rows)
+    split = _straddling_growth(rows, targets, products, n_tiles)
     growth = (
         whole.unionByName(split)
         .groupBy("country_id", "base_year", "target_year")
@@ -271,13 +255,7 @@ def coi_growth_analysis(
     )
 
 
-def product_ranges(
-    totals: DataFrame,
-    product_year: DataFrame,
-    n_tiles: int,
-    *,
-    max_window_rows: int = MAX_WINDOW_ROWS,
-) -> DataFrame:
+def product_ranges(totals: DataFrame, product_year: DataFrame, n_tiles: int) -> DataFrame:
     """First and last quartile of each product's export rows within its year, as a stored table."""
     counts = (
         totals.groupBy("product_id", "year")
@@ -289,8 +267,6 @@ def product_ranges(
         ["year"],
         [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc()],
         "n_rows",
-        max_rows=product_year.count(),
-        max_window_rows=max_window_rows,
     )
     before, total = F.col("before"), F.col("total")
     return stored(
@@ -308,12 +284,7 @@ def product_ranges(
 
 
 def _straddling_growth(
-    rows: DataFrame,
-    totals: DataFrame,
-    products: DataFrame,
-    steps: DataFrame,
-    n_tiles: int,
-    max_window_rows: int,
+    rows: DataFrame, targets: DataFrame, products: DataFrame, n_tiles: int
 ) -> DataFrame:
     """Growth terms of the products whose rows lie in more than one quartile."""
     # At most n_tiles - 1 products per year.
@@ -324,11 +295,7 @@ def _straddling_growth(
         F.col("before").alias("product_before"),
         F.col("total").alias("year_rows"),
     )
-    n_rows = in_several.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    their_totals = totals.join(
-        F.broadcast(straddling.select("product_id").distinct()), "product_id", "left_semi"
-    )
-    targets = _with_target(their_totals, steps).select(
+    targets = targets.select(
         "country_id", "product_id", "year", "base_year", "target_year", "target_sum", "target_rows"
     )
     copies = (
@@ -341,8 +308,6 @@ def _straddling_growth(
         ["product_id", "year"],
         [F.col("country_id").asc_nulls_first(), F.col("export_value").asc()],
         "n",
-        max_rows=n_rows,
-        max_window_rows=max_window_rows,
     ).withColumn("first", F.col("product_before") + F.col("before"))
 
     def in_tile(tile: int):
