@@ -15,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 MARK = "▁"
 #: Distinct chunks that a worker keeps before it starts its table anew.
-TABLE = 1 << 17
-#: Characters of text whose ids are put together at once.
-PIECE_CHARS = 4 << 20
+TABLE = 1 << 16
+#: Bytes of text whose ids are put together at once.
+PIECE_BYTES = 1 << 20
 
 _chunks = re.compile(f"{MARK}+[^{MARK}]*").findall
 _loaded: dict[str, object] = {}
@@ -83,53 +84,63 @@ class ChunkTable:
         return ids, per_text
 
 
-def _groups(values: list[str]) -> Iterator[list[str]]:
-    group: list[str] = []
-    size = 0
-    for value in values:
-        if group and size + len(value) > PIECE_CHARS:
-            yield group
-            group, size = [], 0
-        group.append(value)
-        size += len(value)
-    if group:
-        yield group
+def _groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of consecutive rows and the first of these rows."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    first = size = 0
+    for row, more in enumerate(sizes.tolist()):
+        if row > first and size + more > PIECE_BYTES:
+            yield first, [v or "" for v in column.slice(first, row - first).to_pylist()]
+            first, size = row, 0
+        size += more
+    if first < len(sizes):
+        yield first, [v or "" for v in column.slice(first).to_pylist()]
 
 
-def _with_column(df: DataFrame, name: str, kind: str) -> tuple[list[str], str]:
-    kept = [f.name for f in df.schema if f.name != name]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != name]
-    return kept, ", ".join([*schema, f"{name} {kind}"])
-
-
-def encode(texts: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """Adds ``ids``, the library's ids without begin or end."""
-    kept, schema = _with_column(texts, "ids", "array<int>")
+def _map(df: DataFrame, added: dict[str, str], model_path: str, of_rows) -> DataFrame:
+    """``df`` with columns that ``of_rows(table, rows)`` yields for pieces of each batch."""
+    kept = [f.name for f in df.schema if f.name not in added]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(_model(model_path))
         for batch in batches:
-            values = [v or "" for v in batch.column(text).to_pylist()]
-            first = 0
-            for group in _groups(values):
-                ids, counts = table.encode(group)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                rows = batch.slice(first, len(group))
-                first += len(group)
-                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=[*kept, "ids"])
+            for rows, columns in of_rows(table, batch):
+                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), *columns], names=[*kept, *added])
+
+    return df.mapInArrow(run, ", ".join([*schema, *(f"{name} {kind}" for name, kind in added.items())]))
+
+
+def _encoded(text: str):
+    def of_rows(table: ChunkTable, batch: pa.RecordBatch):
+        for first, group in _groups(batch.column(text)):
+            ids, counts = table.encode(group)
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            yield batch.slice(first, len(group)), [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+
+    return of_rows
+
 
-    return texts.mapInArrow(run, schema)
+def _decoded(table: ChunkTable, ids: pa.ListArray) -> pa.Array:
+    decode = table.model.decode
+    return pa.array([decode(v.values.to_numpy(zero_copy_only=False).tolist()) if v.is_valid and len(v.values) else "" for v in ids], pa.string())
+
+
+def encode(texts: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """Adds ``ids``, the library's ids without begin or end."""
+    return _map(texts, {"ids": "array<int>"}, model_path, _encoded(text))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """Adds ``decoded``, the text that the library makes of ``ids``."""
-    kept, schema = _with_column(encoded, "decoded", "string")
+    return _map(encoded, {"decoded": "string"}, model_path, lambda table, batch: [(batch, [_decoded(table, batch.column("ids"))])])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(model_path)
-        for batch in batches:
-            column = batch.column("ids")
-            decoded = [model.decode(v.values.to_numpy(zero_copy_only=False).tolist()) if v.is_valid and len(v.values) else "" for v in column]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(decoded, pa.string())], names=[*kept, "decoded"])
 
-    return encoded.mapInArrow(run, schema)
+def encode_and_decode(texts: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """``decode(encode(texts))`` with one Python worker for both steps."""
+
+    def of_rows(table: ChunkTable, batch: pa.RecordBatch):
+        for rows, (ids,) in _encoded(text)(table, batch):
+            yield rows, [ids, _decoded(table, ids)]
+
+    return _map(texts, {"ids": "array<int>", "decoded": "string"}, model_path, of_rows)
