@@ -31,5 +31,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         links = stored(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
         now = _summary(links)
         if now == last:
-            return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
+            roots = links.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("component"))
+            return links.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(roots)
         last = now

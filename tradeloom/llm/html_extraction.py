@@ -63,7 +63,7 @@ class Page:
     """Elements in page order, and pieces of text with their element and block."""
 
     def __init__(self, source: str) -> None:
-        self.parent, self.path, self.container, self.dropped, self.link = [-1], [""], [False], [False], [False]
+        self.parent, self.path, self.container, self.dropped, self.link = [-1], [""], [True], [False], [False]
         self.pieces: list[tuple[int, int, str]] = []
         stack: list[tuple[str, int]] = [("", 0)]
         open_: dict[str, int] = {}
@@ -154,7 +154,8 @@ class Page:
 
     def text(self, path: str) -> str:
         """Blocks of all elements on a path, without dropped parts."""
-        inside = [False] * len(self.path)
+        # The page itself is the first element, for pages without a body.
+        inside = [path == ""] * len(self.path)
         for element in range(1, len(self.path)):
             inside[element] = self.path[element] == path or inside[self.parent[element]]
         blocks: dict[int, list[str]] = {}
@@ -200,9 +201,9 @@ def extract(pages: DataFrame, url: str = "url") -> DataFrame:
     kept = [c for c in pages.columns if c != "text"]
     columns = [F.col(f"`{c}`") for c in kept]
     hosted = pages.select(*columns, host.alias("_host"))
-    winners = stored(host_paths(hosted.select(F.col("_host").alias("host"), "html")), "host-paths")
+    winners = stored(host_paths(hosted.select(F.col("_host").alias("host"), "html")).toDF("_host", "_winner"), "host-paths")
     # The stored winners' size decides between a broadcast and a sort-merge join.
-    chosen = hosted.join(winners.withColumnRenamed("host", "_host"), "_host", "left").select(*columns, F.col("winner").alias("_winner"))
+    chosen = hosted.join(winners, "_host", "left").select(*columns, "_winner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
