@@ -82,3 +82,19 @@ def test_hot_copies_collapse_before_the_join(fact_of):
     join = plan.index("Join LeftOuter")
     assert plan.index("Aggregate") > join
     assert "LeftAnti" not in plan
+
+
+def test_keys_of_all_sources_are_shuffled_once(spark, fact_of):
+    """One reduction of the keys, whose partitioning the join uses, for any number of sources."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for null_safe in (False, True):
+            merged = ingest.new_rows(fact_of(*RAW), [fact_of(*RAW)] * 3, null_safe=null_safe)
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+            on_key = [x for x in plan.splitlines() if "Exchange hashpartitioning(_key" in x]
+            # The reduced keys, and the rows that are compared with them.
+            assert len(on_key) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

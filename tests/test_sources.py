@@ -117,7 +117,7 @@ def test_landing_keeps_text_whole(spark, tmp_path):
 def test_load_appends_unless_told_to_overwrite(spark, tmp_path, database):
     write_gz(tmp_path / f"{TABLE}.csv.gz", HEADER, line(1, 2, 3, 2015))
     report = raw_csv.load_raw_tables(spark, str(tmp_path), database).collect()
-    assert [tuple(r)[:4] for r in report] == [(TABLE, 1, 1, raw_csv.LOADED)]
+    assert [tuple(r)[:5] for r in report] == [(TABLE, 1, 1, 0, raw_csv.LOADED)]
     raw_csv.load_raw_tables(spark, str(tmp_path), database)
     assert spark.table(f"{database}.{TABLE}").count() == 2
     raw_csv.load_raw_tables(spark, str(tmp_path), database, mode="overwrite")
@@ -177,7 +177,10 @@ def test_build_then_merge(spark, tmp_path, database):
     built = build.build_all(spark, database)
     assert built["combined_trade_data"].count() == 9
     assert built["v_global_yearly_metrics"].count() == 2
-    assert spark.table("v_portfolio_evolution").count() == 2
+    # Another session reads the views by their full name.
+    other = spark.newSession()
+    assert other.table(f"{database}.v_portfolio_evolution").count() == 2
+    assert "v_portfolio_evolution" not in [t.name for t in spark.catalog.listTables("default")]
     # Again: nothing new but the row without a partner, which matches nothing.
     assert build.build_combined(spark, database).count() == 10
     assert build.build_combined(spark, database, null_safe=True).count() == 10
@@ -214,3 +217,39 @@ def test_stream_equals_combined(spark, tmp_path, database, bench):
     found = tables.fact_in(spark, table)
     assert found.exceptAll(expected).count() == 0
     assert expected.exceptAll(found).count() == 0
+
+
+def test_header_order_of_each_part(spark, tmp_path):
+    """Parts with the same columns in another order, and with a column of their own."""
+    for name, text in {
+        "a": "country_id,export_value,import_value,year\n1,10,20,2015\n",
+        "b": "year,import_value,country_id,export_value,note\n2016,21,2,11,n\n",
+    }.items():
+        (tmp_path / f"{name}.csv.gz").write_bytes(gzip.compress(text.encode()))
+    rows = raw_csv.read_raw_csv(spark, str(tmp_path)).collect()
+    found = {r["country_id"]: (r["export_value"], r["import_value"], r["year"], r["note"]) for r in rows}
+    assert found == {1: (10.0, 20.0, 2015, None), 2: (11.0, 21.0, 2016, "n")}
+
+
+def test_unreadable_values_are_counted_and_broken_files_reported(spark, tmp_path, database):
+    header = "country_id,partner_country_id,product_id,year,export_value,import_value\n"
+    good = gzip.compress((header + '1,2,3,2015,"1,000",5\n1,2,4,2015,7,\n').encode())
+    (tmp_path / "good_country_country_product_year_6.csv.gz").write_bytes(good)
+    random_rows = "".join(f"{i},2,3,2015,{i * 7919 % 1000003},{i * 104729 % 1000003}\n" for i in range(5000))
+    cut = gzip.compress((header + random_rows).encode())
+    (tmp_path / "cut_country_country_product_year_6.csv.gz").write_bytes(cut[: len(cut) // 2])
+    report = {r["table_name"][:4]: r for r in raw_csv.load_raw_tables(spark, str(tmp_path), database).collect()}
+    assert (report["good"]["status"], report["good"]["rows"], report["good"]["rejected"]) == ("loaded", 2, 1)
+    assert report["cut_"]["status"] == "error" and len(report["cut_"]["message"]) > 20
+
+
+def test_a_half_landed_table_is_landed_again(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text("a,b\n1,2\n3,4\n")
+    half = tmp_path / "out" / "t"
+    half.mkdir(parents=True)
+    (half / "part-0.csv.gz").write_bytes(gzip.compress(b"a,b\n1,2\n"))
+    land = lambda: raw_csv.land_csv(spark, str(tmp_path / "in"), str(tmp_path / "out")).first()["status"]
+    assert land() == "uploaded"
+    assert raw_csv.read_raw_csv(spark, str(half)).count() == 2
+    assert land() == "already_exists"

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..sources.shared import stored
 
 
 def _valid_rows(raw: DataFrame, min_year: int) -> DataFrame:
@@ -37,35 +36,52 @@ def combined_trade_data(sources: Sequence[DataFrame], *, min_year: int = S.MIN_Y
     ).distinct()
 
 
-def unmatched_rows(
-    existing: DataFrame, raw: DataFrame, *, null_safe: bool = False, min_year: int = S.MIN_YEAR
+def new_rows(
+    existing: DataFrame,
+    sources: Sequence[DataFrame],
+    *,
+    null_safe: bool = False,
+    min_year: int = S.MIN_YEAR,
 ) -> DataFrame:
-    """Cleaned rows of ``raw`` whose key (country, partner, product, year) is not in ``existing``.
+    """Cleaned rows of ``sources`` that an insert-only merge, source by source, adds to ``existing``.
 
-    By default a NULL in the key matches nothing, so such rows come out on every run;
-    ``null_safe=True`` treats NULL as a key value.
+    A key is (country, partner, product, year), and the first that has it, ``existing`` or a source,
+    supplies its rows. By default a NULL in the key matches nothing, so such rows come out on every
+    run; ``null_safe=True`` treats NULL as a key value. All sources are compared in one pass: the
+    keys of the existing rows and of all sources are reduced to the first that has each, in one
+    shuffle, and rows are kept where that is their own source.
     """
-    fresh = clean_source(raw, min_year=min_year)
-    # One row per year: where ``existing`` is partitioned by year, other years are not read.
-    years = _valid_rows(raw, min_year).select("year").distinct()
-    # One row per key: the join needs no second shuffle of this side and adds no rows.
-    keys = (
-        existing.join(F.broadcast(years), "year", "left_semi")
-        .select(*[F.col(k).alias(f"_{k}") for k in S.FACT_KEYS])
-        .distinct()
-        .withColumn("_matched", F.lit(True))
-    )
-    same = F.lit(True)
-    for k in S.FACT_KEYS:
-        left, right = F.col(k), F.col(f"_{k}")
-        same = same & (left.eqNullSafe(right) if null_safe else left == right)
-    # An anti-join would be moved below the distinct of ``fresh``; all copies of a row would then
-    # meet in one task of the join.
+    tagged = [
+        _valid_rows(raw, min_year).withColumn("_source", F.lit(n)) for n, raw in enumerate(sources, 1)
+    ]
+    # Copies collapse here, before rows of one key meet.
+    fresh = reduce(DataFrame.unionByName, tagged).distinct()
+    # A struct equals another one with NULLs in the same places, so the reduction and the join are
+    # on one expression and share a partitioning.
+    key = F.struct(*S.FACT_KEYS).alias("_key")
+    # Where ``existing`` is partitioned by year, other years are not read.
+    years = fresh.select("year").distinct()
+    seen = existing.join(years, "year", "left_semi").select(*S.FACT_KEYS, F.lit(0).alias("_source"))
+    keys = seen.unionByName(fresh.select(*S.FACT_KEYS, "_source"))
+    if not null_safe:
+        keys = keys.dropna(subset=list(S.FACT_KEYS))
+    first = keys.select(key, "_source").groupBy("_key").agg(F.min("_source").alias("_first"))
     return (
-        fresh.join(keys, same, "left").filter(F.col("_matched").isNull()).select(*S.FACT_COLUMNS)
+        fresh.withColumn("_key", key)
+        .join(first, "_key", "left")
+        .filter(F.col("_first").isNull() | (F.col("_first") == F.col("_source")))
+        # With a NULL in the key, a row that several sources have is new in each of them.
+        .select(*S.FACT_COLUMNS)
     )
 
 
+def unmatched_rows(
+    existing: DataFrame, raw: DataFrame, *, null_safe: bool = False, min_year: int = S.MIN_YEAR
+) -> DataFrame:
+    """``new_rows`` of one source."""
+    return new_rows(existing, [raw], null_safe=null_safe, min_year=min_year)
+
+
 def merge_combined(
     existing: DataFrame,
     sources: Sequence[DataFrame],
@@ -73,13 +89,8 @@ def merge_combined(
     null_safe: bool = False,
     min_year: int = S.MIN_YEAR,
 ) -> DataFrame:
-    """``existing`` plus, source by source, the rows with new keys (insert-only merge).
-
-    The new rows of a source are stored where a later source is compared with them.
-    """
-    parts = [existing.select(*S.FACT_COLUMNS)]
-    for place, raw in enumerate(sources, 1):
-        so_far = reduce(DataFrame.unionByName, parts)
-        fresh = unmatched_rows(so_far, raw, null_safe=null_safe, min_year=min_year)
-        parts.append(stored(fresh, "merged-source") if place < len(sources) else fresh)
-    return reduce(DataFrame.unionByName, parts)
+    """``existing`` plus, source by source, the rows with new keys (insert-only merge)."""
+    rows = existing.select(*S.FACT_COLUMNS)
+    if not sources:
+        return rows
+    return rows.unionByName(new_rows(rows, sources, null_safe=null_safe, min_year=min_year))

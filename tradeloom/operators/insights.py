@@ -185,19 +185,18 @@ def diversification_score(rows: DataFrame) -> DataFrame:
 
 
 def combined_score_top(scored: DataFrame, n: int = 20) -> DataFrame:
-    """Mean score of the countries that hold the ``n`` best rows, best first."""
-    best = (
-        scored.orderBy(F.col("combined_score").desc_nulls_last(), "country_id")
-        .limit(n)
-        .select("country_id")
-        .distinct()
-    )
+    """Mean score of the countries that hold the ``n`` best rows, best first.
+
+    ``scored`` has one row per country and year, so one task can put them in order.
+    """
+    best = Window.orderBy(F.col("combined_score").desc_nulls_last(), "country_id")
     return (
-        scored.join(best, "country_id", "left_semi")
+        scored.withColumn("place", F.row_number().over(best))
         .groupBy("country_id")
-        .agg(F.avg("combined_score").alias("combined_score"))
-        .filter(F.col("combined_score").isNotNull())
+        .agg(F.avg("combined_score").alias("combined_score"), F.min("place").alias("place"))
+        .filter(F.col("combined_score").isNotNull() & (F.col("place") <= n))
         .orderBy(F.col("combined_score").desc(), "country_id")
+        .drop("place")
     )
 
 

@@ -15,6 +15,7 @@ ECI_UP_BALANCE_DOWN = "ECI improving, balance worsening"
 ECI_DOWN_BALANCE_UP = "ECI worsening, balance improving"
 SPECIALIST = "High-complexity specialist"
 BALANCED = "Balanced high-complexity exporter"
+UNKNOWN_CATEGORY = "Unknown"
 LOW_EXPORTER = "Low-complexity exporter"
 
 
@@ -169,7 +170,8 @@ def v_product_complexity_leaders(
 ) -> DataFrame:
     """Countries' trade in high-complexity products, rank by its balance, and leading categories.
 
-    ``categories`` maps ``product_id`` to ``product_category``. ``leadership_score`` is the mean
+    ``categories`` maps ``product_id`` to ``product_category``; products that it lacks share the
+    category ``UNKNOWN_CATEGORY``. ``leadership_score`` is the mean
     rank of a country over its years.
     """
     high = F.col("complexity_tier") == S.HIGH
@@ -198,18 +200,19 @@ def v_product_complexity_leaders(
     by_balance = Window.partitionBy("year").orderBy(F.col("high_complexity_trade_balance").desc())
     ranked = trade.withColumn("trade_balance_rank", F.rank().over(by_balance).cast("long"))
 
-    high_products = complexity.filter(high).select("product_id", "year")
-    by_product = (
-        fact.filter(F.col("export_value") > 0)
-        .select("country_id", "product_id", "year", "export_value")
-        .join(high_products, ["product_id", "year"], "left_semi")
-        .groupBy("country_id", "year", "product_id")
-        .agg(F.sum("export_value").alias("exports"))
+    # Products are few, so each gets its category before the rows are joined and summed once.
+    high_products = (
+        complexity.filter(high)
+        .select("product_id", "year")
+        .join(categories, "product_id", "left")
+        .withColumn("product_category", F.coalesce("product_category", F.lit(UNKNOWN_CATEGORY)))
     )
     by_category = (
-        by_product.join(categories, "product_id")
+        fact.filter(F.col("export_value") > 0)
+        .select("country_id", "product_id", "year", "export_value")
+        .join(high_products, ["product_id", "year"])
         .groupBy("country_id", "year", "product_category")
-        .agg(F.sum("exports").alias("exports"))
+        .agg(F.sum("export_value").alias("exports"))
     )
     by_exports = Window.partitionBy("country_id", "year").orderBy(
         F.col("exports").desc(), "product_category"

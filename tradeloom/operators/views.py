@@ -71,3 +71,38 @@ def v_portfolio_evolution(portfolio: DataFrame, dynamics: DataFrame) -> DataFram
     return portfolio.join(dynamics, ["country_id", "year"]).select(
         "country_id", "year", *SHARES, "eci", F.rank().over(by_year).cast("long").alias("eci_rank")
     )
+
+
+def catalog_views(database: str) -> dict[str, str]:
+    """SQL of the views that the catalog keeps, over the metric tables of ``database``."""
+    table = f"{database}.".__add__
+    shares = ", ".join(f"p.{c}" for c in SHARES)
+    dynamics = table("complexity_dynamics")
+    return {
+        "v_eci_balance_trends": f"""
+            SELECT country_id, year, eci, eci_change, trade_balance, balance_change, trend_category
+            FROM {dynamics}""",
+        "v_export_complexity_portfolio": f"""
+            SELECT p.country_id, p.year, {shares}, p.weighted_complexity, d.eci
+            FROM {table("export_portfolio")} p JOIN {dynamics} d
+            ON p.country_id = d.country_id AND p.year = d.year""",
+        "v_diversification_complexity": f"""
+            SELECT p.country_id, p.year, p.partner_count, p.partner_hhi, p.concentration_category,
+                   d.eci, d.eci_change
+            FROM {table("partner_diversification")} p JOIN {dynamics} d
+            ON p.country_id = d.country_id AND p.year = d.year""",
+        "v_coi_predictive_power": f"""
+            SELECT coi_quartile, base_year,
+                   avg(high_complexity_growth) AS avg_high_complexity_growth,
+                   avg(medium_high_growth) AS avg_medium_high_growth,
+                   stddev_samp(high_complexity_growth) AS std_high_complexity_growth,
+                   stddev_samp(medium_high_growth) AS std_medium_high_growth,
+                   count(*) AS country_count
+            FROM {table("coi_growth_analysis")} GROUP BY coi_quartile, base_year""",
+        "v_portfolio_evolution": f"""
+            SELECT p.country_id, p.year, {shares}, d.eci,
+                   CAST(rank() OVER (PARTITION BY p.year ORDER BY d.eci DESC NULLS LAST) AS BIGINT)
+                       AS eci_rank
+            FROM {table("export_portfolio")} p JOIN {dynamics} d
+            ON p.country_id = d.country_id AND p.year = d.year""",
+    }

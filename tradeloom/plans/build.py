@@ -21,9 +21,7 @@ def build_combined(
     _, has_rows = tables.table_status(spark, target)
     if not has_rows:
         return tables.write_fact_table(ingest.combined_trade_data(sources), target)
-    for raw in sources:
-        tables.merge_into(spark, target, raw, null_safe=null_safe)
-    return tables.fact_in(spark, target)
+    return tables.merge_into(spark, target, *sources, null_safe=null_safe)
 
 
 def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -60,14 +58,14 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
             product_totals=product_year.withColumnRenamed("global_export_value", "product_total"),
         ),
     )
-    dynamics = built["complexity_dynamics"] = keep(
+    built["complexity_dynamics"] = keep(
         "complexity_dynamics", metrics.complexity_dynamics(country_year)
     )
     tiers = built["product_complexity"] = keep(
         "product_complexity", complexity.product_complexity(product_year)
     )
     exports = metrics.positive_exports(fact)
-    portfolio = built["export_portfolio"] = keep(
+    built["export_portfolio"] = keep(
         "export_portfolio",
         complexity.export_portfolio(
             exports,
@@ -78,11 +76,11 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
             all_products_known=True,
         ),
     )
-    diversification = built["partner_diversification"] = keep(
+    built["partner_diversification"] = keep(
         "partner_diversification",
         metrics.partner_diversification(metrics.partner_flows(by_partner)),
     )
-    growth = built["coi_growth_analysis"] = keep(
+    built["coi_growth_analysis"] = keep(
         "coi_growth_analysis",
         complexity.coi_growth_analysis(
             country_year,
@@ -94,16 +92,8 @@ def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     built["v_global_yearly_metrics"] = keep(
         "v_global_yearly_metrics", views.v_global_yearly_metrics(country_year)
     )
-    for name, view in {
-        "v_eci_balance_trends": views.v_eci_balance_trends(dynamics),
-        "v_export_complexity_portfolio": views.v_export_complexity_portfolio(portfolio, dynamics),
-        "v_diversification_complexity": views.v_diversification_complexity(
-            diversification, dynamics
-        ),
-        "v_coi_predictive_power": views.v_coi_predictive_power(growth),
-        "v_portfolio_evolution": views.v_portfolio_evolution(portfolio, dynamics),
-    }.items():
-        built[name] = tables.replace_view(view, name)
+    for name, sql in views.catalog_views(database).items():
+        built[name] = tables.replace_database_view(spark, f"{database}.{name}", sql)
     return built
 
 

@@ -49,6 +49,13 @@ RELATIONS = {
         SELECT DISTINCT * FROM raw_b
         WHERE year >= 2012 AND export_value >= 0 AND import_value >= 0""",
     "combined": "SELECT * FROM clean_a UNION SELECT * FROM clean_b",
+    "early_a": "SELECT * FROM clean_a WHERE year < 2018",
+    "two_so_far": """
+        SELECT * FROM early_a UNION ALL
+        SELECT * FROM clean_b s WHERE NOT EXISTS (
+            SELECT 1 FROM early_a t
+            WHERE t.country_id = s.country_id AND t.partner_country_id = s.partner_country_id
+              AND t.product_id = s.product_id AND t.year = s.year)""",
     "country_year": """
         SELECT country_id, year, max(eci) AS eci, max(coi) AS coi,
                sum(export_value) AS total_exports, sum(import_value) AS total_imports,
@@ -146,10 +153,10 @@ RELATIONS = {
         SELECT country_id, year, count(*) AS partner_count, sum(part * part) AS partner_hhi
         FROM partner_parts GROUP BY ALL""",
     "diversification": """
-        SELECT *, CASE WHEN partner_hhi >= 0.45e0 THEN 'Highly Concentrated'
-                       WHEN partner_hhi >= 0.25e0 THEN 'Moderately Concentrated'
-                       WHEN partner_hhi >= 0.15e0 THEN 'Moderately Diversified'
-                       ELSE 'Highly Diversified' END AS concentration_category
+        SELECT *, CASE WHEN partner_hhi < 0.15e0 THEN 'Highly Diversified'
+                       WHEN partner_hhi < 0.25e0 THEN 'Moderately Diversified'
+                       WHEN partner_hhi < 0.45e0 THEN 'Moderately Concentrated'
+                       ELSE 'Highly Concentrated' END AS concentration_category
         FROM concentrations""",
     "year_steps": """
         SELECT base_year, (SELECT min(year) FROM country_year WHERE year > base_year)
@@ -311,12 +318,13 @@ RELATIONS = {
                sum(export_value) AS all_e
         FROM tiered GROUP BY country_id, year""",
     "category_places": """
-        SELECT country_id, year, p_brand AS category,
+        SELECT country_id, year, category,
                row_number() OVER (PARTITION BY country_id, year
-                                  ORDER BY sum(export_value) DESC, p_brand) AS place
-        FROM tiered JOIN part ON product_id = p_partkey
+                                  ORDER BY sum(export_value) DESC, category) AS place
+        FROM (SELECT t.*, coalesce(p_brand, 'Unknown') AS category
+              FROM tiered t LEFT JOIN part ON product_id = p_partkey)
         WHERE complexity_tier = 'High Complexity' AND export_value > 0
-        GROUP BY country_id, year, p_brand""",
+        GROUP BY country_id, year, category""",
     "category_columns": """
         SELECT country_id, year, max(category) FILTER (WHERE place = 1) AS top_product_category,
                max(category) FILTER (WHERE place = 2) AS second_product_category,
@@ -403,20 +411,26 @@ _BUILT = {
     "v_portfolio_evolution": "evolution",
 }
 
+# Relations that the sources are made from or made of.
+_FROM_FACT = ("flow", "fact", "dirty", "raw_a", "raw_b", "clean_a", "clean_b", "combined")
+
 SOURCE_ONE = "one_country_country_product_year_6"
 SOURCE_TWO = "two_country_country_product_year_6"
 
 QUERIES = {
     # Sources
     "landing_report": f"""
-        SELECT '{SOURCE_ONE}' AS table_name, 'uploaded' AS status
-        UNION ALL SELECT '{SOURCE_TWO}', 'uploaded'""",
+        SELECT '{SOURCE_ONE}' AS table_name, 'uploaded' AS status, count(*) AS row_count,
+               round(sum(export_value) / 1e6, 3) AS exports_in_millions FROM raw_a
+        UNION ALL SELECT '{SOURCE_TWO}', 'uploaded', count(*), round(sum(export_value) / 1e6, 3)
+        FROM raw_b""",
     "raw_csv_rows": f"""
         SELECT *, '{SOURCE_ONE}' AS table_name FROM raw_a
         UNION ALL SELECT *, '{SOURCE_TWO}' FROM raw_b""",
     "load_report": f"""
-        SELECT '{SOURCE_ONE}' AS table_name, count(*) AS rows, 'loaded' AS status FROM raw_a
-        UNION ALL SELECT '{SOURCE_TWO}', count(*), 'loaded' FROM raw_b""",
+        SELECT '{SOURCE_ONE}' AS table_name, count(*) AS rows, CAST(0 AS BIGINT) AS rejected,
+               'loaded' AS status FROM raw_a
+        UNION ALL SELECT '{SOURCE_TWO}', count(*), 0, 'loaded' FROM raw_b""",
     "load_counts": """
         SELECT CAST(2 AS BIGINT) AS total, CAST(2 AS BIGINT) AS loaded,
                CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS error""",
@@ -424,12 +438,25 @@ QUERIES = {
         SELECT '{SOURCE_ONE}' AS table_name, true AS table_exists, count(*) > 0 AS has_data
         FROM raw_a
         UNION ALL SELECT '{SOURCE_TWO}', true, count(*) > 0 FROM raw_b
-        UNION ALL SELECT 'combined_trade_data', false, false""",
+        UNION ALL SELECT 'combined_trade_data', false, false
+        UNION ALL SELECT 'combined_trade_data built', true, count(*) > 0 FROM combined""",
     "incremental_ingest": "SELECT * FROM combined",
     # Pipeline tables
     "directed_flows": "SELECT * FROM flow",
     "fact_table": "SELECT * FROM fact",
-    "clean_source": "SELECT * FROM clean_a",
+    "clean_source": f"""
+        SELECT *, '{SOURCE_ONE}' AS table_name FROM clean_a
+        UNION ALL SELECT *, '{SOURCE_TWO}' FROM clean_b""",
+    "merge_three_sources": """
+        SELECT * FROM two_so_far UNION ALL
+        SELECT * FROM clean_a s WHERE NOT EXISTS (
+            SELECT 1 FROM two_so_far t
+            WHERE t.country_id = s.country_id AND t.partner_country_id = s.partner_country_id
+              AND t.product_id = s.product_id AND t.year = s.year)""",
+    "eci_text_of_all": "SELECT country_id, year, printf('%.2f', eci) AS eci_text FROM evolution",
+    "share_text_of_all": "SELECT country_id, year, " + ", ".join(
+        f"printf('%.1f%%', round({c}, 6) * 100) AS {c}" for c in SHARES.split()
+    ) + " FROM portfolio",
     "combined_trade_data": "SELECT * FROM combined",
     "merge_combined": """
         SELECT * FROM clean_a UNION ALL
@@ -702,7 +729,7 @@ def oracle_sql() -> dict[str, str]:
     found = {name: _with_relations(sql, RELATIONS) for name, sql in QUERIES.items()}
     # In the full build the metric tables come from the cleaned sources, not from the whole fact.
     cleaned = {
-        name: sql if name in ("flow", "fact", "dirty", "raw_a", "raw_b", "clean_a", "clean_b")
+        name: sql if name in _FROM_FACT
         else re.sub(r"\bfact\b", "combined", sql)
         for name, sql in RELATIONS.items()
     }
@@ -711,4 +738,13 @@ def oracle_sql() -> dict[str, str]:
         for table, relation in _BUILT.items()
     )
     found["full_build"] = _with_relations(counts, cleaned)
+    # Built from one source and then again with the other one merged in.
+    of_merged = {}
+    for name, sql in RELATIONS.items():
+        of_merged[name] = sql if name in _FROM_FACT else re.sub(r"\bfact\b", "merged_fact", sql)
+        if name == "clean_b":
+            of_merged["merged_fact"] = QUERIES["merge_combined_null_safe"]
+    for name in _BUILT:
+        sql = "SELECT * FROM merged_fact" if name == "combined_trade_data" else QUERIES[name]
+        found[f"built_{name}"] = _with_relations(sql, of_merged)
     return found

@@ -12,6 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed_text, percent_text
 from ..operators import complexity, ingest, insights, metrics, reports, views
 from ..operators.views import SHARES
 from ..sources import raw_csv, tables
@@ -53,6 +54,21 @@ def combined(w: Workbench) -> DataFrame:
     return ingest.combined_trade_data(w.raw)
 
 
+def cleaned_sources(w: Workbench) -> DataFrame:
+    parts = [
+        ingest.clean_source(raw).withColumn("table_name", F.lit(name))
+        for name, raw in zip(SOURCES, w.raw)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def merged_in_turn(w: Workbench) -> DataFrame:
+    """The early years of one source, then the other one, then all years of the first."""
+    first, second = w.raw
+    early = ingest.clean_source(first).filter(F.col("year") < BASE_YEAR + 2)
+    return ingest.merge_combined(early, [second, first])
+
+
 def merged(w: Workbench, *, null_safe: bool) -> DataFrame:
     first, second = w.raw
     return ingest.merge_combined(ingest.clean_source(first), [second], null_safe=null_safe)
@@ -67,11 +83,20 @@ def _landed(w: Workbench) -> tuple[str, DataFrame]:
 
 
 def landing_report(w: Workbench) -> DataFrame:
-    return _landed(w)[1].select("table_name", "status")
+    """What landing reports, with the rows and exports that arrived."""
+    landing, report = _landed(w)
+    return report.select("table_name", "status").join(
+        _landed_rows(w, landing)
+        .groupBy("table_name")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.round(F.sum("export_value") / F.lit(1e6), 3).alias("exports_in_millions"),
+        ),
+        "table_name",
+    )
 
 
-def raw_csv_rows(w: Workbench) -> DataFrame:
-    landing, _ = _landed(w)
+def _landed_rows(w: Workbench, landing: str) -> DataFrame:
     parts = [
         raw_csv.read_raw_csv(w.spark, f"{landing}/{name}").withColumn("table_name", F.lit(name))
         for name in SOURCES
@@ -79,6 +104,10 @@ def raw_csv_rows(w: Workbench) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def raw_csv_rows(w: Workbench) -> DataFrame:
+    return _landed_rows(w, _landed(w)[0])
+
+
 def new_database(w: Workbench) -> str:
     path = new_path(w.spark, "database")
     name = "tradeloom_" + path.rsplit("-", 1)[-1]
@@ -93,7 +122,7 @@ def _loaded(w: Workbench) -> tuple[str, DataFrame]:
 
 
 def load_report(w: Workbench) -> DataFrame:
-    return _loaded(w)[1].select("table_name", "rows", "status")
+    return _loaded(w)[1].select("table_name", "rows", "rejected", "status")
 
 
 def load_counts(w: Workbench) -> DataFrame:
@@ -104,12 +133,36 @@ def source_discovery(w: Workbench) -> DataFrame:
     database, _ = _loaded(w)
     names = tables.source_tables(w.spark, database)
     rows = [(name, *tables.table_status(w.spark, f"{database}.{name}")) for name in names]
-    rows.append(("combined_trade_data", *tables.table_status(w.spark, f"{database}.absent")))
+    combined_table = f"{database}.{build.COMBINED}"
+    rows.append((build.COMBINED, *tables.table_status(w.spark, combined_table)))
+    build.build_combined(w.spark, database)
+    rows.append((f"{build.COMBINED} built", *tables.table_status(w.spark, combined_table)))
     return w.spark.createDataFrame(
         rows, "table_name string, table_exists boolean, has_data boolean"
     )
 
 
+def _built_twice(w: Workbench) -> str:
+    """A database built from the first source, then again with the second one merged in."""
+
+    def make() -> str:
+        database = new_database(w)
+        for name, rows in zip(SOURCES, w.raw):
+            rows.write.saveAsTable(f"{database}.{name}")
+            build.build_all(w.spark, database, null_safe=True)
+        return database
+
+    return w.once("built-twice", make)
+
+
+def built_table(name: str, digits: dict[str, int], w: Workbench) -> DataFrame:
+    """A table or view of the database by its full name, as another session would read it."""
+    found = w.spark.table(f"{_built_twice(w)}.{name}")
+    for column, places in digits.items():
+        found = rounded(found, [column], places)
+    return found
+
+
 def full_build(w: Workbench) -> DataFrame:
     """Row counts of all tables and views after building a database from landed files."""
     database, _ = _loaded(w)
@@ -172,6 +225,28 @@ def _scored(w: Workbench) -> DataFrame:
 SCORES = ["partner_hhi", "diversification_score", "combined_score"]
 PORTFOLIO = [*SHARES, "weighted_complexity", "top10_concentration"]
 
+_SIX = dict.fromkeys([*PORTFOLIO, "partner_hhi"], 6)
+_NINE = dict.fromkeys(["export_share", "global_market_share"], 9)
+_FOUR = dict.fromkeys([*GROWTH, *SPREAD], 4)
+BUILT = [
+    "combined_trade_data",
+    "country_year_metrics",
+    "product_year_metrics",
+    "bilateral_flows",
+    "export_specialization",
+    "complexity_dynamics",
+    "product_complexity",
+    "export_portfolio",
+    "partner_diversification",
+    "coi_growth_analysis",
+    "v_global_yearly_metrics",
+    "v_eci_balance_trends",
+    "v_export_complexity_portfolio",
+    "v_diversification_complexity",
+    "v_coi_predictive_power",
+    "v_portfolio_evolution",
+]
+
 BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     # Sources
     "landing_report": landing_report,
@@ -180,12 +255,14 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "load_counts": load_counts,
     "source_discovery": source_discovery,
     "full_build": full_build,
+    **{f"built_{name}": partial(built_table, name, _SIX | _NINE | _FOUR) for name in BUILT},
     "incremental_ingest": incremental_ingest,
     # Pipeline tables
-    "clean_source": lambda w: ingest.clean_source(w.raw[0]),
+    "clean_source": cleaned_sources,
     "combined_trade_data": combined,
     "merge_combined": partial(merged, null_safe=False),
     "merge_combined_null_safe": partial(merged, null_safe=True),
+    "merge_three_sources": merged_in_turn,
     "country_year_metrics": Workbench.new_country_year,
     "product_year_metrics": Workbench.new_product_year,
     "bilateral_flows": lambda w: w.flows,
@@ -240,6 +317,12 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
         ),
         SHARES,
     ),
+    "eci_text_of_all": lambda w: w.evolution.select(
+        "country_id", "year", fixed_text(F.col("eci")).alias("eci_text")
+    ),
+    "share_text_of_all": lambda w: w.portfolio.select(
+        "country_id", "year", *[percent_text(F.round(c, 6)).alias(c) for c in SHARES]
+    ),
     "trend_split_with_change": lambda w: insights.trend_split(w.trends, with_change=True),
     "trend_split_no_change": lambda w: insights.trend_split(
         views.v_eci_balance_trends(_corrected_dynamics(w)), with_change=False

@@ -25,6 +25,7 @@ class Workbench:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
+        self._made: dict[str, str] = {}
         self._lock = threading.RLock()
 
     def _stored(
@@ -35,6 +36,13 @@ class Workbench:
                 self._tables[name] = stored(make(), name, partition_by=partition_by)
             return self._tables[name]
 
+    def once(self, name: str, make: Callable[[], str]) -> str:
+        """The result of ``make``, called once for this folder."""
+        with self._lock:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
+
     @property
     def fact(self) -> DataFrame:
         return self._stored(

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+import csv
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from .shared import path_exists
+from .shared import first_line, path_exists
+
+#: Errors of a read arrive in either form.
+READ_ERRORS = (PySparkException, Py4JJavaError)
 
 LOADED, SKIPPED, ERROR = "loaded", "skipped", "error"
 UPLOADED, ALREADY_EXISTS = "uploaded", "already_exists"
 
+_KNOWN = {f.name: f.dataType for f in S.FACT_SCHEMA.fields}
+
 LANDING_SCHEMA = (
     "table_name string, status string, original_bytes long, landed_bytes long, message string"
 )
-LOAD_SCHEMA = "table_name string, files long, rows long, status string, message string"
+LOAD_SCHEMA = (
+    "table_name string, files long, rows long, rejected long, status string, message string"
+)
 
 
 def list_files(spark: SparkSession, folder: str, glob: str, suffix: str) -> DataFrame:
@@ -62,36 +72,74 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
     )
 
 
-def typed(text: DataFrame) -> DataFrame:
-    """Give the known columns of text rows their types; what cannot be read becomes NULL.
+def csv_rows(spark: SparkSession, files: list[str], *, multi_line: bool = True) -> DataFrame:
+    """Text rows of CSV files whose headers may have other columns or another order.
+
+    Each file's header is read first, one line per file. Files with one header are one scan, with the
+    columns as that header names them; scans are put together by name.
+    """
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda file: first_line(spark, file), files))
+    groups: dict[str, list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in S.FACT_COLUMNS))
+    scans = []
+    for header, same in sorted(groups.items()):
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        scans.append(_csv_reader(spark, multi_line).schema(schema).csv(same))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _typed_column(name: str) -> Column:
+    """A known column in its type, NULL where it cannot be read; any other column as it is.
 
     An identifier may be written as a whole number with decimals, such as ``840.0``.
     """
-    types = {f.name: f.dataType for f in S.FACT_SCHEMA.fields}
+    kind = _KNOWN.get(name)
+    value = F.col(name)
+    if kind is None:
+        return value
+    number = value.try_cast("double")
+    if kind != T.LongType():
+        return number
+    whole = F.when(number == F.floor(number), number.try_cast("long"))
+    return F.coalesce(value.try_cast("long"), whole)
 
-    def column(name: str) -> Column:
-        value = F.col(name)
-        if name not in types:
-            return value
-        number = value.try_cast("double")
-        if types[name] != T.LongType():
-            return number.alias(name)
-        whole = F.when(number == F.floor(number), number.try_cast("long"))
-        return F.coalesce(value.try_cast("long"), whole).alias(name)
 
-    return text.select(*[column(name) for name in text.columns])
+def typed(text: DataFrame) -> DataFrame:
+    """Give the known columns of text rows their types; what cannot be read becomes NULL."""
+    return text.select(*[_typed_column(name).alias(name) for name in text.columns])
+
+
+def unreadable(text: DataFrame) -> Column:
+    """Whether a row of ``text`` has a value that the type of its column cannot hold."""
+    tests = [
+        (F.trim(F.col(name)) != "") & _typed_column(name).isNull()
+        for name in text.columns
+        if name in _KNOWN
+    ]
+    return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
 
 
 def read_raw_csv(
     spark: SparkSession, paths: str | list[str], *, multi_line: bool = True
 ) -> DataFrame:
-    """Rows of one table's CSV files, with columns found by the names in the header.
+    """Rows of one table's CSV files, with columns found by the names in each file's header.
 
     Known columns get the types of the data model; others stay strings. A row that is too short
     ends in NULLs. Quoted newlines need ``multi_line``, which costs nothing for gzip, as a gzip
     file is one task in any case.
     """
-    return typed(_csv_reader(spark, multi_line).csv(paths))
+    return typed(csv_rows(spark, csv_files(spark, paths), multi_line=multi_line))
+
+
+def csv_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that Spark would read for these files and folders."""
+    return sorted(spark.read.format("binaryFile").load(paths).select("path").inputFiles())
 
 
 def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
@@ -137,7 +185,11 @@ def land_csv(
         .agg(F.sum("length").alias("length"))
         .collect()
     }
-    present = _table_sizes(spark, landing)
+    present = {
+        name
+        for name, path in _landed_entries(spark, landing)
+        if path.endswith(".gz") or path_exists(spark, f"{path}/_SUCCESS")
+    }
 
     def land(name: str) -> tuple[str, str | None]:
         if name in present:
@@ -146,11 +198,11 @@ def land_csv(
             path = found[name]["entry_path"]
             whole = has_quoted_newlines(spark, path) if multi_line is None else multi_line
             rows = _csv_reader(spark, whole).csv(path)
-            # What an earlier failed run left has no visible part and is replaced.
+            # What an earlier failed run left has no ``_SUCCESS`` and is replaced.
             write_raw_csv(rows, f"{landing}/{name}", mode="overwrite")
             return UPLOADED, None
-        except PySparkException as error:
-            return ERROR, str(error)[:500]
+        except READ_ERRORS as error:
+            return ERROR, str(error)
 
     names = sorted(found)
     with ThreadPoolExecutor(max_workers) as pool:
@@ -165,6 +217,14 @@ def land_csv(
     )
 
 
+def _landed_entries(spark: SparkSession, landing: str) -> list[tuple[str, str]]:
+    """(table, file or folder) of a landing folder; none for one that does not exist yet."""
+    if not path_exists(spark, landing):
+        return []
+    entries = list_raw_files(spark, landing).select("table_name", "entry_path").distinct()
+    return [(name, path) for name, path in entries.collect()]
+
+
 def _table_sizes(spark: SparkSession, landing: str) -> dict[str, int]:
     """Bytes per landed table; none for a landing folder that does not exist yet."""
     if not path_exists(spark, landing):
@@ -174,30 +234,46 @@ def _table_sizes(spark: SparkSession, landing: str) -> dict[str, int]:
 
 
 def load_raw_tables(
-    spark: SparkSession, landing: str, database: str, *, mode: str = "append"
+    spark: SparkSession,
+    landing: str,
+    database: str,
+    *,
+    mode: str = "append",
+    max_workers: int = 4,
 ) -> DataFrame:
-    """Load each landed table into ``database`` and report rows and status per table.
+    """Load each landed table into ``database``; report rows, rejected rows and status per table.
 
-    Appending repeats rows when a file is loaded twice; ``mode="overwrite"`` makes a second load
-    harmless. No shuffle is needed: parquet splits where gzip does not.
+    A row with a value that cannot be read is loaded with NULL there and counted as rejected, since
+    cleaning leaves it out. Appending repeats rows when a file is loaded twice;
+    ``mode="overwrite"`` makes a second load harmless. Tables are loaded by parallel Spark jobs, and
+    an unreadable one does not stop the others. No shuffle is needed: parquet splits where gzip
+    does not.
     """
     files = (
         list_raw_files(spark, landing)
         .groupBy("table_name")
-        .agg(F.collect_set("entry_path").alias("paths"), F.count(F.lit(1)).alias("files"))
+        .agg(F.collect_set("path").alias("paths"))
         .orderBy("table_name")
         .collect()
     )
-    report = []
-    for name, paths, n_files in files:
+
+    def load(name: str, paths: list[str]) -> tuple:
         counted = Observation()
         try:
-            read_raw_csv(spark, paths).observe(
-                counted, F.count(F.lit(1)).alias("rows")
-            ).write.mode(mode).saveAsTable(f"{database}.{name}")
-            report.append((name, n_files, counted.get["rows"], LOADED, None))
-        except PySparkException as error:
-            report.append((name, n_files, None, ERROR, str(error)[:500]))
+            text = csv_rows(spark, sorted(paths))
+            marked = text.withColumn("_unreadable", unreadable(text)).observe(
+                counted,
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.col("_unreadable")).alias("rejected"),
+            )
+            typed(marked.drop("_unreadable")).write.mode(mode).saveAsTable(f"{database}.{name}")
+            found = counted.get
+            return name, len(paths), found["rows"], found["rejected"], LOADED, None
+        except READ_ERRORS as error:
+            return name, len(paths), None, None, ERROR, str(error)
+
+    with ThreadPoolExecutor(max_workers) as pool:
+        report = list(pool.map(lambda row: load(*row), files))
     return spark.createDataFrame(report, LOAD_SCHEMA)
 
 

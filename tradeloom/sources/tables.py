@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.ingest import unmatched_rows
+from ..operators.ingest import new_rows
 
 
 def source_tables(
@@ -60,10 +60,10 @@ def write_fact_table(fact: DataFrame, table: str) -> DataFrame:
 
 
 def merge_into(
-    spark: SparkSession, table: str, raw: DataFrame, *, null_safe: bool = False
+    spark: SparkSession, table: str, *sources: DataFrame, null_safe: bool = False
 ) -> DataFrame:
-    """Append the cleaned rows of ``raw`` whose key is not in ``table``."""
-    fresh = unmatched_rows(fact_in(spark, table), raw, null_safe=null_safe)
+    """Append the cleaned rows of ``sources`` whose key is not in ``table`` or an earlier source."""
+    fresh = new_rows(fact_in(spark, table), sources, null_safe=null_safe)
     clustered_by_year(fresh).write.mode("append").partitionBy("year").saveAsTable(table)
     return fact_in(spark, table)
 
@@ -75,3 +75,12 @@ def fact_in(spark: SparkSession, table: str) -> DataFrame:
 def replace_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def replace_database_view(spark: SparkSession, view: str, sql: str) -> DataFrame:
+    """A view that the catalog keeps, so that later sessions read it by its full name.
+
+    ``sql`` must name its tables with their database. A table of the same name makes way.
+    """
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {sql}")
+    return spark.table(view)
