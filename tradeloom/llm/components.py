@@ -22,11 +22,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     last = _summary(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+        # What is joined is stored first: only plain shuffles are split where one node has very many links.
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")), "least")
         # Large star: neighbours above the node go to the least of its neighbourhood.
-        large = links.join(least, "a").select(F.col("least").alias("a"), "b").where("a <> b").distinct()
+        large = stored(links.join(least, "a").select(F.col("least").alias("a"), "b").where("a <> b").distinct(), "large-stars")
         # Small star: the node and its neighbours below go to the least of these.
-        below = large.groupBy("b").agg(F.min("a").alias("least"))
+        below = stored(large.groupBy("b").agg(F.min("a").alias("least")), "below")
         small = large.join(below, "b").select(F.col("least").alias("x"), F.explode(F.array("a", "b")).alias("y"))
         links = stored(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
         now = _summary(links)

@@ -255,6 +255,6 @@ def near_duplicates(documents: DataFrame, radius: int = 3, shingle: int = 3, par
     of_node = nodes.join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
-    least = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
+    least = stored(of_node.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = stored(of_node.join(least, "component").select("fingerprint", "component_id"), "components")
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")

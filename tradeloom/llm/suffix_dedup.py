@@ -27,23 +27,18 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.occurrences import DOCUMENT, release, repeated_keys, same_document, versioned, with_lists
 from tradeloom.llm.suffix_arrays import common_prefixes, suffix_array
-from tradeloom.llm.texts import Texts, mix, slices, span_hashes, to_long
+from tradeloom.llm.texts import Texts, mix, rolling_hashes, slices, span_hashes, to_long
 from tradeloom.sources.shared import stored
 
 LENGTH = 100
 GRAM = 32
 #: Bytes of a shard's suffix array, and stretches of one sample that one task compares.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 STRETCHES = 4096
 
 PLACE = [*DOCUMENT, "start"]
 
 
-def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    at = np.arange(len(data) - gram + 1)
-    return span_hashes(data, at, at + gram)
-
-
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` consecutive values, by doubling."""
     size = 1
@@ -62,7 +57,7 @@ def stretches(documents: DataFrame, length: int, gram: int) -> DataFrame:
             n = len(texts.data) - length + 1
             if n <= 0:
                 continue
-            hashes = _gram_hashes(texts.data, gram)
+            hashes = rolling_hashes(texts.data, gram)
             ranked = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
             sample = (_least(ranked, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
             text = np.repeat(np.arange(len(texts)), texts.sizes())[:n]
@@ -124,13 +119,22 @@ def _ordinals(table: pa.Table) -> tuple[np.ndarray, ...]:
     )
 
 
+def _distinct(table: pa.Table) -> pa.Table:
+    """Each place once: documents that repeat in full bring theirs as often."""
+    keys = np.stack(_ordinals(table))
+    order = np.lexsort(keys)
+    new = np.ones(table.num_rows, bool)
+    new[order[1:]] = (keys[:, order[1:]] != keys[:, order[:-1]]).any(0)
+    return table if new.all() else table.filter(pa.array(new)).combine_chunks()
+
+
 def _classes(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows and offsets of all strings of a shard, by class and then by place, and which are the first of their class."""
     column = table.column("bytes").combine_chunks()
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
     data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
-    order, group = suffix_array(data, length)
-    shared = common_prefixes(data, order, group, length)
+    order, shared = suffix_array(data, length)
+    shared = common_prefixes(data, order, shared, length, length)
     row_of = np.repeat(np.arange(len(ends)), np.diff(np.append(0, ends)))
     begin = np.append(0, ends)[row_of]
     # Suffixes that leave their stretch are no strings; the classes of the others are the same without them.
@@ -174,7 +178,7 @@ def _compare(cut: DataFrame, length: int) -> DataFrame:
             yield from shard(pa.Table.from_batches(held))
 
     def shard(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
+        table = _distinct(table.combine_chunks())
         row, offset, first, strings = _classes(table, length)
         yield from removed(table, row[~first], offset[~first])
         if strings is None:
@@ -268,7 +272,7 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     place = F.struct(*PLACE)
     kinds = stored(shared.groupBy("sample", "content").agg(F.min(place).alias("first"), F.max("strings").alias("strings")), "kinds")
     later = shared.join(kinds.select("sample", "content", "first"), ["sample", "content"]).where(~place.eqNullSafe(F.col("first"))).select(*PLACE, "strings")
-    parts = kinds.groupBy("sample").agg(F.count("*").alias("n")).where("n > 1").select("sample", F.ceil(F.col("n") / STRETCHES).cast("int").alias("parts"))
+    parts = stored(kinds.groupBy("sample").agg(F.count("*").alias("n")).where("n > 1").select("sample", F.ceil(F.col("n") / STRETCHES).cast("int").alias("parts")), "parts")
     mixed = kinds.join(parts, "sample").select("sample", "parts", F.pmod(F.xxhash64("content"), F.col("parts")).cast("int").alias("part"), "first.*", "strings")
     compared = stored(_compare(_with_bytes(documents, mixed, length), length), "compared")
     release(spark)

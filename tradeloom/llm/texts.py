@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -127,11 +127,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range; equal content and length give equal hashes wherever the range lies."""
+def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     forward, back = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * forward[: len(data)], out=sums[1:])
+    return sums, back
+
+
+def rolling_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """``span_hashes`` of all ranges of ``length`` bytes."""
+    sums, back = _prefix_sums(data)
+    spans = (sums[length:] - sums[:-length]) * back[: len(sums) - length]
+    return mix(spans + mix(np.full(1, length, np.uint64)))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range; equal content and length give equal hashes wherever the range lies."""
+    sums, back = _prefix_sums(data)
     spans = (sums[ends] - sums[starts]) * back[starts]
     return mix(spans + mix((ends - starts).astype(np.uint64)))
 
