@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.occurrences import DOCUMENT, release, repeated_keys, versioned, with_lists
+from tradeloom.llm.occurrences import DOCUMENT, release, repeated_keys, same_document, versioned, with_lists
 from tradeloom.llm.texts import Texts, Words, slices, span_hashes, to_long, window_hashes, words
 from tradeloom.sources.shared import stored
 
@@ -67,24 +67,12 @@ def anchors(documents: DataFrame, window: int) -> DataFrame:
 
 def _windows_around(documents: DataFrame, window: int) -> DataFrame:
     """(hash, doc_id, version, word) of each window that holds an anchor of the ``words`` list of its document."""
-    period = period_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in slices(batches):
             found, hashes = _hashes(texts)
             keys = window_hashes(hashes, window)
-            if not len(keys):
-                continue
-            lists = texts.rows.column("words")
-            owner = np.repeat(np.arange(len(texts)), np.diff(_list_offsets(lists)))
-            anchor = _list_values(lists) + found.offsets[owner]
-            first = np.maximum(anchor - period + 1, found.offsets[owner])
-            last = np.minimum(anchor, found.offsets[owner + 1] - window)
-            some = last >= first
-            step = np.zeros(len(hashes) + 1, np.int64)
-            np.add.at(step, first[some], 1)
-            np.add.at(step, last[some] + 1, -1)
-            at = np.flatnonzero(np.cumsum(step[: len(keys)]) > 0)
+            at = np.flatnonzero(_candidates(texts, found, window))
             text = found.text_of()[at]
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
@@ -96,6 +84,21 @@ def _windows_around(documents: DataFrame, window: int) -> DataFrame:
     return documents.mapInArrow(run, f"hash long, doc_id {kind}, version int, word int")
 
 
+def _candidates(texts: Texts, found: Words, window: int) -> np.ndarray:
+    """Whether a window starts at a word and holds a listed anchor in its first ``period`` places."""
+    period = period_for(window)
+    lists = texts.rows.column("words")
+    owner = np.repeat(np.arange(len(texts)), np.diff(_list_offsets(lists)))
+    anchor = _list_values(lists) + found.offsets[owner]
+    first = np.maximum(anchor - period + 1, found.offsets[owner])
+    last = np.minimum(anchor, found.offsets[owner + 1] - window)
+    some = last >= first
+    step = np.zeros(len(found.starts) + 1, np.int64)
+    np.add.at(step, first[some], 1)
+    np.add.at(step, last[some] + 1, -1)
+    return np.cumsum(step[:-1]) > 0
+
+
 def _list_offsets(lists: pa.ListArray) -> np.ndarray:
     sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -105,22 +108,21 @@ def _list_values(lists: pa.ListArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, version, word): starts of windows whose word sequence starts anywhere else too."""
+def with_candidates(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Documents with ``words``, their anchors that occur twice, and ``single``, the windows around these that do not."""
     spark = documents.sparkSession
     found = anchors(documents, window)
     shared = stored(found.join(repeated_keys(found, "anchor"), "anchor", "left_semi").select(*DOCUMENT, "word"), "anchors")
     release(spark)
-    lists = shared.groupBy(*DOCUMENT).agg(F.collect_set("word").alias("words"))
     # Documents without a shared anchor have no list and drop out.
-    texts = documents.join(lists, documents["doc_id"].eqNullSafe(lists["doc_id"]) & (documents["version"] == lists["version"])).select(
-        documents["doc_id"], documents["version"], "text", "words"
-    )
-    around = stored(_windows_around(texts, window), "windows")
-    release(spark)
-    repeated = stored(around.join(repeated_keys(around, "hash"), "hash", "left_semi").select(*DOCUMENT, "word"), "repeated")
+    lists = shared.groupBy(*DOCUMENT).agg(F.collect_set("word").alias("words"))
+    texts = documents.select(*DOCUMENT, "text")
+    texts = texts.join(lists, same_document(texts, lists)).select(*(texts[c] for c in texts.columns), "words")
+    # Nearly all candidates repeat, so the few that do not are named; the one row of such a hash has its place.
+    alone = _windows_around(texts, window).groupBy("hash").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in (*DOCUMENT, "word")))
+    single = stored(alone.where("n = 1").select(*DOCUMENT, "word"), "single-windows")
     release(spark)
-    return repeated
+    return with_lists(with_lists(documents, shared, F.col("word"), "words"), single, F.col("word"), "single")
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW, spaces: bool = False) -> DataFrame:
@@ -130,14 +132,17 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, spaces: bool = Fa
     columns of ``documents`` follow, those called like a result column left out.
     """
     others = [c for c in documents.columns if spaces and c not in ("doc_id", "text", "n_words", "n_removed", "kept")]
-    texts = versioned(documents, others)
-    marked = with_lists(texts, repeated_windows(texts, window), F.col("word"), "words")
+    aside = {f"_other{n}": c for n, c in enumerate(others)}
+    texts = versioned(documents, aside)
+    marked = with_candidates(texts, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slice_ in slices(batches):
             found = words(slice_)
-            lists = slice_.rows.column("words")
-            start = _list_values(lists) + np.repeat(found.offsets[:-1], np.diff(_list_offsets(lists)))
+            repeated = _candidates(slice_, found, window)
+            single = slice_.rows.column("single")
+            repeated[_list_values(single) + np.repeat(found.offsets[:-1], np.diff(_list_offsets(single)))] = False
+            start = np.flatnonzero(repeated)
             step = np.zeros(len(found.starts) + 1, np.int64)
             np.add.at(step, start, 1)
             np.add.at(step, start + window, -1)
@@ -145,7 +150,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, spaces: bool = Fa
             n_removed = np.diff(np.concatenate([[0], np.cumsum(removed)])[found.offsets])
             kept = _spaced(slice_, found, removed) if spaces else _joined(slice_, found, ~removed)
             yield pa.RecordBatch.from_arrays(
-                [slice_.rows.column("doc_id"), pa.array(found.counts()), pa.array(n_removed), kept, *(slice_.rows.column(c) for c in others)],
+                [slice_.rows.column("doc_id"), pa.array(found.counts()), pa.array(n_removed), kept, *(slice_.rows.column(c) for c in aside)],
                 names=["doc_id", "n_words", "n_removed", "kept", *others],
             )
 
