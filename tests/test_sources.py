@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import gzip
+from pathlib import Path
 
 import pytest
+from conftest import SMALL
 
 from tradeloom import schema as S
 from tradeloom.operators import ingest
@@ -253,3 +255,27 @@ def test_a_half_landed_table_is_landed_again(spark, tmp_path):
     assert land() == "uploaded"
     assert raw_csv.read_raw_csv(spark, str(half)).count() == 2
     assert land() == "already_exists"
+
+
+def test_a_second_build_leaves_nothing_behind(spark, tmp_path, database):
+    """What the steps store on the way goes when they are done; databases of queries are dropped."""
+    from tradeloom.plans import queries
+    from tradeloom.plans.workbench import Workbench
+    from tradeloom.sources.shared import shared_folder
+
+    def left():
+        folder = Path(shared_folder(spark).removeprefix("file:"))
+        return sorted(p.name for p in folder.iterdir()), len(spark.catalog.listDatabases())
+
+    write_gz(tmp_path / f"{TABLE}.csv.gz", HEADER, line(1, 2, 3, 2015), line(1, 2, 3, 2016))
+    raw_csv.load_raw_tables(spark, str(tmp_path), database)
+    build.build_all(spark, database)
+    before = left()
+    build.build_all(spark, database)
+    assert left() == before
+    bench = Workbench(spark, SMALL)
+    queries.load_report(bench)
+    before = left()
+    queries.load_counts(bench).collect()
+    queries.full_build(bench).collect()
+    assert left()[1] == before[1] and left()[0] == before[0]

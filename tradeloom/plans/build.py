@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import complexity, ingest, metrics, views
 from ..sources import tables
-from ..sources.shared import stored
+from ..sources.shared import scope, stored
 
 COMBINED = "combined_trade_data"
 
@@ -25,6 +25,12 @@ def build_combined(
 
 
 def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """``_build_metrics`` without what it stores on the way."""
+    with scope(spark):
+        return _build_metrics(spark, database)
+
+
+def _build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """Rewrite the metric tables from the fact table and define the views over them.
 
     A metric table is read back before the next step uses it, so that joins are planned from the

@@ -6,7 +6,8 @@ Large slopes are given in millions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,10 +77,14 @@ def merged(w: Workbench, *, null_safe: bool) -> DataFrame:
 
 def _landed(w: Workbench) -> tuple[str, DataFrame]:
     """Both source tables as plain CSV, then landed as gzip; the landing folder and report."""
-    plain, landing = new_path(w.spark, "csv"), new_path(w.spark, "landing")
-    for name, rows in zip(SOURCES, w.raw):
-        rows.write.option("header", True).csv(f"{plain}/{name}.csv")
-    return landing, raw_csv.land_csv(w.spark, plain, landing)
+
+    def make() -> tuple[str, DataFrame]:
+        plain, landing = new_path(w.spark, "csv"), new_path(w.spark, "landing")
+        for name, rows in zip(SOURCES, w.raw):
+            rows.write.option("header", True).csv(f"{plain}/{name}.csv")
+        return landing, raw_csv.land_csv(w.spark, plain, landing)
+
+    return w.once("landed", make)
 
 
 def landing_report(w: Workbench) -> DataFrame:
@@ -115,22 +120,33 @@ def new_database(w: Workbench) -> str:
     return name
 
 
-def _loaded(w: Workbench) -> tuple[str, DataFrame]:
+@contextmanager
+def _loaded(w: Workbench) -> Iterator[tuple[str, DataFrame]]:
+    """A database with both source tables, as long as it is needed, and the load report."""
     landing, _ = _landed(w)
     database = new_database(w)
-    return database, raw_csv.load_raw_tables(w.spark, landing, database)
+    try:
+        yield database, raw_csv.load_raw_tables(w.spark, landing, database)
+    finally:
+        w.spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def load_report(w: Workbench) -> DataFrame:
-    return _loaded(w)[1].select("table_name", "rows", "rejected", "status")
+    with _loaded(w) as (_, report):
+        return report.select("table_name", "rows", "rejected", "status")
 
 
 def load_counts(w: Workbench) -> DataFrame:
-    return raw_csv.load_summary(_loaded(w)[1])
+    with _loaded(w) as (_, report):
+        return raw_csv.load_summary(report)
 
 
 def source_discovery(w: Workbench) -> DataFrame:
-    database, _ = _loaded(w)
+    with _loaded(w) as (database, _):
+        return _discovered(w, database)
+
+
+def _discovered(w: Workbench, database: str) -> DataFrame:
     names = tables.source_tables(w.spark, database)
     rows = [(name, *tables.table_status(w.spark, f"{database}.{name}")) for name in names]
     combined_table = f"{database}.{build.COMBINED}"
@@ -165,16 +181,10 @@ def built_table(name: str, digits: dict[str, int], w: Workbench) -> DataFrame:
 
 def full_build(w: Workbench) -> DataFrame:
     """Row counts of all tables and views after building a database from landed files."""
-    database, _ = _loaded(w)
-    built = build.build_all(w.spark, database)
-    counts = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in built.items()
-    ]
-    report = counts[0]
-    for part in counts[1:]:
-        report = report.unionByName(part)
-    return report
+    with _loaded(w) as (database, _):
+        built = build.build_all(w.spark, database)
+        counts = [(name, df.count()) for name, df in built.items()]
+    return w.spark.createDataFrame(counts, "table_name string, row_count long")
 
 
 def incremental_ingest(w: Workbench) -> DataFrame:

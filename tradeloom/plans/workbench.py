@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from ..sources.shared import stored
 from ..sources.tables import clustered_by_year
 from . import sample
 
+T = TypeVar("T")
+
 INPUTS = ["lineitem", "orders", "customer", "supplier", "part"]
 
 
@@ -25,7 +28,7 @@ class Workbench:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
-        self._made: dict[str, str] = {}
+        self._made: dict[str, object] = {}
         self._lock = threading.RLock()
 
     def _stored(
@@ -36,7 +39,7 @@ class Workbench:
                 self._tables[name] = stored(make(), name, partition_by=partition_by)
             return self._tables[name]
 
-    def once(self, name: str, make: Callable[[], str]) -> str:
+    def once(self, name: str, make: Callable[[], T]) -> T:
         """The result of ``make``, called once for this folder."""
         with self._lock:
             if name not in self._made:

@@ -9,11 +9,15 @@ that size is below ``spark.sql.autoBroadcastJoinThreshold``.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _folders: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def _file_system(spark: SparkSession, folder: str):
@@ -66,8 +70,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no earlier call has returned."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the innermost scope, that no earlier call has returned."""
+    open_ = getattr(_scopes, "open", None)
+    folder = open_[-1] if open_ else shared_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that this thread stores inside, once they have been read."""
+    path = new_path(spark, "scope")
+    _scopes.open = [*getattr(_scopes, "open", []), path]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        folder, files = _file_system(spark, path)
+        files.delete(folder, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables that nothing reads any more."""
+    for table in tables:
+        path, files = _file_system(table.sparkSession, table._stored_at)
+        files.delete(path, True)
 
 
 def stored(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataFrame:
@@ -79,4 +105,6 @@ def stored(df: DataFrame, name: str, *, partition_by: str | None = None) -> Data
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     # The schema is given, because the type of a partition column would otherwise be guessed.
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
