@@ -11,6 +11,7 @@ columns stay as they are, one called like a result column is replaced.
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,6 +40,8 @@ _loaded: dict[str, tuple] = {}
 def _tokenizer(path: str) -> tuple:
     """The tokenizer, and a pattern of its special strings (None if it has none); read once per worker."""
     if path not in _loaded:
+        # A task has one core; threads of its own would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -99,7 +102,7 @@ def count_tokens(texts: DataFrame, tokenizer_path: str, text: str = "text") -> D
                         if len(known) > CACHED:
                             known = dict(shared.value)
                         missing = list(set(found).difference(known))
-                        encoded = encoder.encode_batch(missing, add_special_tokens=False)
+                        encoded = encoder.encode_batch_fast(missing, add_special_tokens=False)
                         known.update((t, len(e.ids)) for t, e in zip(missing, encoded, strict=True))
                         total += sum(map(known.__getitem__, found))
                 numbers.append(total)
