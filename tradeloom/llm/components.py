@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.sources.shared import stored
+from tradeloom.sources.shared import discard, stored
 
 
 def _summary(links: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: the node and its neighbours below go to the least of these.
         below = stored(large.groupBy("b").agg(F.min("a").alias("least")), "below")
         small = large.join(below, "b").select(F.col("least").alias("x"), F.explode(F.array("a", "b")).alias("y"))
-        links = stored(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        before, links = links, stored(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        discard(before, least, large, below)
         now = _summary(links)
         if now == last:
             roots = links.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("component"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
 from tradeloom.llm.texts import Texts, mix, slices, words
-from tradeloom.sources.shared import stored
+from tradeloom.sources.shared import discard, stored
 
 SEED = 42
 #: Fingerprints of a bucket that are compared in one group; a larger bucket is dealt into chunks of about this size.
@@ -257,4 +257,5 @@ def near_duplicates(documents: DataFrame, radius: int = 3, shingle: int = 3, par
     )
     least = stored(of_node.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = stored(of_node.join(least, "component").select("fingerprint", "component_id"), "components")
+    discard(least)
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.occurrences import DOCUMENT, release, repeated_keys, same_document, versioned, with_lists
 from tradeloom.llm.suffix_arrays import common_prefixes, suffix_array
 from tradeloom.llm.texts import Texts, mix, rolling_hashes, slices, span_hashes, to_long
-from tradeloom.sources.shared import stored
+from tradeloom.sources.shared import discard, stored
 
 LENGTH = 100
 GRAM = 32
@@ -267,7 +267,9 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     """(doc_id, version, start, strings): ``strings`` consecutive strings from ``start`` that also start earlier."""
     spark = documents.sparkSession
     found = stretches(documents, length, gram)
-    shared = stored(found.join(repeated_keys(found, "sample"), "sample", "left_semi"), "stretches")
+    twice = repeated_keys(found, "sample")
+    shared = stored(found.join(twice, "sample", "left_semi"), "stretches")
+    discard(twice)
     release(spark)
     place = F.struct(*PLACE)
     kinds = stored(shared.groupBy("sample", "content").agg(F.min(place).alias("first"), F.max("strings").alias("strings")), "kinds")
@@ -275,6 +277,7 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     parts = stored(kinds.groupBy("sample").agg(F.count("*").alias("n")).where("n > 1").select("sample", F.ceil(F.col("n") / STRETCHES).cast("int").alias("parts")), "parts")
     mixed = kinds.join(parts, "sample").select("sample", "parts", F.pmod(F.xxhash64("content"), F.col("parts")).cast("int").alias("part"), "first.*", "strings")
     compared = stored(_compare(_with_bytes(documents, mixed, length), length), "compared")
+    discard(parts)
     release(spark)
     merged = _merge(compared.where("slot is not null"))
     return later.unionByName(compared.where("slot is null").select(*PLACE, "strings")).unionByName(merged)

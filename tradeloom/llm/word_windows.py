@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.occurrences import DOCUMENT, release, repeated_keys, same_document, versioned, with_lists
 from tradeloom.llm.texts import Texts, Words, slices, span_hashes, to_long, window_hashes, words
-from tradeloom.sources.shared import stored
+from tradeloom.sources.shared import discard, stored
 
 WINDOW = 35
 
@@ -112,7 +112,9 @@ def with_candidates(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents with ``words``, their anchors that occur twice, and ``single``, the windows around these that do not."""
     spark = documents.sparkSession
     found = anchors(documents, window)
-    shared = stored(found.join(repeated_keys(found, "anchor"), "anchor", "left_semi").select(*DOCUMENT, "word"), "anchors")
+    twice = repeated_keys(found, "anchor")
+    shared = stored(found.join(twice, "anchor", "left_semi").select(*DOCUMENT, "word"), "anchors")
+    discard(twice)
     release(spark)
     # Documents without a shared anchor have no list and drop out.
     lists = shared.groupBy(*DOCUMENT).agg(F.collect_set("word").alias("words"))
