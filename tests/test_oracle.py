@@ -7,9 +7,11 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as driver
+from tradeloom.plans import oracle
+from tradeloom.plans import queries as registry
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,15 @@ def duck():
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+def test_llm_subpackage_may_be_missing():
+    """Only a missing module is passed over, not an error inside one."""
+    assert driver._module("tradeloom.no_such_package.queries") is None
+    assert driver._module("no_such_pipeline") is None
+    assert driver._module("tradeloom.plans.queries") is registry
 
 
 @pytest.mark.parametrize("name", QUERIES)
