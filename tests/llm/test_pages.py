@@ -12,8 +12,9 @@ from tradeloom.llm import html_extraction, url_filter
 from tradeloom.llm.queries import oracle_sql, queries
 
 
-def test_query_equals_sql(llm):
-    assert difference(queries()["op3_url_filter"](llm, FOLDER), connect(FOLDER), oracle_sql()["op3_url_filter"]) is None
+@pytest.mark.parametrize("name", oracle_sql())
+def test_query_equals_sql(llm, name):
+    assert difference(queries()[name](llm, FOLDER), connect(FOLDER), oracle_sql()[name]) is None
 
 
 @pytest.mark.parametrize("partitions", ["1", "7"])

@@ -36,6 +36,36 @@ def op1_word_windows(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_OP1_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS place, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+positions AS (
+    SELECT place, nth, words[nth] AS word,
+        CASE WHEN nth + 34 <= len(words) THEN array_to_string(words[nth:nth + 34], ' ') END AS sequence
+    FROM texts, unnest(range(1, len(words) + 1)) AS t(nth)
+),
+repeated AS (
+    SELECT sequence FROM positions WHERE sequence IS NOT NULL GROUP BY sequence HAVING count(*) > 1
+),
+marked AS (
+    SELECT place, nth, word,
+        max(r.sequence IS NOT NULL) OVER (PARTITION BY place ORDER BY nth ROWS 34 PRECEDING) AS gone
+    FROM positions p LEFT JOIN repeated r ON p.sequence = r.sequence
+),
+kept AS (
+    SELECT place, count(*) FILTER (WHERE gone) AS n_removed,
+        string_agg(word, ' ' ORDER BY nth) FILTER (WHERE NOT gone) AS rest
+    FROM marked GROUP BY place
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (place)
+"""
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -120,4 +150,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _OP3_SQL}
+    return {"op1_word_windows": _OP1_SQL, "op3_url_filter": _OP3_SQL}
