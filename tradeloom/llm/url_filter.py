@@ -95,5 +95,6 @@ def best_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url: str = "url", keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """``keys``, the URL, host, path, the longest fitting rule and its verdict, or ``otherwise``."""
     asked = split_url(pages.select(*keys, F.col(url).alias("url")))
-    best = best_rules(asked.where("url is not null").select("url", "host", "path").distinct(), rules)
+    # Stored, so that only plain shuffles are joined, which Spark splits where one URL has very many rows.
+    best = stored(best_rules(asked.where("url is not null").select("url", "host", "path").distinct(), rules), "best-rules")
     return asked.join(best, "url", "left").select(*keys, "url", "host", "path", "rule", F.coalesce("verdict", F.lit(otherwise)).alias("verdict"))
