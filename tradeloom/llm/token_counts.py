@@ -26,15 +26,17 @@ FREQUENT = 1 << 15
 LONGEST = 24
 #: Candidates that one task names for the table.
 PER_TASK = 1 << 13
-#: Distinct pre-tokens that a task counts before it drops the rarer half, and entries of a worker's cache.
+#: Distinct words that a task counts before it drops the rarer half, and entries of a worker's cache.
 COUNTED = 1 << 18
-CACHED = 1 << 18
+CACHED = 1 << 19
 
 # How byte-level BPE cuts a text before merging. White space is the Unicode property.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
 _pre_tokens = regex.compile(PRE_TOKEN).findall
 _loaded: dict[str, tuple] = {}
+#: By tokenizer; a worker keeps it from task to task.
+_caches: dict[str, dict[str, int]] = {}
 
 
 def _tokenizer(path: str) -> tuple:
@@ -55,17 +57,25 @@ def _tokenizer(path: str) -> tuple:
 
 
 def frequent_pre_tokens(texts: DataFrame, text: str = "text") -> list[str]:
-    """The most frequent pre-tokens over all rows, FREQUENT at most. Each task names at most PER_TASK of them."""
+    """The most frequent pre-tokens over all rows, FREQUENT at most. Each task names at most PER_TASK of them.
+
+    A task counts what stands between single spaces and cuts only distinct words into pre-tokens; which pre-tokens are in
+    the table changes the time that counting takes, never a count.
+    """
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0):
                 if (value := value.as_py()) is not None:
-                    seen.update(_pre_tokens(value))
+                    seen.update(value.split(" "))
                     if len(seen) > COUNTED:
                         seen = Counter(dict(seen.most_common(COUNTED // 2)))
-        best = [(t, n) for t, n in seen.most_common(PER_TASK) if n > 1 and len(t) <= LONGEST]
+        tokens: Counter[str] = Counter()
+        for word, n in seen.items():
+            for token in _pre_tokens(f" {word}"):
+                tokens[token] += n
+        best = [(t, n) for t, n in tokens.most_common(PER_TASK) if n > 1 and len(t) <= LONGEST]
         yield pa.RecordBatch.from_pydict({"pre_token": [t for t, _ in best], "n": pa.array([n for _, n in best], pa.int64())}, schema)
 
     schema = pa.schema([("pre_token", pa.string()), ("n", pa.int64())])
@@ -84,7 +94,8 @@ def count_tokens(texts: DataFrame, tokenizer_path: str, text: str = "text") -> D
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, special = _tokenizer(tokenizer_path)
-        known = dict(shared.value)
+        known = _caches.setdefault(tokenizer_path, {})
+        known.update(shared.value)
         for batch in batches:
             column = batch.column(text)
             numbers = []
@@ -100,7 +111,8 @@ def count_tokens(texts: DataFrame, tokenizer_path: str, text: str = "text") -> D
                         total += sum(map(known.__getitem__, found))
                     except KeyError:
                         if len(known) > CACHED:
-                            known = dict(shared.value)
+                            known.clear()
+                            known.update(shared.value)
                         missing = list(set(found).difference(known))
                         encoded = encoder.encode_batch_fast(missing, add_special_tokens=False)
                         known.update((t, len(e.ids)) for t, e in zip(missing, encoded, strict=True))
