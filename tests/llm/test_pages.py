@@ -96,3 +96,17 @@ def test_consensus_overrules_a_page(llm):
     rows.append((9, "http://a.org/9", page.format("short article", "box text " * 30)))
     found = html_extraction.extract(llm.createDataFrame(rows, "page_id long, url string, html string"))
     assert {r.page_id: r.text for r in found.collect()}[9] == "short article"
+
+
+@pytest.mark.parametrize(
+    "open_tag",
+    [
+        '<div style="overflow:hidden">', '<div title="a hidden thing" data-hidden="false">', "<div data-x='class=\"ad\" hidden'>",
+        '<div class="content-with-sidebar">', '<div class="c" class="ad">', '<article class="share post">', '<main id="no-comments" class="widget">',
+    ],
+)
+def test_values_are_no_names(llm, open_tag):
+    """A value is not taken for an attribute, and a page is not dropped for what it has."""
+    page = f'<html class="no-menu"><body class="page has-sidebar widget">{open_tag}<p>good <a href="/hidden-lake">lake</a> text</p><div hidden>x</div><p class="c" HIDDEN="">y</p><p aria-hidden=true>z</p></body></html>'
+    pages = llm.createDataFrame([(1, "http://a.org/", page)], "page_id long, url string, html string")
+    assert [r.text for r in html_extraction.extract(pages).collect()] == ["good lake text"]

@@ -50,13 +50,25 @@ DROPPED_NAMES = frozenset(
     "overlay pager pagination popup promo promoted recommended related replies respond share sharing sidebar signup "
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
+#: Never dropped by a class or id.
+KEPT_TAGS = frozenset("article body html main".split())
+#: Parts of a class or id that tell what an element has or lacks, not what it is.
+STATES = frozenset("has have no show hide with without".split())
+ATTRIBUTES = frozenset("class id role hidden aria-hidden".split())
 
 _token = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S
 )
-_attribute = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# One attribute after another, so that no value is taken for a name; an open quote takes the rest.
+_attribute = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _digits = re.compile(r"\d+")
-_names = re.compile(r"[\s_\-]+")
+_names = re.compile(r"[_\-]+")
+
+
+def _names_a_dropped_part(name: str) -> bool:
+    """Whether a class or id calls its element an advert, a menu or the like; ``has-sidebar`` tells about what is inside."""
+    parts = _names.split(name)
+    return not DROPPED_NAMES.isdisjoint(parts) and STATES.isdisjoint(parts)
 
 
 class Page:
@@ -111,15 +123,21 @@ class Page:
     def _element(self, parent: int, name: str, rest: str) -> int:
         classes, dropped = "", self.dropped[parent] or name in DROPPED_TAGS
         if rest:
+            seen = set()
             for key, value in _attribute.findall(rest):
-                key, value = key.lower(), value.strip("\"'").lower()
+                key = key.lower()
+                # The first of repeated attributes counts.
+                if key not in ATTRIBUTES or key in seen:
+                    continue
+                seen.add(key)
+                value = value.strip("\"'").lower()
                 if key == "class":
                     classes = ".".join(sorted(set(value.split())))
                 if key in ("class", "id"):
-                    dropped = dropped or not DROPPED_NAMES.isdisjoint(_names.split(value))
+                    dropped = dropped or name not in KEPT_TAGS and any(map(_names_a_dropped_part, value.split()))
                 elif key == "role":
                     dropped = dropped or value in DROPPED_ROLES
-                elif key == "hidden" or value == "true":
+                elif key == "hidden" or key == "aria-hidden" and value == "true":
                     dropped = True
         # A hash, so that the name of a path is short however deep it is.
         path = xxhash.xxh64_hexdigest(f"{self.path[parent]}/{name}.{_digits.sub('#', classes)}")
