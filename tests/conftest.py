@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from tradeloom import schema as S  # noqa: E402
+from compare import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from tradeloom import schema as S  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -51,7 +51,3 @@ def fact_of(spark):
         return spark.createDataFrame(typed, S.FACT_SCHEMA)
 
     return make
-
-
-def by_key(df, *keys):
-    return {tuple(r[k] for k in keys): r.asDict() for r in df.collect()}

@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import by_key
+from compare import by_key
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import by_key
+from compare import by_key
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL
+from compare import SMALL
 
 from tradeloom.operators import insights, metrics, reports
 from tradeloom.plans import sample

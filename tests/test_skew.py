@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from compare import TABLES, connect, difference
-from conftest import SMALL
+from compare import SMALL, TABLES, connect, difference
 
 import __spark_entry__ as driver
 

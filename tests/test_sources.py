@@ -4,7 +4,7 @@ import gzip
 from pathlib import Path
 
 import pytest
-from conftest import SMALL
+from compare import SMALL
 
 from tradeloom import schema as S
 from tradeloom.operators import ingest
