@@ -4,8 +4,6 @@ import pytest
 
 from tradeloom.llm.shipping import ship
 
-SMALL = "/root/testdata/sf0.001"
-
 #: Names that operators use for their results or inside, to clash with them.
 EXTRA = "kept string, words int, hash string, ids string, decoded string, n_words string, labels string, version string"
 

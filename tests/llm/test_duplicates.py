@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
-from conftest import SMALL as FOLDER
+from compare import SMALL as FOLDER
 
 from tradeloom.llm import decontamination, simhash, suffix_dedup, word_windows
 from tradeloom.llm.components import components

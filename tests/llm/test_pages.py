@@ -5,8 +5,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from compare import SMALL as FOLDER
 from compare import connect, difference
-from conftest import SMALL as FOLDER
 
 from tradeloom.llm import html_extraction, url_filter
 from tradeloom.llm.queries import oracle_sql, queries

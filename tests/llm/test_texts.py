@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from conftest import SMALL as FOLDER
+from compare import SMALL as FOLDER
 from tokenizers import Tokenizer
 
 from tradeloom.llm import boosted_trees, license_scan, quality_rules, sentence_pieces, token_counts
