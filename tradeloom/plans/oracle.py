@@ -709,8 +709,12 @@ QUERIES = {
 }
 
 
-def _with_relations(sql: str, relations: dict[str, str]) -> str:
-    """Prefix ``sql`` with the relations it needs."""
+#: Queries whose relations refer to each other so often that inlining them takes too long.
+_NESTED = {"merge_three_sources"}
+
+
+def _with_relations(sql: str, relations: dict[str, str], *, once: bool = False) -> str:
+    """Prefix ``sql`` with the relations it needs; with ``once`` each of them is computed only once."""
 
     def used(text: str) -> set[str]:
         return set(re.findall(r"\w+", text)) & relations.keys()
@@ -721,12 +725,15 @@ def _with_relations(sql: str, relations: dict[str, str]) -> str:
         name = open_names.pop()
         needed.add(name)
         open_names |= used(relations[name]) - needed
-    parts = [f"{name} AS ({relations[name]})" for name in relations if name in needed]
+    how = "AS MATERIALIZED" if once else "AS"
+    parts = [f"{name} {how} ({relations[name]})" for name in relations if name in needed]
     return f"WITH {', '.join(parts)} {sql}" if parts else sql
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {name: _with_relations(sql, RELATIONS) for name, sql in QUERIES.items()}
+    found = {
+        name: _with_relations(sql, RELATIONS, once=name in _NESTED) for name, sql in QUERIES.items()
+    }
     # In the full build the metric tables come from the cleaned sources, not from the whole fact.
     cleaned = {
         name: sql if name in _FROM_FACT
