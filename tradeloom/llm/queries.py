@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, html_extraction, license_scan, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts, url_filter, word_windows
+from tradeloom.llm import decontamination, html_extraction, license_scan, quality_rules, sentence_pieces, simhash, spelling_variants, suffix_dedup, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -138,6 +138,10 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.count_words(_documents(spark, folder)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,7 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op7_decontamination, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op7_decontamination, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup, op11_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
