@@ -15,7 +15,7 @@ TABLES = (
 ).split()
 
 SPARK_TYPES = {
-    "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"
 }
 
 
