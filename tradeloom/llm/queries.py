@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, html_extraction, license_scan, quality_rules, sentence_pieces, simhash, spelling_variants, suffix_dedup, token_counts, url_filter, word_windows
+from tradeloom.llm import decontamination, html_extraction, license_scan, quality_rules, sanitisation, sentence_pieces, sharded_lloyd, simhash, spelling_variants, suffix_dedup, token_counts, url_filter, word_windows
 from tradeloom.llm.shipping import ship
 
 TOKEN_LIMIT = 1024
@@ -142,6 +142,63 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants.variants(spelling_variants.count_words(_documents(spark, folder)))
 
 
+def op12_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
+    found = sanitisation.sanitise(_documents(spark, folder))
+    return found.select(
+        "doc_id",
+        *[sanitisation.count_of(kind).alias(f"n_{kind}") for kind in sanitisation.KINDS],
+        F.sha2(sanitisation.span_text(), 256).alias("base_sha256"),
+        sanitisation.span_text(terms="terms").alias("spans"),
+    )
+
+
+def op13_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    clustered = sharded_lloyd.cluster(_table(spark, folder, "embeddings"))
+    written = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return clustered.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(written, 256).alias("centroid_sha256"))
+
+
+def _lloyd_sql(clusters: int = 8, rounds: int = 10, dimensions: int = 64) -> str:
+    """A relation per round; vectors are known by their row, since ids may repeat."""
+
+    def assigned(centroids: str) -> str:
+        return f"""
+    SELECT place, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+    FROM (SELECT place, cluster, CAST(sum((x - y) * (x - y)) AS BIGINT) AS distance
+          FROM cells JOIN {centroids} USING (d) GROUP BY place, cluster)
+    GROUP BY place"""
+
+    parts = [f"""vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS place, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vector
+    FROM embeddings
+    WHERE len(embedding) = {dimensions} AND len([1 FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dimensions}
+),
+cells AS MATERIALIZED (SELECT place, d, vector[d] AS x FROM vectors, unnest(range(1, {dimensions + 1})) AS t(d)),
+centroids_0 AS MATERIALIZED (
+    SELECT cluster, d, vector[d] AS y
+    FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), vector) - 1 AS cluster, vector
+          FROM vectors QUALIFY cluster < {clusters}), unnest(range(1, {dimensions + 1})) AS t(d)
+)"""]
+    for n in range(rounds):
+        parts.append(f"""assigned_{n} AS MATERIALIZED ({assigned(f"centroids_{n}")}
+),
+centroids_{n + 1} AS MATERIALIZED (
+    SELECT cluster, d, coalesce((total - ((total % n) + n) % n) // n, y) AS y
+    FROM centroids_{n} LEFT JOIN (
+        SELECT cluster, d, CAST(sum(x) AS BIGINT) AS total, count(*) AS n
+        FROM cells JOIN assigned_{n} USING (place) GROUP BY cluster, d) USING (cluster, d)
+)""")
+    parts.append(f"""final AS MATERIALIZED ({assigned(f"centroids_{rounds}")}
+),
+written AS (SELECT cluster, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM centroids_{rounds} GROUP BY cluster)""")
+    return "WITH " + ",\n".join(parts) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+    CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM vectors JOIN final USING (place) JOIN written USING (cluster)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,8 +207,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op7_decontamination, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup, op11_spelling_variants)}
+    return {f.__name__: shipped(f) for f in (op1_word_windows, op2_token_counts, op3_url_filter, op4_html_extraction, op5_license_scan, op6_simhash, op7_decontamination, op8_quality_rules, op9_sentence_pieces, op10_suffix_dedup, op11_spelling_variants, op12_sanitisation, op13_sharded_lloyd)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_word_windows": _OP1_SQL, "op3_url_filter": _OP3_SQL}
+    return {"op1_word_windows": _OP1_SQL, "op3_url_filter": _OP3_SQL, "op13_sharded_lloyd": _lloyd_sql()}
