@@ -10,8 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tradeloom import schema as S
-from tradeloom.functions import running_totals, tile_at
-from tradeloom.functions.ordering import tile_end
+from tradeloom.functions import tile_at, tile_end
 from tradeloom.operators import complexity, metrics
 
 PY = "product_id long, year long, avg_pci double, global_export_value double"
@@ -38,29 +37,6 @@ def test_tile_of_position(spark, total, n):
         assert found[0][f"end{i}"] == sum(1 for tile in expected if tile <= i)
 
 
-def test_running_totals(spark):
-    random.seed(3)
-    rows = [
-        (year, random.choice([None, 0.0, 0.5, 1.0]), product, random.randint(0, 5))
-        for year in (2015, 2016)
-        for product in range(150 if year == 2015 else 300)
-    ]
-    df = spark.createDataFrame(rows, "year long, value double, product_id long, n long")
-    order = [F.col("value").asc_nulls_first(), F.col("product_id").asc()]
-    found = running_totals(df, ["year"], order, "n").collect()
-    assert len(found) == len(rows)
-    for year in (2015, 2016):
-        ordered = sorted(
-            (r for r in rows if r[0] == year), key=lambda r: (r[1] is not None, r[1] or 0, r[2])
-        )
-        before, expected = 0, {}
-        for r in ordered:
-            expected[r[2]] = before
-            before += r[3]
-        got = {r["product_id"]: (r["before"], r["total"]) for r in found if r["year"] == year}
-        assert got == {product: (b, before) for product, b in expected.items()}
-
-
 def test_product_complexity_ties(spark):
     rows = [(p, 2015, 1.0, 0.0 if p < 7 else float(p)) for p in range(10)]
     rows += [(p, 2016, None if p == 2 else float(-p), 5.0) for p in range(3)]

@@ -7,17 +7,21 @@ from .columns import (
     ratio,
     tier_of,
 )
-from .ordering import running_totals, tile_at, window_tiles
+from .ordering import tile_at, tile_end, tile_ends, window_tiles
+from .selection import between_positions, with_rank
 
 __all__ = [
+    "between_positions",
     "fixed_text",
     "label_of",
     "pct_change",
     "percent_text",
     "quartile_text",
     "ratio",
-    "running_totals",
     "tier_of",
     "tile_at",
+    "tile_end",
+    "tile_ends",
     "window_tiles",
+    "with_rank",
 ]

@@ -1,14 +1,12 @@
-"""Positions in a total order: running totals and quartiles that do not need one task per group."""
+"""Tiles by position in a total order."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import stored
-
 
 def window_tiles(n_tiles: int, group: Sequence[str], order: Sequence[Column]) -> Column:
     """NTILE for groups whose size is bounded by the data model (countries of one year)."""
@@ -39,42 +37,10 @@ def tile_end(tile: int, total: Column, n_tiles: int) -> Column:
     )
 
 
-def running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str | None = None
-) -> DataFrame:
-    """Add ``before`` (weight of all earlier rows of the group) and ``total`` (weight of the group).
+def tile_ends(n_tiles: int) -> Callable[[tuple, int], list[int]]:
+    """Last positions of all tiles but the last one, from a group's key and its number of rows."""
 
-    ``order`` must be total within a group. ``weight`` is a bigint column, one per row by default.
-    The rows are range partitioned on (group, order), which splits a group of any size over many
-    tasks, and stored; each range gets local running totals, and the totals of the ranges before it
-    are added. Groups must be few, such as years: their totals per range are broadcast.
-    """
-    w = F.col(weight) if weight else F.lit(1).cast("long")
-    # The range of each row is stored, so that both passes below see the same ranges.
-    ranged = stored(
-        df.repartitionByRange(*[F.col(g) for g in group], *order).withColumn(
-            "_range", F.spark_partition_id()
-        ),
-        "ranges",
-    )
-    # One row per range and group; ranges are contiguous, so at most ranges + groups rows.
-    by_range = ranged.groupBy("_range", *group).agg(F.sum(w).alias("_in_range"))
-    ranges = Window.partitionBy(*group).orderBy("_range")
-    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
-    by_range = by_range.select(
-        F.col("_range").alias("_r"),
-        *[F.col(g).alias(f"_{g}") for g in group],
-        F.coalesce(F.sum("_in_range").over(earlier), F.lit(0).cast("long")).alias("_earlier"),
-        F.sum("_in_range").over(Window.partitionBy(*group)).alias("total"),
-    )
-    local = Window.partitionBy("_range", *group).orderBy(*order)
-    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = F.col("_range") == F.col("_r")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    return (
-        ranged.withColumn("_local", F.sum(w).over(upto) - w)
-        .join(F.broadcast(by_range), same)
-        .withColumn("before", F.col("_earlier") + F.col("_local"))
-        .drop("_local", "_earlier", "_range", "_r", *[f"_{g}" for g in group])
-    )
+    def ends(group: tuple, total: int) -> list[int]:
+        return [tile * (total // n_tiles) + min(tile, total % n_tiles) for tile in range(1, n_tiles)]
+
+    return ends

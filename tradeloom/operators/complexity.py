@@ -6,31 +6,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions import ratio, running_totals, tier_of, tile_at, window_tiles
-from ..functions.ordering import tile_end
+from ..functions import (
+    between_positions,
+    ratio,
+    tier_of,
+    tile_at,
+    tile_end,
+    tile_ends,
+    window_tiles,
+    with_rank,
+)
 from ..sources.shared import stored
 
 
 def product_complexity(product_year: DataFrame, *, n_tiles: int = S.N_TILES) -> DataFrame:
     """Complexity quartile and tier, and export rank, of each product within its year.
 
-    Ties in ``avg_pci`` are ordered by product; a NULL year is a year like any other.
+    Ties in ``avg_pci`` are ordered by product; a NULL year is a year like any other. ``product_year``
+    is read several times, so it should be a stored table. Nothing is sorted but what lies around the
+    ends of the quartiles, and ranges of exports for the rank.
     """
-    by_complexity = [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc_nulls_first()]
-    placed = running_totals(product_year, ["year"], by_complexity)
-    # The rank of a value is one more than the number of rows with a larger value.
-    values = product_year.groupBy("year", "global_export_value").agg(F.count(F.lit(1)).alias("n"))
-    by_exports = F.col("global_export_value").desc_nulls_last()
-    ranks = running_totals(values, ["year"], [by_exports], "n").select(
-        F.col("year").alias("_year"),
-        F.col("global_export_value").alias("_value"),
-        (F.col("before") + 1).alias("export_rank"),
+    rows = product_year.select("product_id", "year", "avg_pci", "global_export_value")
+    placed = between_positions(rows, ["year"], ["avg_pci", "product_id"], tile_ends(n_tiles))
+    tiled = placed.select(
+        *rows.columns,
+        tile_at(F.col("before") + 1, F.col("total"), n_tiles).alias("complexity_quartile"),
     )
-    same_year = F.col("year").eqNullSafe(F.col("_year"))
-    same_value = F.col("global_export_value").eqNullSafe(F.col("_value"))
-    ranked = placed.withColumn(
-        "complexity_quartile", tile_at(F.col("before") + 1, F.col("total"), n_tiles)
-    ).join(ranks, same_year & same_value)
+    ranked = with_rank(tiled, ["year"], "global_export_value", "export_rank")
     return ranked.select(
         "product_id",
         "year",
@@ -257,16 +259,14 @@ def coi_growth_analysis(
 
 def product_ranges(totals: DataFrame, product_year: DataFrame, n_tiles: int) -> DataFrame:
     """First and last quartile of each product's export rows within its year, as a stored table."""
-    counts = (
+    counts = stored(
         totals.groupBy("product_id", "year")
         .agg(F.sum("n_rows").alias("n_rows"))
-        .join(product_year.select("product_id", "year", "avg_pci"), ["product_id", "year"])
+        .join(product_year.select("product_id", "year", "avg_pci"), ["product_id", "year"]),
+        "product-rows",
     )
-    placed = running_totals(
-        counts,
-        ["year"],
-        [F.col("avg_pci").asc_nulls_first(), F.col("product_id").asc()],
-        "n_rows",
+    placed = between_positions(
+        counts, ["year"], ["avg_pci", "product_id"], tile_ends(n_tiles), "n_rows"
     )
     before, total = F.col("before"), F.col("total")
     return stored(
@@ -295,19 +295,24 @@ def _straddling_growth(
         F.col("before").alias("product_before"),
         F.col("total").alias("year_rows"),
     )
+    before = {(r["product_id"], r["year"]): r for r in straddling.collect()}
     targets = targets.select(
         "country_id", "product_id", "year", "base_year", "target_year", "target_sum", "target_rows"
     )
-    copies = (
+    copies = stored(
         rows.join(F.broadcast(straddling), ["product_id", "year"])
         .groupBy("product_id", "year", "product_before", "year_rows", "country_id", "export_value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "straddling-rows",
     )
-    placed = running_totals(
-        copies,
-        ["product_id", "year"],
-        [F.col("country_id").asc_nulls_first(), F.col("export_value").asc()],
-        "n",
+
+    def ends_inside(product_year: tuple, n_rows: int) -> list[int]:
+        of = before[product_year]
+        ends = tile_ends(n_tiles)((), of["year_rows"])
+        return [end - of["product_before"] for end in ends]
+
+    placed = between_positions(
+        copies, ["product_id", "year"], ["country_id", "export_value"], ends_inside, "n"
     ).withColumn("first", F.col("product_before") + F.col("before"))
 
     def in_tile(tile: int):
