@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from .shared import first_line, path_exists
+from .csv_records import examine, records
+from .shared import path_exists
 
 #: Errors of a read arrive in either form.
 READ_ERRORS = (PySparkException, Py4JJavaError)
@@ -24,7 +26,8 @@ UPLOADED, ALREADY_EXISTS = "uploaded", "already_exists"
 _KNOWN = {f.name: f.dataType for f in S.FACT_SCHEMA.fields}
 
 LANDING_SCHEMA = (
-    "table_name string, status string, original_bytes long, landed_bytes long, message string"
+    "table_name string, status string, original_bytes long, landed_bytes long, seconds double, "
+    "message string"
 )
 LOAD_SCHEMA = (
     "table_name string, files long, rows long, rejected long, status string, message string"
@@ -63,37 +66,56 @@ def list_raw_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.gz", r"(\.csv)?\.gz$")
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
+#: How values are quoted, for files and for single records.
+CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
 
 
-def csv_rows(spark: SparkSession, files: list[str], *, multi_line: bool = True) -> DataFrame:
+def csv_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Text rows of CSV files whose headers may have other columns or another order.
 
-    Each file's header is read first, one line per file. Files with one header are one scan, with the
-    columns as that header names them; scans are put together by name.
+    One Spark job finds the header of each file and whether quoted values hold line breaks. Files
+    with one header are one scan, with the columns as that header names them; scans are put together
+    by name. Files of any kind are split over tasks, unless they are compressed.
     """
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda file: first_line(spark, file), files))
-    groups: dict[str, list[str]] = {}
-    for file, header in zip(files, headers):
-        if header is not None:
-            groups.setdefault(header, []).append(file)
-    if not groups:
+    found = examine(spark, paths)
+    if not found.files:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in S.FACT_COLUMNS))
+    if any(file.quoted_breaks for file in found.files):
+        return _parsed(records(spark, found), found.headers())
     scans = []
-    for header, same in sorted(groups.items()):
-        names = next(csv.reader([header.lstrip("\ufeff")]))
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        scans.append(_csv_reader(spark, multi_line).schema(schema).csv(same))
+    for header in found.headers():
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in _names(header)])
+        same = [file.path for file in found.files if file.header == header]
+        scans.append(spark.read.options(header=True, **CSV_OPTIONS).schema(schema).csv(same))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff").removesuffix("\r")]))
+
+
+def _parsed(rows: DataFrame, headers: list[str]) -> DataFrame:
+    """Columns of all headers, each record read by its own one."""
+    every = list(dict.fromkeys(name for header in headers for name in _names(header)))
+    values = F.lit(None)
+    for number, header in enumerate(headers):
+        record = F.col("record")
+        if header.endswith("\r"):
+            record = F.regexp_replace(record, "\r(\n|$)", "$1")
+        names = _names(header)
+        ddl = ", ".join(f"c{n} string" for n in range(len(names)))
+        parsed = F.from_csv(record, ddl, CSV_OPTIONS)
+        by_name = [
+            parsed[f"c{names.index(name)}"] if name in names else F.lit(None).cast("string")
+            for name in every
+        ]
+        as_list = F.array(*by_name)
+        values = F.when(F.col("header") == number, as_list).otherwise(values)
+    # Empty lines are no records.
+    read = rows.where(F.trim("record") != "").select(values.alias("v"))
+    return read.select(*[F.get("v", n).alias(name) for n, name in enumerate(every)])
+
+
 def _typed_column(name: str) -> Column:
     """A known column in its type, NULL where it cannot be read; any other column as it is.
 
@@ -125,21 +147,13 @@ def unreadable(text: DataFrame) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
 
 
-def read_raw_csv(
-    spark: SparkSession, paths: str | list[str], *, multi_line: bool = True
-) -> DataFrame:
+def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Rows of one table's CSV files, with columns found by the names in each file's header.
 
     Known columns get the types of the data model; others stay strings. A row that is too short
-    ends in NULLs. Quoted newlines need ``multi_line``, which costs nothing for gzip, as a gzip
-    file is one task in any case.
+    ends in NULLs.
     """
-    return typed(csv_rows(spark, csv_files(spark, paths), multi_line=multi_line))
-
-
-def csv_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """The files that Spark would read for these files and folders."""
-    return sorted(spark.read.format("binaryFile").load(paths).select("path").inputFiles())
+    return typed(csv_rows(spark, paths))
 
 
 def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
@@ -155,26 +169,18 @@ def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") ->
     )
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted value may go on in the next line: some line has an odd number of quotes."""
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
 def land_csv(
     spark: SparkSession,
     source: str,
     landing: str,
     *,
-    multi_line: bool | None = None,
     max_workers: int = 4,
 ) -> DataFrame:
-    """Write each CSV of ``source`` as gzipped parts below ``landing``; report status and sizes.
+    """Write each CSV of ``source`` as gzipped parts below ``landing``; report status, sizes and time.
 
-    A table that is already landed is skipped. Files are handled by parallel Spark jobs. A CSV is
-    split over tasks unless it has quoted newlines, since then only reading it from the start
-    finds the ends of rows. Each file is searched for them, unless ``multi_line`` says so.
+    A table that is already landed is skipped. Tables are handled by parallel Spark jobs. The parts
+    of a table may have other columns or another order: each is read by its own header, and what is
+    landed has all columns of all parts, by name.
     """
     # A CSV is a file or a folder of parts directly below ``source``.
     found = {
@@ -191,18 +197,17 @@ def land_csv(
         if path.endswith(".gz") or path_exists(spark, f"{path}/_SUCCESS")
     }
 
-    def land(name: str) -> tuple[str, str | None]:
+    def land(name: str) -> tuple[str, float | None, str | None]:
         if name in present:
-            return ALREADY_EXISTS, None
+            return ALREADY_EXISTS, None, None
+        start = time.monotonic()
         try:
-            path = found[name]["entry_path"]
-            whole = has_quoted_newlines(spark, path) if multi_line is None else multi_line
-            rows = _csv_reader(spark, whole).csv(path)
+            rows = csv_rows(spark, found[name]["entry_path"])
             # What an earlier failed run left has no ``_SUCCESS`` and is replaced.
             write_raw_csv(rows, f"{landing}/{name}", mode="overwrite")
-            return UPLOADED, None
+            return UPLOADED, round(time.monotonic() - start, 3), None
         except READ_ERRORS as error:
-            return ERROR, str(error)
+            return ERROR, None, str(error)
 
     names = sorted(found)
     with ThreadPoolExecutor(max_workers) as pool:
@@ -210,8 +215,8 @@ def land_csv(
     landed = _table_sizes(spark, landing)
     return spark.createDataFrame(
         [
-            (name, status, found[name]["length"], landed.get(name), message)
-            for name, (status, message) in zip(names, results)
+            (name, status, found[name]["length"], landed.get(name), seconds, message)
+            for name, (status, seconds, message) in zip(names, results)
         ],
         LANDING_SCHEMA,
     )

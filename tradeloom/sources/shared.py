@@ -31,23 +31,6 @@ def path_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
-def first_line(spark: SparkSession, file: str) -> str | None:
-    """The first line of a file, unpacked as its name says; None if the file is empty."""
-    path, files = _file_system(spark, file)
-    jvm = spark.sparkContext._jvm
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    codec = codecs.getCodec(path)
-    raw = files.open(path)
-    try:
-        plain = codec.createInputStream(raw) if codec else raw
-        reader = jvm.java.io.InputStreamReader(plain, "UTF-8")
-        return jvm.java.io.BufferedReader(reader).readLine()
-    finally:
-        raw.close()
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can read, private to this application and removed at its end.
 
