@@ -8,10 +8,11 @@ from .columns import (
     tier_of,
 )
 from .ordering import tile_at, tile_end, tile_ends, window_tiles
-from .selection import between_positions, with_rank
+from .selection import between_positions, bins_of, with_rank
 
 __all__ = [
     "between_positions",
+    "bins_of",
     "fixed_text",
     "label_of",
     "pct_change",

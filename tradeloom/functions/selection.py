@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Splitters of a group are its quantiles at so many equal steps.
 PIECES = 64
@@ -63,8 +65,60 @@ def _splitters(value: str) -> Column:
 
 def _bin(value: Column, splitters: Column) -> Column:
     """Odd for a splitter's value, even for the interval below the next one; -1 for NULL."""
-    below = F.size(F.filter(splitters, lambda s: s < value))
-    return F.when(value.isNull(), -1).otherwise(2 * below + F.array_contains(splitters, value).cast("int"))
+    below = F.array_position(F.sort_array(F.array_append(splitters, value)), value) - 1
+    number = 2 * below + F.array_contains(splitters, value).cast("int")
+    return F.when(value.isNull(), -1).otherwise(number.cast("int"))
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a relation of the plan, without a job of their own."""
+    columns = [pa.array([r[n] for r in rows], f.type) for n, f in enumerate(to_arrow_schema(schema))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=to_arrow_schema(schema)), schema)
+
+
+@dataclass(frozen=True)
+class Bins:
+    """What one group has in each bin of some columns."""
+
+    total: int
+    splitters: dict[str, list]
+    #: (bin, weight, rows) in the order of bins, by column.
+    counts: dict[str, list[tuple[int, int, int]]]
+
+
+def bins_of(
+    df: DataFrame, group: Sequence[str], columns: Sequence[str], weight: str | None = None
+) -> dict[tuple, Bins]:
+    """Bins of several columns by group, from one pass for the sketches and one for the counts."""
+    w = (F.col(weight) if weight else F.lit(1)).cast("long")
+    sketch = [_splitters(c).alias(f"_s{n}") for n, c in enumerate(columns)]
+    rows = df.groupBy(*group).agg(F.sum(w).alias("_total"), *sketch).collect()
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType(
+        [T.StructField(f"_{g}", kinds[g]) for g in group]
+        + [T.StructField(f"_s{n}", T.ArrayType(kinds[c])) for n, c in enumerate(columns)]
+    )
+    n_keys = len(group)
+    listed = [(*r[:n_keys], *(r[f"_s{n}"] or [] for n in range(len(columns)))) for r in rows]
+    table = _local(df.sparkSession, listed, schema)
+    # One row per group.
+    joined = df.join(F.broadcast(table), _same((df[g], table[f"_{g}"]) for g in group))
+    each = [
+        F.struct(F.lit(n).alias("_column"), _bin(F.col(c), F.col(f"_s{n}")).alias("_bin"))
+        for n, c in enumerate(columns)
+    ]
+    binned = joined.select(*group, w.alias("_w"), F.inline(F.array(*each)))
+    counted = binned.groupBy(*group, "_column", "_bin").agg(F.sum("_w").alias("w"), F.count("*").alias("n"))
+    found = {key[:n_keys]: Bins(r["_total"], {}, {c: [] for c in columns}) for r, key in zip(rows, listed)}
+    for key in listed:
+        found[key[:n_keys]].splitters.update(zip(columns, key[n_keys:]))
+    for r in counted.collect():
+        bins = found[tuple(r[:n_keys])].counts[columns[r["_column"]]]
+        bins.append((r["_bin"], r["w"], r["n"]))
+    for bins in found.values():
+        for counts in bins.counts.values():
+            counts.sort()
+    return found
 
 
 def _same(pairs: Iterable[tuple[Column, Column]]) -> Column:
@@ -83,11 +137,6 @@ class _Order:
         self.rows = df.select(*group, *order, w.cast("long").alias("_w"))
         self.spark = df.sparkSession
 
-    def totals(self) -> dict[tuple, tuple[int, list]]:
-        """Weight and splitters of the first column, by group."""
-        found = self.rows.groupBy(*self.group).agg(F.sum("_w"), _splitters(self.order[0]))
-        return {tuple(row[:-2]): (row[-2], row[-1] or []) for row in found.collect()}
-
     def _in(self, brackets: list[_Bracket], level: int, splitters: list[list] | None = None) -> DataFrame:
         """Rows of brackets of one level, with the bracket's number ``_id`` and its ``_splitters``."""
         kinds = {f.name: f.dataType for f in self.rows.schema.fields}
@@ -106,7 +155,7 @@ class _Order:
             (n, *b.group, *b.equal, b.low, b.high, b.whole, splitters[n] if splitters else None)
             for n, b in enumerate(brackets)
         ]
-        table = self.spark.createDataFrame(listed, schema)
+        table = _local(self.spark, listed, schema)
         value = F.col(self.order[level])
         above = F.col("_low").isNull() | (value > F.col("_low"))
         below = F.col("_high").isNull() | (value < F.col("_high"))
@@ -130,28 +179,30 @@ class _Order:
         by_id = {row["_id"]: row["s"] or [] for row in found.collect()}
         return [by_id[n] for n in range(len(brackets))]
 
-    def locate(self, sought: dict[tuple, list[int]], splitters: dict[tuple, list]) -> list[Located]:
+    def locate(self, sought: dict[tuple, list[int]], bins: dict[tuple, Bins]) -> list[Located]:
         found: list[Located] = []
         small: dict[int, list[_Target]] = {}
-        known = {_Bracket(g): s for g, s in splitters.items()}
+        # Whole groups have been sketched and counted.
+        known = {_Bracket(g): b.splitters[self.order[0]] for g, b in bins.items()}
+        counts = {_Bracket(g): b.counts[self.order[0]] for g, b in bins.items()}
         wanted = [_Target(g, p, 0, _Bracket(g)) for g, positions in sought.items() for p in positions]
         for level in range(len(self.order)):
             following: list[_Target] = []
             while wanted:
-                brackets = list(dict.fromkeys(t.bracket for t in wanted))
-                if any(b not in known for b in brackets):
-                    known |= dict(zip(brackets, self._sketched(brackets, level)))
-                lists = [known[b] for b in brackets]
-                counted = self._counted(brackets, level, lists)
+                new = [b for b in dict.fromkeys(t.bracket for t in wanted) if b not in counts]
+                if new:
+                    lists = self._sketched(new, level)
+                    known |= dict(zip(new, lists))
+                    counted = self._counted(new, level, lists)
+                    counts |= {b: counted[n] for n, b in enumerate(new)}
                 again: list[_Target] = []
                 for target in wanted:
-                    n = brackets.index(target.bracket)
                     before = target.before
-                    for bin_, weight, rows in counted[n]:
+                    for bin_, weight, rows in counts[target.bracket]:
                         if target.position <= before + weight:
                             break
                         before += weight
-                    inner = self._inside(target.bracket, bin_, lists[n])
+                    inner = self._inside(target.bracket, bin_, known[target.bracket])
                     narrowed = _Target(target.group, target.position, before, inner)
                     if len(inner.equal) > level:
                         if level + 1 < len(self.order):
@@ -185,7 +236,8 @@ class _Order:
         upto = by_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rows = self._in(brackets, level).withColumn("_upto", F.sum("_w").over(upto))
         numbered = [(n, brackets.index(t.bracket), t.position - t.before) for n, t in enumerate(targets)]
-        wanted = self.spark.createDataFrame(numbered, "_target int, _of int, _position long")
+        schema = T.StructType([T.StructField(c, T.LongType()) for c in ("_target", "_of", "_position")])
+        wanted = _local(self.spark, numbered, schema)
         covers = (F.col("_position") <= F.col("_upto")) & (F.col("_position") > F.col("_upto") - F.col("_w"))
         hits = rows.join(F.broadcast(wanted), (F.col("_id") == F.col("_of")) & covers)
         found = []
@@ -201,18 +253,20 @@ def between_positions(
     order: Sequence[str],
     positions: Positions,
     weight: str | None = None,
+    bins: dict[tuple, Bins] | None = None,
 ) -> DataFrame:
     """Add ``total`` (weight of the group) and ``before``, which places a row among the positions sought.
 
     ``order`` are numeric columns, ascending with NULL first, that tell rows of a group apart. ``before`` is the weight of
     all earlier rows for a row that covers a position or starts right after it; for any other row it is a position that the
     row lies beyond, with none sought between that and the row's end. ``df`` is read several times, so it should be a
-    stored table. The result is a scan of it, joined with one broadcast row per group.
+    stored table. The result is a scan of it, joined with one broadcast row per group. ``bins`` may give the bins of the
+    first column of the order, with the same weights.
     """
-    sought = _Order(df, group, order, weight)
-    totals = sought.totals()
-    wanted = {g: sorted({p for p in positions(g, total) if 0 < p < total}) for g, (total, _) in totals.items()}
-    located = sought.locate(wanted, {g: splitters for g, (_, splitters) in totals.items()})
+    if bins is None:
+        bins = bins_of(df, group, order[:1], weight)
+    wanted = {g: sorted({p for p in positions(g, b.total) if 0 < p < b.total}) for g, b in bins.items()}
+    located = _Order(df, group, order, weight).locate(wanted, bins)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     key_type = T.StructType([T.StructField(c, kinds[c]) for c in order])
     bound = T.StructType(
@@ -228,8 +282,8 @@ def between_positions(
     by_group: dict[tuple, list] = {}
     for hit in located:
         by_group.setdefault(hit.group, []).append((hit.position, hit.key, hit.before))
-    listed = [(*g, total, sorted(by_group.get(g, []), key=lambda b: b[0])) for g, (total, _) in totals.items()]
-    table = df.sparkSession.createDataFrame(listed, schema)
+    listed = [(*g, b.total, [_named(bound, hit) for hit in by_group.get(g, [])]) for g, b in bins.items()]
+    table = _local(df.sparkSession, listed, schema)
     key = F.struct(*order)
     covering = F.filter("_bounds", lambda b: b["key"] == key)
     passed = F.array_max(F.transform(F.filter("_bounds", lambda b: b["key"] < key), lambda b: b["end"]))
@@ -238,30 +292,45 @@ def between_positions(
     return joined.withColumn("before", before).drop("_bounds", *[f"_{g}" for g in group])
 
 
-def with_rank(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+def _named(kind: T.StructType, values: tuple) -> dict:
+    return {f.name: _named(f.dataType, v) if isinstance(f.dataType, T.StructType) else v for f, v in zip(kind.fields, values)}
+
+
+def with_rank(
+    df: DataFrame, group: Sequence[str], value: str, name: str, bins: dict[tuple, Bins] | None = None
+) -> DataFrame:
     """Add the RANK of ``value`` within its group, largest first and NULL last, as a bigint column ``name``.
 
-    Rows of a splitter's value, however many, take their rank from the bins' counts alone. The others are ranked within
-    their interval, which is a small part of its group. ``df`` is read several times, so it should be a stored table.
+    The rank of a splitter's value follows from the bins' counts alone, and its rows, however many, are dealt over many
+    tasks. The others are ranked within their interval, which is a small part of its group. ``df`` should be a stored
+    table. ``bins`` may give the bins of ``value``, one per row.
     """
-    grouped = [F.col(g).alias(f"_{g}") for g in group]
-    splitters = df.groupBy(*grouped).agg(_splitters(value).alias("_splitters"))
-    binned = (
-        df.join(F.broadcast(splitters), _same((df[g], splitters[f"_{g}"]) for g in group))
-        .withColumn("_bin", _bin(F.col(value), F.col("_splitters")))
-        .drop("_splitters", *[f"_{g}" for g in group])
-    )
-    # One row per group and bin.
-    larger = Window.partitionBy(*group).orderBy(F.col("_bin").desc())
-    counts = binned.groupBy(*group, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = F.sum("_n").over(larger.rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select(
-        *grouped, F.col("_bin").alias("_in"), F.coalesce(earlier, F.lit(0).cast("long")).alias("_larger")
+    if bins is None:
+        bins = bins_of(df, group, [value])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType(
+        [T.StructField(f"_{g}", kinds[g]) for g in group]
+        + [
+            T.StructField("_splitters", T.ArrayType(kinds[value])),
+            T.StructField("_larger", T.ArrayType(T.LongType())),
+        ]
     )
-    same = _same([*((binned[g], counts[f"_{g}"]) for g in group), (binned["_bin"], counts["_in"])])
-    placed = binned.join(F.broadcast(counts), same).drop("_in", *[f"_{g}" for g in group])
+    listed = []
+    for key, b in bins.items():
+        # Rows above each bin from -1 on.
+        larger = [0] * (2 * len(b.splitters[value]) + 2)
+        for bin_, _, n in b.counts[value]:
+            for lower in range(bin_ + 1):
+                larger[lower] += n
+        listed.append((*key, b.splitters[value], larger))
+    table = _local(df.sparkSession, listed, schema)
+    # One row per group.
+    joined = df.join(F.broadcast(table), _same((df[g], table[f"_{g}"]) for g in group))
+    binned = joined.withColumn("_bin", _bin(F.col(value), F.col("_splitters")))
     one_value = F.col("_bin") % 2 != 0
-    inside = Window.partitionBy(*group, "_bin").orderBy(F.col(value).desc())
-    equal = placed.filter(one_value).withColumn(name, F.col("_larger") + 1)
-    mixed = placed.filter(~one_value).withColumn(name, F.col("_larger") + F.rank().over(inside))
-    return equal.unionByName(mixed).drop("_bin", "_larger")
+    dealt = F.when(one_value, F.pmod(F.xxhash64(*df.columns), F.lit(PIECES)))
+    inside = Window.partitionBy(*group, "_bin", "_dealt").orderBy(F.col(value).desc())
+    above = F.get("_larger", F.col("_bin") + 1)
+    placed = binned.select(*df.columns, "_bin", dealt.alias("_dealt"), above.alias("_above"))
+    rank = F.when(F.col("_dealt").isNotNull(), F.lit(1)).otherwise(F.rank().over(inside))
+    return placed.withColumn(name, F.col("_above") + rank).drop("_bin", "_dealt", "_above")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import (
     between_positions,
+    bins_of,
     ratio,
     tier_of,
     tile_at,
@@ -27,12 +28,14 @@ def product_complexity(product_year: DataFrame, *, n_tiles: int = S.N_TILES) ->
     ends of the quartiles, and ranges of exports for the rank.
     """
     rows = product_year.select("product_id", "year", "avg_pci", "global_export_value")
-    placed = between_positions(rows, ["year"], ["avg_pci", "product_id"], tile_ends(n_tiles))
+    bins = bins_of(rows, ["year"], ["avg_pci", "global_export_value"])
+    order = ["avg_pci", "product_id"]
+    placed = between_positions(rows, ["year"], order, tile_ends(n_tiles), bins=bins)
     tiled = placed.select(
         *rows.columns,
         tile_at(F.col("before") + 1, F.col("total"), n_tiles).alias("complexity_quartile"),
     )
-    ranked = with_rank(tiled, ["year"], "global_export_value", "export_rank")
+    ranked = with_rank(tiled, ["year"], "global_export_value", "export_rank", bins)
     return ranked.select(
         "product_id",
         "year",
