@@ -110,3 +110,57 @@ def test_values_are_no_names(llm, open_tag):
     page = f'<html class="no-menu"><body class="page has-sidebar widget">{open_tag}<p>good <a href="/hidden-lake">lake</a> text</p><div hidden>x</div><p class="c" HIDDEN="">y</p><p aria-hidden=true>z</p></body></html>'
     pages = llm.createDataFrame([(1, "http://a.org/", page)], "page_id long, url string, html string")
     assert [r.text for r in html_extraction.extract(pages).collect()] == ["good lake text"]
+
+
+ARTICLE = " ".join(f"sentence {i} of the article goes on" for i in range(16))
+
+
+def texts_of(llm, pages):
+    rows = [(i, url, page) for i, (url, page) in enumerate(pages)]
+    found = html_extraction.extract(llm.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ('<form id="aspnetForm">', "</form>"), ('<div class="elementor-widget-container">', "</div>"), ('<div class="social-science-article">', "</div>"),
+        ('<div class="post tags-list">', "</div>"), ("<aside><article>", "</article>"), ('<div class="sidebar">', "</div>"), ('<div role="navigation">', "</div>"),
+    ],
+)
+def test_a_name_does_not_outweigh_the_text(llm, before, after):
+    page = f'<body><nav><a href="/">menu</a></nav>{before}<p>{ARTICLE}</p>{after}<div class="ad">buy now</div><footer>end</footer></body>'
+    assert texts_of(llm, [("http://a.org/", page)]) == [ARTICLE]
+
+
+def test_suspected_parts_stay_out(llm):
+    """Long comments, a long footer on a short page and a text cut into widgets, judged by the host's pages."""
+    comments = "<div class='comments'><p>" + "a reader says a lot " * 60 + "</p></div>"
+    page = "<body><main><p>{}</p></main>{}<footer><p>" + "imprint and terms " * 12 + "</p></footer></body>"
+    pages = [("http://c.org/", page.format(ARTICLE, comments)) for _ in range(6)] + [("http://c.org/s", page.format("short one", ""))]
+    widgets = "<body>" + "".join(f"<div class='box-widget'><p>{ARTICLE} {i}</p></div>" for i in range(4)) + "<div class='ad-widget'>buy</div></body>"
+    pages += [("http://w.org/", widgets)] * 3
+    found = texts_of(llm, pages)
+    assert found[:6] == [ARTICLE] * 6 and found[6] == "short one"
+    assert found[7:] == ["\n".join(f"{ARTICLE} {i}" for i in range(4))] * 3
+
+
+def test_generated_sites(llm):
+    """Sites of other layouts, names and clutter: the planted article on nearly every page, and no page is empty."""
+    random.seed(11)
+    wraps = ["form", "div class='{}-content'", "section id='{}'", "div class='{} main-wrap'", "div", "main class='{}'", "div data-{}='1'"]
+    words = ["widget", "social", "post", "share", "promo-text", "entry", "sidebar-none", "login-page", "related-topic", "story", "c12", "tags-list"]
+    clutter = ["<nav><ul><li><a href='/a'>home</a><li><a href='/b'>about us</a></ul></nav>", "<div class='ad'>buy this {}</div>", "<aside><p>side note {}</p></aside>", "<div id='cookie-notice'><p>we use cookies {}</p></div>", "<header><h2>Site {}</h2></header>"]
+    expected, pages = [], []
+    for site in range(40):
+        layers = [random.choice(wraps).format(random.choice(words)) for _ in range(random.randint(1, 4))]
+        before, after = random.choices(clutter, k=3), ["<div class='comments'><p>reader {}</p></div>", "<footer><p>all rights {}</p></footer>"]
+        for n in range(4):
+            text = [" ".join(random.choices(["alpha", "beta", "gamma", "delta", "of", "the"], k=random.randint(30, 80))) for _ in range(random.randint(2, 6))]
+            body = "".join(f"<{layer}>" for layer in layers) + "".join(f"<p>{t}</p>" for t in text)
+            body += "".join(f"</{layer.split()[0]}>" for layer in reversed(layers))
+            pages.append((f"http://s{site}.org/{n}", f"<html><body>{''.join(b.format(n) for b in before)}{body}{''.join(a.format(n) for a in after)}</body></html>"))
+            expected.append("\n".join(text))
+    found = texts_of(llm, pages)
+    assert all(found)
+    assert sum(a == b for a, b in zip(found, expected)) >= 0.95 * len(expected)
