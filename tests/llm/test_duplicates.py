@@ -184,26 +184,109 @@ def test_decontamination(llm, odd, texts):
     assert {(r.doc_id, r.item_id) for r in found} == planted
     by_id = dict(rows)
     for r in found:
-        assert r.edits <= decontamination.EDITS * 400 and 0 <= r.first_byte < r.end_byte <= len(by_id[r.doc_id].encode())
+        assert r.edits <= decontamination.EDITS * decontamination.PIECE and decontamination.LEAST <= r.covered <= 1 and 0 <= r.first_byte < r.end_byte <= len(by_id[r.doc_id].encode())
     assert decontamination.matches(odd([]), benchmark).collect() == []
     assert decontamination.matches(odd(rows), benchmark.limit(0)).collect() == []
 
 
+def fewest_edits(a, b, low=None, high=None):
+    """Between ``a`` and any part of ``b``, on all diagonals or on those from ``low`` to ``high``."""
+    far = 10**6
+    row = [0 if low is None or low <= j <= high else far for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        new = []
+        for j in range(len(b) + 1):
+            best = min(row[j] + 1, row[j - 1] + (x != b[j - 1]) if j else far, new[-1] + 1 if j else far)
+            new.append(best if low is None or low <= j - i <= high else far)
+        row = new
+    return min(row)
+
+
 @pytest.mark.parametrize("edits", [0, 1, 4])
 def test_alignment(edits):
-    def distance(a, b):
-        row = [0] * (len(b) + 1)
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
-            row = new
-        return min(row)
-
     random.seed(edits)
     for _ in range(150):
         item = bytes(random.choices(b"abc", k=random.randint(3, 12)))
         text = bytes(random.choices(b"abc", k=random.randint(1, 30)))
-        best = distance(item, text)
-        found = decontamination.align(item, text, edits)
+        best = fewest_edits(item, text)
+        found = decontamination.align(item, text, -len(item), len(text), edits)
         assert (found[0] if found else None) == (best if best <= edits else None)
+        low = random.randint(-6, 10)
+        high = low + random.randint(0, 8)
+        banded = fewest_edits(item, text, low, high)
+        found = decontamination.align(item, text, low, high, edits)
+        if found and found[0]:
+            assert found[0] == banded
+        assert bool(found) == (banded <= edits) or found == (0, text.find(item, max(low, 0)) + len(item))
+
+
+def normal(text):
+    return " ".join(re.findall(r"[0-9a-z\u0080-\U0010FFFF]+", (text or "").translate({c: c + 32 for c in range(65, 91)})))
+
+
+def brute_matches(rows, items, q=decontamination.Q, share=decontamination.EDITS):
+    """Every piece of every item against every text."""
+    found, size, step = set(), decontamination.PIECE, decontamination.STEP
+    for doc_id, text in rows:
+        plain = normal(text).encode()
+        for item_id, item in items:
+            item = normal(item).encode()
+            last = max(len(item) - size, 0)
+            hits = {}
+            for start in {*range(0, last, step), last} if item else ():
+                piece = item[start : start + size]
+                if len(piece) < 2 * q:
+                    if f" {piece.decode()} " in f" {plain.decode()} ":
+                        hits[start] = 0
+                    continue
+                allowed = min(int(share * len(piece)), (len(piece) - q) // q)
+                best = 0 if piece in plain else fewest_edits(piece, plain)
+                if best <= allowed:
+                    hits[start] = best
+            covered = len({k for start in hits for k in range(start, min(start + size, len(item)))})
+            if hits and covered >= decontamination.LEAST * len(item):
+                found.add((doc_id, item_id, round(covered / len(item), 6), min(hits.values())))
+    return found
+
+
+def test_decontamination_equals_brute_force(llm, odd):
+    """Few letters, so that texts and items share many q-grams by chance; changed, cut, short and odd items."""
+    random.seed(8)
+    words = ["".join(random.choices("abcé", k=random.randint(1, 6))) for _ in range(25)]
+    text = lambda n: " ".join(random.choices(words, k=n))
+    items = [(i, text(random.randint(4, 30))) for i in range(14)] + [(50, "one short"), (51, "x9"), (52, "A-b"), (53, ""), (54, None), (1, text(20))]
+    rows = [(99, None), (98, ""), (97, "one short"), (97, "One, SHORT x9a b"), (96, "none shorter x9 ab")]
+    for i in range(24):
+        item = list((items[i % 14][1]))
+        for _ in range(i % 5):
+            item[random.randrange(len(item))] = random.choice("abc ")
+        cut = random.randrange(len(item)) if i % 3 == 0 else 0
+        rows.append((i, f"{text(random.randint(0, 12))} {''.join(item[cut:])}. {text(random.randint(0, 12))}"))
+    found = decontamination.matches(odd(rows), llm.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, round(r.covered, 6), r.edits) for r in found} == brute_matches(rows, items)
+
+
+@pytest.mark.parametrize("change", ["1 word", "2 words", "3 words", "0.75", "0.5"])
+def test_changed_and_cut_items_are_found(llm, change):
+    """The items of the benchmark among other texts, with changed words or as excerpts."""
+    random.seed(6)
+    folder = FOLDER.replace("0.001", "0.01")
+    items = [(r.item_id, r.text) for r in llm.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    texts = [r.text for r in llm.read.parquet(f"{folder}/documents.parquet").where("lang = 'de' and length(text) < 3000").collect()]
+    words = [w for t in texts for w in t.split()]
+    rows = []
+    for n, (_, item) in enumerate(items):
+        if "word" in change:
+            changed = item.split()
+            for at in random.sample(range(len(changed)), min(int(change[0]), len(changed))):
+                changed[at] = random.choice(words)
+            item = " ".join(changed)
+        else:
+            size = int(float(change) * len(item))
+            start = random.randrange(len(item) - size + 1)
+            item = item[start : start + size]
+        rows.append((n, f"{texts[n][:500]} {item} {texts[n][500:]}"))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.matches(docs, llm.createDataFrame(items, "item_id long, text string")).collect()
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    assert sum((n, i) in pairs for n, (i, _) in enumerate(items)) >= 0.9 * len(items)
