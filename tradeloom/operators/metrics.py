@@ -30,6 +30,21 @@ def country_product_year(fact: DataFrame) -> DataFrame:
     )
 
 
+def added_product_totals(parts: DataFrame) -> DataFrame:
+    """``country_product_year`` of a fact from those of its parts: every column is a sum or a maximum."""
+    maxima = ("eci", "coi")
+    keys = ["country_id", "product_id", "year"]
+    measures = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(
+        *[(F.max(c) if c in maxima else F.sum(c)).alias(c) for c in measures]
+    )
+
+
+def added_partner_totals(parts: DataFrame) -> DataFrame:
+    """``country_partner_year`` of a fact from those of its parts."""
+    return country_partner_year(parts)
+
+
 def country_partner_year(fact: DataFrame) -> DataFrame:
     """Totals over products per country, partner and year, for results that need no products."""
     return fact.groupBy("country_id", "partner_country_id", "year").agg(

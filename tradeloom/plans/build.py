@@ -2,110 +2,242 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import complexity, ingest, metrics, views
 from ..sources import tables
-from ..sources.shared import scope, stored
+from ..sources.shared import discard, scope
 
 COMBINED = "combined_trade_data"
+METRICS = [
+    "country_year_metrics",
+    "product_year_metrics",
+    "bilateral_flows",
+    "export_specialization",
+    "complexity_dynamics",
+    "product_complexity",
+    "export_portfolio",
+    "partner_diversification",
+    "coi_growth_analysis",
+]
+
+
+@dataclass(frozen=True)
+class Added:
+    """Rows that a merge has appended to the fact, and the files of each year before that."""
+
+    rows: DataFrame
+    before: dict[int, str]
 
 
 def build_combined(
     spark: SparkSession, database: str, *, null_safe: bool = False, level: str | None = None
 ) -> DataFrame:
     """Create the fact table from all source tables, or merge them into it when it has rows."""
+    added = _combine(spark, database, null_safe, level)
+    if added:
+        discard(added.rows)
+    return tables.fact_in(spark, f"{database}.{COMBINED}")
+
+
+def _combine(spark: SparkSession, database: str, null_safe: bool, level: str | None) -> Added | None:
     target = f"{database}.{COMBINED}"
     names = tables.source_tables(spark, database, level=level)
     sources = [spark.table(f"{database}.{name}") for name in names]
-    _, has_rows = tables.table_status(spark, target)
-    if not has_rows:
-        return tables.write_fact_table(ingest.combined_trade_data(sources), target)
-    return tables.merge_into(spark, target, *sources, null_safe=null_safe)
+    # A year without rows has no files.
+    before = tables.files_by_year(spark, target) if spark.catalog.tableExists(target) else {}
+    if not before:
+        tables.write_fact_table(ingest.combined_trade_data(sources), target)
+        return None
+    return Added(tables.append_new(spark, target, *sources, null_safe=null_safe), before)
 
 
-def build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """``_build_metrics`` without what it stores on the way."""
+#: Totals of the fact that metric tables start from, and the fact files that they were made from.
+BY_PRODUCT, BY_PARTNER, FILES = "totals_by_product", "totals_by_partner", "fact_files"
+
+
+def build_metrics(
+    spark: SparkSession, database: str, added: Added | None = None
+) -> dict[str, DataFrame]:
+    """Bring the metric tables up to date with the fact table and define the views over them.
+
+    Only years whose files of the fact have changed since the last build are computed again, and
+    growth also where the next year has. The totals that the metrics start from are sums and maxima,
+    so rows that a merge has just appended (``added``) are added to those of their years, unless
+    something else has changed these since the last build. A database without totals is built as a
+    whole. What is stored on the way is removed.
+    """
     with scope(spark):
-        return _build_metrics(spark, database)
+        return _Build(spark, database).run(added)
 
 
-def _build_metrics(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """Rewrite the metric tables from the fact table and define the views over them.
+class _Build:
+    """Tables of one database.
 
-    A metric table is read back before the next step uses it, so that joins are planned from the
-    size of its files. Metric tables of fact size (flows, specialization) are written as well, for
-    readers of the database; the steps here start from the fact or from its totals by product and
-    by partner.
+    A table is read back before the next step uses it, so that joins are planned from its size.
     """
-    fact = tables.fact_in(spark, f"{database}.{COMBINED}")
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        return tables.overwrite_table(df, f"{database}.{name}")
-
-    built: dict[str, DataFrame] = {}
-    by_product = stored(metrics.country_product_year(fact), "country-product-year")
-    by_partner = stored(metrics.country_partner_year(fact), "country-partner-year")
-    country_year = built["country_year_metrics"] = keep(
-        "country_year_metrics",
-        metrics.country_year_metrics(fact, by_product=by_product, by_partner=by_partner),
-    )
-    product_year = built["product_year_metrics"] = keep(
-        "product_year_metrics", metrics.product_year_metrics(fact, by_product=by_product)
-    )
-    built["bilateral_flows"] = keep("bilateral_flows", metrics.bilateral_flows(fact))
-    # Exports are never negative, so the totals over positive rows are those of the metric tables.
-    country_totals = country_year.withColumnRenamed("total_exports", "country_total")
-    built["export_specialization"] = keep(
-        "export_specialization",
-        metrics.export_specialization(
-            fact,
-            country_totals=country_totals,
-            product_totals=product_year.withColumnRenamed("global_export_value", "product_total"),
-        ),
-    )
-    built["complexity_dynamics"] = keep(
-        "complexity_dynamics", metrics.complexity_dynamics(country_year)
-    )
-    tiers = built["product_complexity"] = keep(
-        "product_complexity", complexity.product_complexity(product_year)
-    )
-    exports = metrics.positive_exports(fact)
-    built["export_portfolio"] = keep(
-        "export_portfolio",
-        complexity.export_portfolio(
-            exports,
-            tiers,
-            products=metrics.with_country_share(
-                metrics.positive_exports(by_product), country_totals
+
+    def __init__(self, spark: SparkSession, database: str) -> None:
+        self.spark, self.database = spark, database
+        #: Years to compute; None for all.
+        self.years: list[int] | None = None
+
+    def name(self, table: str) -> str:
+        return f"{self.database}.{table}"
+
+    def of_years(self, rows: DataFrame, years: list[int] | None = None) -> DataFrame:
+        """Rows of the years to compute, or of ``years``; all tables are partitioned by year."""
+        chosen = years if years is not None else self.years
+        return rows if chosen is None else rows.filter(F.col("year").isin(chosen))
+
+    def keep(
+        self, table: str, df: DataFrame, column: str = "year", values: list[int] | None = None
+    ) -> DataFrame:
+        """A table by year, of which only the years to compute are replaced."""
+        if self.years is None:
+            return tables.overwrite_table(df, self.name(table), partition_by=column)
+        values = self.years if values is None else values
+        return tables.replace_partitions(df, self.name(table), column, values)
+
+    def run(self, added: Added | None) -> dict[str, DataFrame]:
+        spark = self.spark
+        fact = tables.fact_in(spark, self.name(COMBINED))
+        files = tables.files_by_year(spark, self.name(COMBINED))
+        simple = self._changed_years(files, added)
+        if self.years == []:
+            return self._all_tables()
+        recent = self.of_years(fact)
+
+        by_product = self._totals(
+            BY_PRODUCT, fact, added, simple, metrics.country_product_year, metrics.added_product_totals
+        )
+        by_partner = self._totals(
+            BY_PARTNER, fact, added, simple, metrics.country_partner_year, metrics.added_partner_totals
+        )
+        new_product, new_partner = self.of_years(by_product), self.of_years(by_partner)
+        country_year = self.keep(
+            "country_year_metrics",
+            metrics.country_year_metrics(recent, by_product=new_product, by_partner=new_partner),
+        )
+        product_year = self.keep(
+            "product_year_metrics", metrics.product_year_metrics(recent, by_product=new_product)
+        )
+        self.keep("bilateral_flows", metrics.bilateral_flows(recent))
+        # Exports are never negative, so the totals over positive rows are those of the metric tables.
+        country_totals = self.of_years(country_year).withColumnRenamed("total_exports", "country_total")
+        new_products = self.of_years(product_year)
+        self.keep(
+            "export_specialization",
+            metrics.export_specialization(
+                recent,
+                country_totals=country_totals,
+                product_totals=new_products.withColumnRenamed("global_export_value", "product_total"),
             ),
-            all_products_known=True,
-        ),
-    )
-    built["partner_diversification"] = keep(
-        "partner_diversification",
-        metrics.partner_diversification(metrics.partner_flows(by_partner)),
-    )
-    built["coi_growth_analysis"] = keep(
-        "coi_growth_analysis",
-        complexity.coi_growth_analysis(
+        )
+        # One row per country and year, each of which looks at the year before.
+        tables.overwrite_table(metrics.complexity_dynamics(country_year), self.name("complexity_dynamics"))
+        tiers = self.keep("product_complexity", complexity.product_complexity(new_products))
+        self.keep(
+            "export_portfolio",
+            complexity.export_portfolio(
+                metrics.positive_exports(recent),
+                self.of_years(tiers),
+                products=metrics.with_country_share(
+                    metrics.positive_exports(new_product), country_totals
+                ),
+                all_products_known=True,
+            ),
+        )
+        self.keep(
+            "partner_diversification",
+            metrics.partner_diversification(metrics.partner_flows(new_partner)),
+        )
+        self._growth(fact, country_year, product_year, by_product)
+        tables.overwrite_table(
+            views.v_global_yearly_metrics(country_year), self.name("v_global_yearly_metrics")
+        )
+        for view, sql in views.catalog_views(self.database).items():
+            tables.replace_database_view(spark, self.name(view), sql)
+        # Last, so that a build that was broken off is repeated.
+        state = spark.createDataFrame(sorted(files.items()), "year int, digest string")
+        tables.overwrite_table(state, self.name(FILES))
+        return self._all_tables()
+
+    def _changed_years(self, files: dict[int, str], added: Added | None) -> list[int]:
+        """Sets the years to compute; returns those of them that only ``added`` has changed."""
+        needed = (*METRICS, BY_PRODUCT, BY_PARTNER, FILES)
+        if not all(self.spark.catalog.tableExists(self.name(table)) for table in needed):
+            return []
+        known = {r["year"]: r["digest"] for r in self.spark.table(self.name(FILES)).collect()}
+        changed = {y for y in files.keys() | known.keys() if files.get(y) != known.get(y)}
+        self.years = sorted(changed)
+        if added is None:
+            return []
+        of_added = {r["year"] for r in added.rows.select("year").distinct().collect()}
+        return sorted(y for y in of_added & changed if added.before.get(y) == known.get(y))
+
+    def _totals(
+        self,
+        table: str,
+        fact: DataFrame,
+        added: Added | None,
+        simple: list[int],
+        make: Callable[[DataFrame], DataFrame],
+        add_up: Callable[[DataFrame], DataFrame],
+    ) -> DataFrame:
+        if self.years is None:
+            return self.keep(table, make(fact))
+        other = [y for y in self.years if y not in simple]
+        parts = []
+        if simple:
+            old = self.of_years(self.spark.table(self.name(table)), simple)
+            new = make(self.of_years(added.rows, simple))
+            parts.append(add_up(old.select(new.columns).unionByName(new)))
+        if other:
+            parts.append(make(self.of_years(fact, other)))
+        return self.keep(table, reduce(DataFrame.unionByName, parts))
+
+    def _growth(
+        self,
+        fact: DataFrame,
+        country_year: DataFrame,
+        product_year: DataFrame,
+        by_product: DataFrame,
+    ) -> None:
+        """Growth of the base years that have changed themselves or whose next year has."""
+        bases = targets = replaced = None
+        if self.years is not None:
+            every = sorted(r["year"] for r in country_year.select("year").distinct().collect())
+            steps = [(a, b) for a, b in zip(every, every[1:]) if a in self.years or b in self.years]
+            bases, targets = [a for a, _ in steps], [b for _, b in steps]
+            replaced = sorted({*bases, *self.years})
+        rows = by_product if bases is None else self.of_years(by_product, sorted({*bases, *targets}))
+        growth = complexity.coi_growth_analysis(
             country_year,
-            exports,
-            product_year,
-            totals=metrics.stored_export_totals(by_product),
-        ),
-    )
-    built["v_global_yearly_metrics"] = keep(
-        "v_global_yearly_metrics", views.v_global_yearly_metrics(country_year)
-    )
-    for name, sql in views.catalog_views(database).items():
-        built[name] = tables.replace_database_view(spark, f"{database}.{name}", sql)
-    return built
+            metrics.positive_exports(self.of_years(fact, bases)),
+            self.of_years(product_year, bases),
+            totals=metrics.stored_export_totals(rows),
+        )
+        if bases is not None:
+            growth = growth.filter(F.col("base_year").isin(bases))
+        self.keep("coi_growth_analysis", growth, "base_year", replaced)
+
+    def _all_tables(self) -> dict[str, DataFrame]:
+        names = [*METRICS, "v_global_yearly_metrics", *views.catalog_views(self.database)]
+        return {name: self.spark.table(self.name(name)) for name in names}
 
 
 def build_all(
     spark: SparkSession, database: str, *, null_safe: bool = False, level: str | None = None
 ) -> dict[str, DataFrame]:
     """Fact table, metric tables and views of ``database``, by name."""
-    fact = build_combined(spark, database, null_safe=null_safe, level=level)
-    return {COMBINED: fact, **build_metrics(spark, database)}
+    added = _combine(spark, database, null_safe, level)
+    built = build_metrics(spark, database, added)
+    if added:
+        discard(added.rows)
+    return {COMBINED: tables.fact_in(spark, f"{database}.{COMBINED}"), **built}

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.ingest import new_rows
+from .shared import discard, stored
 
 
 def source_tables(
@@ -38,11 +43,38 @@ def table_status(spark: SparkSession, table: str) -> tuple[bool, bool]:
     return True, not spark.table(table).isEmpty()
 
 
-def overwrite_table(df: DataFrame, table: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(table)
+def overwrite_table(df: DataFrame, table: str, *, partition_by: str | None = None) -> DataFrame:
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+def replace_partitions(df: DataFrame, table: str, column: str, values: Sequence[int]) -> DataFrame:
+    """Puts ``df`` in place of the partitions of ``values``; all of its rows lie in them.
+
+    It is stored first, so it may be made from the table itself, and other partitions are not read.
+    """
+    spark = df.sparkSession
+    rows = stored(df, "partitions")
+    for value in values:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {value})")
+    rows.write.mode("append").partitionBy(column).saveAsTable(table)
+    discard(rows)
+    return spark.table(table)
+
+
+def files_by_year(spark: SparkSession, table: str) -> dict[int, str]:
+    """A digest of the names of each year's files, which change whenever rows are added or rewritten."""
+    names: dict[int, list[str]] = {}
+    for file in spark.table(table).inputFiles():
+        year = re.search(r"/year=(\d+)/", file)
+        if year:
+            names.setdefault(int(year[1]), []).append(file.rsplit("/", 1)[-1])
+    return {y: hashlib.md5("\n".join(sorted(n)).encode()).hexdigest() for y, n in names.items()}
+
+
 def clustered_by_year(fact: DataFrame) -> DataFrame:
     """Rows laid out for a table partitioned by year and sorted by country and product.
 
@@ -59,12 +91,23 @@ def write_fact_table(fact: DataFrame, table: str) -> DataFrame:
     return fact_in(fact.sparkSession, table)
 
 
-def merge_into(
+def append_new(
     spark: SparkSession, table: str, *sources: DataFrame, null_safe: bool = False
 ) -> DataFrame:
-    """Append the cleaned rows of ``sources`` whose key is not in ``table`` or an earlier source."""
-    fresh = new_rows(fact_in(spark, table), sources, null_safe=null_safe)
+    """Append the cleaned rows of ``sources`` whose key is not in ``table`` or an earlier source.
+
+    The rows that were added are returned, as a stored table.
+    """
+    fresh = stored(new_rows(fact_in(spark, table), sources, null_safe=null_safe), "fresh")
     clustered_by_year(fresh).write.mode("append").partitionBy("year").saveAsTable(table)
+    return fresh
+
+
+def merge_into(
+    spark: SparkSession, table: str, *sources: DataFrame, null_safe: bool = False
+) -> DataFrame:
+    """``append_new``, and the table with them."""
+    discard(append_new(spark, table, *sources, null_safe=null_safe))
     return fact_in(spark, table)
 
 
