@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..sources.shared import stored
 
 
 def _valid_rows(raw: DataFrame, min_year: int) -> DataFrame:
@@ -75,6 +76,46 @@ def new_rows(
     )
 
 
+def row_key() -> Column:
+    """A hash of a row's key; rows of one key share it, and few others do."""
+    return F.xxhash64(*S.FACT_KEYS)
+
+
+def new_rows_by_index(
+    index: DataFrame,
+    sources: Sequence[DataFrame],
+    *,
+    null_safe: bool = False,
+    min_year: int = S.MIN_YEAR,
+) -> DataFrame:
+    """``new_rows`` of sources against the keys of the existing rows.
+
+    ``index`` has the distinct keys with ``key``, their ``row_key``, and is bucketed by it. The join is on
+    that column alone, so the index is read bucket by bucket and never shuffled; the keys themselves
+    are compared where hashes are equal. Only years of the batch are read.
+    """
+    tagged = [
+        _valid_rows(raw, min_year).withColumn("_source", F.lit(n)) for n, raw in enumerate(sources, 1)
+    ]
+    fresh = stored(reduce(DataFrame.unionByName, tagged).distinct(), "merge-batch")
+    years = [row["year"] for row in fresh.select("year").distinct().collect()]
+    complete = [F.col(c).isNotNull() for c in S.FACT_KEYS]
+    whole = F.lit(True) if null_safe else reduce(lambda a, b: a & b, complete)
+    keys = fresh.where(whole).groupBy(row_key().alias("key"), *S.FACT_KEYS).agg(F.min("_source").alias("_first"))
+    known = index.where(F.col("year").isin(years)).select("key", *[F.col(c).alias(f"_{c}") for c in S.FACT_KEYS])
+
+    def same(c: str) -> Column:
+        # Not an equality of two columns, which would become one more key of the join.
+        equal = F.col(c).bitwiseXOR(F.col(f"_{c}")) == 0
+        return F.coalesce(equal, F.col(c).isNull() & F.col(f"_{c}").isNull())
+
+    is_known = reduce(lambda a, b: a & b, map(same, S.FACT_KEYS), keys["key"] == known["key"])
+    unseen = keys.join(known, is_known, "left_anti").select(*[F.col(c).alias(f"_{c}") for c in S.FACT_KEYS], "_first")
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in S.FACT_KEYS])
+    first = fresh.join(unseen, match & (F.col("_source") == F.col("_first"))).select(*S.FACT_COLUMNS)
+    return first if null_safe else first.unionByName(fresh.where(~whole).select(*S.FACT_COLUMNS))
+
+
 def unmatched_rows(
     existing: DataFrame, raw: DataFrame, *, null_safe: bool = False, min_year: int = S.MIN_YEAR
 ) -> DataFrame:

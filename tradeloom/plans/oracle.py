@@ -56,6 +56,14 @@ RELATIONS = {
             SELECT 1 FROM early_a t
             WHERE t.country_id = s.country_id AND t.partner_country_id = s.partner_country_id
               AND t.product_id = s.product_id AND t.year = s.year)""",
+    "two_null_safe": """
+        SELECT * FROM early_a UNION ALL
+        SELECT * FROM clean_b s WHERE NOT EXISTS (
+            SELECT 1 FROM early_a t
+            WHERE t.country_id IS NOT DISTINCT FROM s.country_id
+              AND t.partner_country_id IS NOT DISTINCT FROM s.partner_country_id
+              AND t.product_id IS NOT DISTINCT FROM s.product_id
+              AND t.year IS NOT DISTINCT FROM s.year)""",
     "country_year": """
         SELECT country_id, year, max(eci) AS eci, max(coi) AS coi,
                sum(export_value) AS total_exports, sum(import_value) AS total_imports,
@@ -441,6 +449,10 @@ QUERIES = {
         UNION ALL SELECT 'combined_trade_data', false, false
         UNION ALL SELECT 'combined_trade_data built', true, count(*) > 0 FROM combined""",
     "incremental_ingest": "SELECT * FROM combined",
+    "landed_mixed_headers": """
+        SELECT *, CASE WHEN product_id % 2 = 0
+            THEN 'line "' || product_id || '",' || chr(10) || country_id END AS note
+        FROM raw_a""",
     # Pipeline tables
     "directed_flows": "SELECT * FROM flow",
     "fact_table": "SELECT * FROM fact",
@@ -453,6 +465,20 @@ QUERIES = {
             SELECT 1 FROM two_so_far t
             WHERE t.country_id = s.country_id AND t.partner_country_id = s.partner_country_id
               AND t.product_id = s.product_id AND t.year = s.year)""",
+    "merge_by_index": """
+        SELECT * FROM two_so_far UNION ALL
+        SELECT * FROM clean_a s WHERE NOT EXISTS (
+            SELECT 1 FROM two_so_far t
+            WHERE t.country_id = s.country_id AND t.partner_country_id = s.partner_country_id
+              AND t.product_id = s.product_id AND t.year = s.year)""",
+    "merge_by_index_null_safe": """
+        SELECT * FROM two_null_safe UNION ALL
+        SELECT * FROM clean_a s WHERE NOT EXISTS (
+            SELECT 1 FROM two_null_safe t
+            WHERE t.country_id IS NOT DISTINCT FROM s.country_id
+              AND t.partner_country_id IS NOT DISTINCT FROM s.partner_country_id
+              AND t.product_id IS NOT DISTINCT FROM s.product_id
+              AND t.year IS NOT DISTINCT FROM s.year)""",
     "eci_text_of_all": "SELECT country_id, year, printf('%.2f', eci) AS eci_text FROM evolution",
     "share_text_of_all": "SELECT country_id, year, " + ", ".join(
         f"printf('%.1f%%', round({c}, 6) * 100) AS {c}" for c in SHARES.split()
@@ -710,7 +736,7 @@ QUERIES = {
 
 
 #: Queries whose relations refer to each other so often that inlining them takes too long.
-_NESTED = {"merge_three_sources"}
+_NESTED = {"merge_three_sources", "merge_by_index", "merge_by_index_null_safe"}
 
 
 def _with_relations(sql: str, relations: dict[str, str], *, once: bool = False) -> str:

@@ -13,6 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions import fixed_text, percent_text
 from ..operators import complexity, ingest, insights, metrics, reports, views
 from ..operators.views import SHARES
@@ -70,6 +71,17 @@ def merged_in_turn(w: Workbench) -> DataFrame:
     return ingest.merge_combined(early, [second, first])
 
 
+def merged_by_index(w: Workbench, *, null_safe: bool) -> DataFrame:
+    """The early years of one source, then both sources, merged into a fact table with a key index."""
+    first, second = w.raw
+    table = f"{new_database(w)}.combined_trade_data"
+    early = ingest.clean_source(first).filter(F.col("year") < BASE_YEAR + 2)
+    tables.write_fact_table(early, table)
+    tables.write_key_index(w.spark, table)
+    tables.merge_into(w.spark, table, second, first, null_safe=null_safe)
+    return tables.fact_in(w.spark, table)
+
+
 def merged(w: Workbench, *, null_safe: bool) -> DataFrame:
     first, second = w.raw
     return ingest.merge_combined(ingest.clean_source(first), [second], null_safe=null_safe)
@@ -109,6 +121,24 @@ def _landed_rows(w: Workbench, landing: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def landed_mixed_headers(w: Workbench) -> DataFrame:
+    """One table from parts with other columns and orders, one with line breaks in quoted text."""
+
+    def make() -> str:
+        plain, landing = new_path(w.spark, "csv"), new_path(w.spark, "landing")
+        rows, path = w.raw[0], f"{plain}/{SOURCES[0]}.csv"
+        even = F.col("product_id") % 2 == 0
+        text = F.concat(F.lit('line "'), F.col("product_id"), F.lit('",\n'), F.col("country_id"))
+        noted = rows.filter(even).withColumn("note", text).select("note", *reversed(rows.columns))
+        for part in (rows.filter(~even), noted):
+            out = part.write.mode("append").option("header", True).option("escape", '"')
+            out.csv(path)
+        raw_csv.land_csv(w.spark, plain, landing)
+        return f"{landing}/{SOURCES[0]}"
+
+    return raw_csv.read_raw_csv(w.spark, w.once("landed-mixed", make)).select(*S.FACT_COLUMNS, "note")
+
+
 def raw_csv_rows(w: Workbench) -> DataFrame:
     return _landed_rows(w, _landed(w)[0])
 
@@ -261,6 +291,7 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     # Sources
     "landing_report": landing_report,
     "raw_csv_rows": raw_csv_rows,
+    "landed_mixed_headers": landed_mixed_headers,
     "load_report": load_report,
     "load_counts": load_counts,
     "source_discovery": source_discovery,
@@ -273,6 +304,8 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "merge_combined": partial(merged, null_safe=False),
     "merge_combined_null_safe": partial(merged, null_safe=True),
     "merge_three_sources": merged_in_turn,
+    "merge_by_index": partial(merged_by_index, null_safe=False),
+    "merge_by_index_null_safe": partial(merged_by_index, null_safe=True),
     "country_year_metrics": Workbench.new_country_year,
     "product_year_metrics": Workbench.new_product_year,
     "bilateral_flows": lambda w: w.flows,

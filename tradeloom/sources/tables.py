@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.ingest import new_rows
+from ..operators.ingest import new_rows, new_rows_by_index, row_key
 from .shared import discard, stored
 
 
@@ -91,15 +91,49 @@ def write_fact_table(fact: DataFrame, table: str) -> DataFrame:
     return fact_in(fact.sparkSession, table)
 
 
+def key_index(table: str) -> str:
+    """The name of a fact table's key index."""
+    return f"{table}_keys"
+
+
+def write_key_index(spark: SparkSession, table: str, *, buckets: int | None = None) -> DataFrame:
+    """The distinct keys of a fact table, partitioned by year and bucketed by their hash.
+
+    With it, a merge reads the keys of the batch's years only, and shuffles none of them. There is one
+    file per year, bucket and merge; ``buckets`` are as many as the session's shuffle partitions.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _indexed(fact_in(spark, table), buckets)
+    writer = keys.write.mode("overwrite").partitionBy("year")
+    writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(key_index(table))
+    return spark.table(key_index(table))
+
+
+def _indexed(rows: DataFrame, buckets: int) -> DataFrame:
+    keys = rows.select(*S.FACT_KEYS).distinct().withColumn("key", row_key())
+    return keys.repartition(buckets, "key")
+
+
 def append_new(
     spark: SparkSession, table: str, *sources: DataFrame, null_safe: bool = False
 ) -> DataFrame:
     """Append the cleaned rows of ``sources`` whose key is not in ``table`` or an earlier source.
 
-    The rows that were added are returned, as a stored table.
+    The rows that were added are returned, as a stored table. A key index is used and kept up; after a
+    merge that was broken off between the two it must be written again.
     """
-    fresh = stored(new_rows(fact_in(spark, table), sources, null_safe=null_safe), "fresh")
+    index = key_index(table)
+    if spark.catalog.tableExists(index):
+        known = spark.table(index)
+        found = new_rows_by_index(known, sources, null_safe=null_safe)
+    else:
+        known, found = None, new_rows(fact_in(spark, table), sources, null_safe=null_safe)
+    fresh = stored(found, "fresh")
     clustered_by_year(fresh).write.mode("append").partitionBy("year").saveAsTable(table)
+    if known is not None:
+        buckets = int(spark.sql(f"DESCRIBE EXTENDED {index}").where("col_name = 'Num Buckets'").first()["data_type"])
+        writer = _indexed(fresh, buckets).write.mode("append").partitionBy("year")
+        writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(index)
     return fresh
 
 
