@@ -137,3 +137,12 @@ def test_types(bench):
     for df in (bench.country_year, bench.dynamics, bench.evolution, bench.growth, bench.partners):
         for f in df.schema.fields:
             assert isinstance(f.dataType, (T.LongType, T.DoubleType, T.StringType)), f
+
+
+def test_bitmaps_count_and_add_up(spark):
+    values = [(1, 2015, v) for v in (0, 1, 1, 32767, 32768, 32769, 10**12, -1, -32768, None)] + [(2, 2015, 5), (3, 2015, None)]
+    rows = spark.createDataFrame(values, "country_id long, year long, v long")
+    keys = ["country_id", "year"]
+    parts = metrics.distinct_bitmaps(rows, keys, "v").unionByName(metrics.distinct_bitmaps(rows.limit(4), keys, "v"))
+    found = metrics.distinct_counts(metrics.added_bitmaps(parts, keys), keys, "n")
+    assert {r.country_id: r.n for r in found.collect()} == {1: 8, 2: 1}

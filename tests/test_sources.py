@@ -277,3 +277,25 @@ def test_a_second_build_leaves_nothing_behind(spark, tmp_path, database):
     queries.load_counts(bench).collect()
     queries.full_build(bench).collect()
     assert left()[1] == before[1] and left()[0] == before[0]
+
+
+@pytest.mark.parametrize(
+    "values,kind",
+    [
+        (["1", "-20", "+3"], "bigint"), (["1", "2.5", "1e3", ".5"], "double"), (["true", "FALSE", ""], "boolean"), (["true", "1"], "string"),
+        (["2015-02-28", "2016-02-29"], "date"), (["2015-02-29"], "string"), (["2015-02-28", "2015-02-28 10:11:12.5"], "timestamp"),
+        (["2015-02-28", "12"], "string"), (["", None], "string"), (["9999999999999999999"], "double"), (["1", "x"], "string"), ([], "string"), ([" 1"], "string"),
+    ],
+)
+def test_narrowest_type_of_all_values(spark, values, kind):
+    text = spark.createDataFrame([(v, "5") for v in values], "a string, year string")
+    found = raw_csv.detected_types(text)
+    assert [tuple(r) for r in found.collect()] == [("a", kind, sum(bool(v) for v in values))]
+    assert dict(raw_csv.with_types(text, found).dtypes)["a"] == kind
+
+
+def test_read_with_detected_types(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("year,note,weight\n2015,7,1.5\n2016,,2\n")
+    rows = raw_csv.read_raw_csv(spark, str(tmp_path / "x.csv"), detect=True)
+    assert dict(rows.dtypes) == {"year": "bigint", "note": "bigint", "weight": "double"}
+    assert sorted(tuple(r) for r in rows.collect()) == [(2015, 7, 1.5), (2016, None, 2.0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +90,27 @@ def country_year_metrics(
     )
 
 
+def distinct_bitmaps(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Which values of an integer column each group has, as bitmaps of 32,768 values each.
+
+    Bits are set on the map side, so the shuffle has one row per group, range of values and task.
+    """
+    known = rows.where(F.col(column).isNotNull())
+    return known.groupBy(
+        *keys, F.expr(f"bitmap_bucket_number({column})").alias("bucket")
+    ).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({column}))").alias("bits"))
+
+
+def added_bitmaps(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``distinct_bitmaps`` of all rows from those of their parts."""
+    return parts.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_counts(bitmaps: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Exact number of distinct values of each group that has any."""
+    return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
 def product_year_metrics(fact: DataFrame, *, by_product: DataFrame | None = None) -> DataFrame:
     """Mean complexity, world exports and number of reporting countries per product and year.
 

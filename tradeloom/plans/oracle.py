@@ -449,6 +449,36 @@ QUERIES = {
         UNION ALL SELECT 'combined_trade_data', false, false
         UNION ALL SELECT 'combined_trade_data built', true, count(*) > 0 FROM combined""",
     "incremental_ingest": "SELECT * FROM combined",
+    "bitmap_counts": """
+        SELECT country_id, year, count(DISTINCT product_id) AS product_count,
+               count(DISTINCT partner_country_id) AS partner_count
+        FROM fact GROUP BY country_id, year HAVING count(partner_country_id) > 0""",
+    # The same values as text, and what they can all be cast to.
+    "detected_csv_types": """
+        SELECT column_name,
+               CASE WHEN count(v) = 0 THEN 'string'
+                    WHEN bool_and(lower(v) IN ('true', 'false')) FILTER (WHERE v IS NOT NULL) THEN 'boolean'
+                    WHEN bool_and(TRY_CAST(v AS BIGINT) IS NOT NULL AND NOT contains(v, '.')) FILTER (WHERE v IS NOT NULL) THEN 'bigint'
+                    WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'double'
+                    WHEN bool_and(length(v) = 10 AND TRY_CAST(v AS DATE) IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'date'
+                    WHEN bool_and(TRY_CAST(v AS TIMESTAMP) IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'timestamp'
+                    ELSE 'string' END AS type_name,
+               count(v) AS non_empty
+        FROM (SELECT unnest(['o_orderkey', 'o_custkey', 'price', 'day', 'moment', 'even', 'mixed',
+                             'flag_or_number', 'nothing']) AS column_name,
+                     unnest([o_orderkey::VARCHAR,
+                             CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey::VARCHAR END,
+                             CASE WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice)::BIGINT::VARCHAR
+                                  ELSE o_totalprice::VARCHAR END,
+                             strftime(o_orderdate, '%Y-%m-%d'),
+                             CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+                                  ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
+                             (o_orderkey % 2 = 0)::VARCHAR,
+                             CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE o_orderkey::VARCHAR END,
+                             CASE WHEN o_orderkey % 5 = 0 THEN '1' ELSE 'true' END,
+                             NULL]) AS v
+              FROM orders)
+        GROUP BY column_name""",
     "landed_mixed_headers": """
         SELECT *, CASE WHEN product_id % 2 = 0
             THEN 'line "' || product_id || '",' || chr(10) || country_id END AS note

@@ -139,6 +139,47 @@ def landed_mixed_headers(w: Workbench) -> DataFrame:
     return raw_csv.read_raw_csv(w.spark, w.once("landed-mixed", make)).select(*S.FACT_COLUMNS, "note")
 
 
+def detected_csv_types(w: Workbench) -> DataFrame:
+    """Types of all columns of the orders, written as CSV with values that widen some of them."""
+
+    def make() -> str:
+        path = new_path(w.spark, "csv")
+        orders = sample.read_table(w.spark, w.folder, "orders")
+        price, key = F.col("o_totalprice"), F.col("o_orderkey")
+        rows = orders.select(
+            "o_orderkey",
+            F.when(key % 7 != 0, F.col("o_custkey")).alias("o_custkey"),
+            F.when(key % 2 == 0, F.floor(price).cast("string")).otherwise(price.cast("string")).alias("price"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+            F.when(key % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+            .alias("moment"),
+            (key % 2 == 0).cast("string").alias("even"),
+            F.when(key % 5 == 0, "n/a").otherwise(key.cast("string")).alias("mixed"),
+            F.when(key % 5 == 0, "1").otherwise("true").alias("flag_or_number"),
+            F.lit(None).cast("string").alias("nothing"),
+        )
+        rows.write.option("header", True).csv(path)
+        return path
+
+    path = w.once("types-csv", make)
+    return raw_csv.detected_types(raw_csv.csv_rows(w.spark, path))
+
+
+def bitmap_counts(w: Workbench) -> DataFrame:
+    """Distinct products and partners per country and year, from bitmaps of two parts of the fact put together."""
+    keys = ["country_id", "year"]
+    early, late = w.fact.filter(F.col("product_id") % 2 == 0), w.fact.filter(F.col("product_id") % 2 == 1)
+
+    def counts(column: str, name: str) -> DataFrame:
+        parts = metrics.distinct_bitmaps(early, keys, column).unionByName(
+            metrics.distinct_bitmaps(late, keys, column)
+        )
+        return metrics.distinct_counts(metrics.added_bitmaps(parts, keys), keys, name)
+
+    return counts("product_id", "product_count").join(counts("partner_country_id", "partner_count"), keys)
+
+
 def raw_csv_rows(w: Workbench) -> DataFrame:
     return _landed_rows(w, _landed(w)[0])
 
@@ -292,6 +333,8 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "landing_report": landing_report,
     "raw_csv_rows": raw_csv_rows,
     "landed_mixed_headers": landed_mixed_headers,
+    "detected_csv_types": detected_csv_types,
+    "bitmap_counts": bitmap_counts,
     "load_report": load_report,
     "load_counts": load_counts,
     "source_discovery": source_discovery,

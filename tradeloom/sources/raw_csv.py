@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import time
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -137,6 +138,76 @@ def typed(text: DataFrame) -> DataFrame:
     return text.select(*[_typed_column(name).alias(name) for name in text.columns])
 
 
+# How text of each type is written, from the narrowest type to the widest.
+TYPE_PATTERNS = {
+    "boolean": "^(?i)(true|false)$",
+    "bigint": "^[+-]?[0-9]{1,18}$",
+    "double": "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,3})?$",
+    "date": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "timestamp": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$",
+}
+
+
+def detected_types(text: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, type_name, non_empty) of text columns, by default of those the data model does not know.
+
+    A column has the narrowest type that all its values have: bigint is within double and date
+    within timestamp, anything else together is string, and a column without values is string.
+    Empty values have every type. All rows are looked at, in one pass that sends one row per task.
+    """
+    names = [c for c in text.columns if c not in _KNOWN] if columns is None else list(columns)
+    schema = "column_name string, type_name string, non_empty long"
+    if not names:
+        return text.sparkSession.createDataFrame([], schema)
+    counts = []
+    for n, name in enumerate(names):
+        value = F.col(f"`{name}`")
+        counts.append(F.count_if(value != "").alias(f"n{n}"))
+        for kind, pattern in TYPE_PATTERNS.items():
+            fits = value.rlike(pattern)
+            if kind in ("date", "timestamp"):
+                # The form alone does not make a date.
+                fits = fits & value.try_cast(kind).isNotNull()
+            counts.append(F.count_if((value != "") & fits).alias(f"{kind}{n}"))
+    summed = text.agg(*counts)
+
+    def type_of(n: int) -> Column:
+        total = F.col(f"n{n}")
+        number = F.col(f"bigint{n}"), F.col(f"double{n}")
+        time = F.col(f"date{n}"), F.col(f"timestamp{n}")
+        return (
+            F.when(total == 0, "string")
+            .when(F.col(f"boolean{n}") == total, "boolean")
+            .when(number[0] == total, "bigint")
+            # What is written as a whole number is written as a double, too.
+            .when(number[1] == total, "double")
+            .when(time[0] == total, "date")
+            .when(time[0] + time[1] == total, "timestamp")
+            .otherwise("string")
+        )
+
+    each = [
+        F.struct(
+            F.lit(name).alias("column_name"), type_of(n).alias("type_name"), F.col(f"n{n}").alias("non_empty")
+        )
+        for n, name in enumerate(names)
+    ]
+    return summed.select(F.inline(F.array(*each)))
+
+
+def with_types(text: DataFrame, types: DataFrame) -> DataFrame:
+    """Columns of ``text`` in the types that ``detected_types`` has found; empty values become NULL."""
+    kinds = {r["column_name"]: r["type_name"] for r in types.collect()}
+
+    def column(name: str) -> Column:
+        kind, value = kinds.get(name), F.col(f"`{name}`")
+        if kind is None:
+            return value
+        return value if kind == "string" else F.nullif(value, F.lit("")).try_cast(kind).alias(name)
+
+    return text.select(*map(column, text.columns))
+
+
 def unreadable(text: DataFrame) -> Column:
     """Whether a row of ``text`` has a value that the type of its column cannot hold."""
     tests = [
@@ -147,13 +218,16 @@ def unreadable(text: DataFrame) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
 
 
-def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, paths: str | list[str], *, detect: bool = False
+) -> DataFrame:
     """Rows of one table's CSV files, with columns found by the names in each file's header.
 
-    Known columns get the types of the data model; others stay strings. A row that is too short
-    ends in NULLs.
+    Known columns get the types of the data model; others stay strings, or get the types of all
+    their values with ``detect``. A row that is too short ends in NULLs.
     """
-    return typed(csv_rows(spark, paths))
+    text = csv_rows(spark, paths)
+    return typed(with_types(text, detected_types(text)) if detect else text)
 
 
 def write_raw_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
