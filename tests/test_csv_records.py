@@ -12,7 +12,7 @@ from tradeloom.sources import raw_csv
 from tradeloom.sources.csv_records import examine, records
 
 
-@pytest.fixture(params=[40, 1 << 20])
+@pytest.fixture(params=[150, 1 << 20])
 def ranges(spark, request):
     """Bytes of a range."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(request.param))
