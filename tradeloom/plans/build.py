@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import complexity, ingest, metrics, views
+from ..operators import complexity, hierarchy, ingest, metrics, views
 from ..sources import tables
 from ..sources.shared import discard, scope
 
@@ -36,17 +36,36 @@ class Added:
 
 
 def build_combined(
-    spark: SparkSession, database: str, *, null_safe: bool = False, level: str | None = None
+    spark: SparkSession,
+    database: str,
+    *,
+    null_safe: bool = False,
+    level: str | None = None,
+    levels: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Create the fact table from all source tables, or merge them into it when it has rows."""
-    added = _combine(spark, database, null_safe, level)
+    """Create the fact table from all source tables, or merge them into it when it has rows.
+
+    With ``levels``, source tables of these numbers of digits are reconciled; since a finer row
+    changes what remains of a coarser one, the fact is then written anew each time.
+    """
+    added = _combine(spark, database, null_safe, level, levels)
     if added:
         discard(added.rows)
     return tables.fact_in(spark, f"{database}.{COMBINED}")
 
 
-def _combine(spark: SparkSession, database: str, null_safe: bool, level: str | None) -> Added | None:
+def _combine(
+    spark: SparkSession,
+    database: str,
+    null_safe: bool,
+    level: str | None,
+    levels: Sequence[int] | None = None,
+) -> Added | None:
     target = f"{database}.{COMBINED}"
+    if levels:
+        with scope(spark):
+            tables.write_fact_table(_reconciled(spark, database, levels), target)
+        return None
     names = tables.source_tables(spark, database, level=level)
     sources = [spark.table(f"{database}.{name}") for name in names]
     # A year without rows has no files.
@@ -57,6 +76,14 @@ def _combine(spark: SparkSession, database: str, null_safe: bool, level: str | N
     return Added(tables.append_new(spark, target, *sources, null_safe=null_safe), before)
 
 
+def _reconciled(spark: SparkSession, database: str, levels: Sequence[int]) -> DataFrame:
+    cleaned = {}
+    for digits in levels:
+        names = tables.source_tables(spark, database, level=str(digits))
+        cleaned[digits] = ingest.combined_trade_data([spark.table(f"{database}.{n}") for n in names])
+    return hierarchy.as_finest(hierarchy.reconciled(cleaned), max(levels))
+
+
 #: Totals of the fact that metric tables start from, and the fact files that they were made from.
 BY_PRODUCT, BY_PARTNER, FILES = "totals_by_product", "totals_by_partner", "fact_files"
 
@@ -233,10 +260,15 @@ class _Build:
 
 
 def build_all(
-    spark: SparkSession, database: str, *, null_safe: bool = False, level: str | None = None
+    spark: SparkSession,
+    database: str,
+    *,
+    null_safe: bool = False,
+    level: str | None = None,
+    levels: Sequence[int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Fact table, metric tables and views of ``database``, by name."""
-    added = _combine(spark, database, null_safe, level)
+    """Fact table, metric tables and views of ``database``, by name; see ``build_combined``."""
+    added = _combine(spark, database, null_safe, level, levels)
     built = build_metrics(spark, database, added)
     if added:
         discard(added.rows)

@@ -50,6 +50,56 @@ RELATIONS = {
         WHERE year >= 2012 AND export_value >= 0 AND import_value >= 0""",
     "combined": "SELECT * FROM clean_a UNION SELECT * FROM clean_b",
     "early_a": "SELECT * FROM clean_a WHERE year < 2018",
+    "coded": """
+        SELECT country_id, partner_country_id,
+               (product_id % 20 + 1) * 10000 + product_id // 20 % 10 * 100 + product_id // 200 % 100
+                   AS product_id,
+               year, sum(export_value) AS export_value, sum(import_value) AS import_value,
+               max(eci) AS eci, max(coi) AS coi, max(pci) AS pci
+        FROM fact GROUP BY ALL""",
+    "six": "SELECT * FROM coded WHERE (country_id + product_id) % 3 <> 0",
+    "four": """
+        SELECT country_id, partner_country_id, product_id, year,
+               CASE WHEN (product_id + year) % 5 = 0 THEN floor(export_value / 2)
+                    ELSE export_value END AS export_value,
+               CASE WHEN (product_id + year) % 5 = 0 THEN floor(import_value / 2)
+                    ELSE import_value END AS import_value, eci, coi, pci
+        FROM (SELECT country_id, partner_country_id, product_id // 100 AS product_id, year,
+                     sum(export_value) AS export_value, sum(import_value) AS import_value,
+                     max(eci) AS eci, max(coi) AS coi, max(pci) AS pci FROM coded GROUP BY ALL)
+        WHERE (country_id + product_id) % 2 = 0""",
+    "two": """
+        SELECT country_id, partner_country_id, product_id // 10000 AS product_id, year,
+               sum(export_value) AS export_value, sum(import_value) AS import_value,
+               max(eci) AS eci, max(coi) AS coi, max(pci) AS pci FROM coded GROUP BY ALL""",
+    "four_compared": """
+        SELECT r.*, f.e, f.i FROM four r LEFT JOIN (
+            SELECT country_id, partner_country_id, product_id // 100 AS product_id, year,
+                   sum(export_value) AS e, sum(import_value) AS i FROM six GROUP BY ALL) f
+        ON r.country_id = f.country_id AND r.product_id = f.product_id AND r.year = f.year
+           AND r.partner_country_id IS NOT DISTINCT FROM f.partner_country_id""",
+    "four_rest": """
+        SELECT * EXCLUDE (e, i) REPLACE (
+            greatest(export_value - coalesce(e, 0), 0) AS export_value,
+            greatest(import_value - coalesce(i, 0), 0) AS import_value)
+        FROM four_compared WHERE e IS NULL OR e < export_value OR i < import_value""",
+    "two_compared": """
+        SELECT r.*, f.e, f.i FROM two r LEFT JOIN (
+            SELECT country_id, partner_country_id, product_id, year,
+                   sum(export_value) AS e, sum(import_value) AS i
+            FROM (SELECT * REPLACE (product_id // 10000 AS product_id) FROM six UNION ALL
+                  SELECT * REPLACE (product_id // 100 AS product_id) FROM four_rest)
+            GROUP BY ALL) f
+        ON r.country_id = f.country_id AND r.product_id = f.product_id AND r.year = f.year
+           AND r.partner_country_id IS NOT DISTINCT FROM f.partner_country_id""",
+    "two_rest": """
+        SELECT * EXCLUDE (e, i) REPLACE (
+            greatest(export_value - coalesce(e, 0), 0) AS export_value,
+            greatest(import_value - coalesce(i, 0), 0) AS import_value)
+        FROM two_compared WHERE e IS NULL OR e < export_value OR i < import_value""",
+    "levels": """
+        SELECT *, 6 AS level FROM six UNION ALL SELECT *, 4 FROM four_rest
+        UNION ALL SELECT *, 2 FROM two_rest""",
     "two_so_far": """
         SELECT * FROM early_a UNION ALL
         SELECT * FROM clean_b s WHERE NOT EXISTS (
@@ -453,6 +503,28 @@ QUERIES = {
         SELECT country_id, year, count(DISTINCT product_id) AS product_count,
                count(DISTINCT partner_country_id) AS partner_count
         FROM fact GROUP BY country_id, year HAVING count(partner_country_id) > 0""",
+    "reconciled_levels": "SELECT * FROM levels",
+    "level_coverage": """
+        SELECT year, level, count(*) AS codes, sum(export_value) AS reported,
+               sum(least(export_value, coalesce(e, 0))) AS accounted,
+               sum(greatest(export_value - coalesce(e, 0), 0)) AS remaining,
+               sum(greatest(coalesce(e, 0) - export_value, 0)) AS excess
+        FROM (SELECT *, 4 AS level FROM four_compared UNION ALL SELECT *, 2 FROM two_compared)
+        GROUP BY year, level""",
+    # Chapters are reported in full, so their totals are those of the finest codes.
+    "chapter_totals": """
+        SELECT country_id, product_id // 10000 AS product_id, year, 2 AS level,
+               sum(export_value) AS export_value, sum(import_value) AS import_value
+        FROM coded GROUP BY ALL""",
+    "heading_totals": """
+        SELECT country_id, CASE level WHEN 6 THEN product_id // 100 ELSE product_id END AS product_id,
+               year, least(level, 4) AS level, sum(export_value) AS export_value,
+               sum(import_value) AS import_value
+        FROM levels GROUP BY ALL""",
+    "mixed_level_build": """
+        SELECT country_id, year, sum(export_value) AS total_exports,
+               sum(import_value) AS total_imports, sum(export_value - import_value) AS trade_balance
+        FROM coded WHERE year >= 2012 GROUP BY ALL""",
     # The same values as text, and what they can all be cast to.
     "detected_csv_types": """
         SELECT column_name,
@@ -766,7 +838,7 @@ QUERIES = {
 
 
 #: Queries whose relations refer to each other so often that inlining them takes too long.
-_NESTED = {"merge_three_sources", "merge_by_index", "merge_by_index_null_safe"}
+_NESTED = {"reconciled_levels", "level_coverage", "heading_totals", "merge_three_sources", "merge_by_index", "merge_by_index_null_safe"}
 
 
 def _with_relations(sql: str, relations: dict[str, str], *, once: bool = False) -> str:

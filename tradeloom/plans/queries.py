@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import fixed_text, percent_text
-from ..operators import complexity, ingest, insights, metrics, reports, views
+from ..operators import complexity, hierarchy, ingest, insights, metrics, reports, views
 from ..operators.views import SHARES
 from ..sources import raw_csv, tables
 from ..sources.shared import new_path
@@ -180,6 +180,25 @@ def bitmap_counts(w: Workbench) -> DataFrame:
     return counts("product_id", "product_count").join(counts("partner_country_id", "partner_count"), keys)
 
 
+def reconciled_levels(w: Workbench) -> DataFrame:
+    """Codes, headings and chapters loaded together, without counting trade twice."""
+    return w.once("reconciled", lambda: hierarchy.reconciled(sample.level_tables(w.fact)))
+
+
+def mixed_level_build(w: Workbench) -> DataFrame:
+    """Country totals of a database whose source tables have three levels."""
+
+    def make() -> str:
+        database = new_database(w)
+        for level, rows in sample.level_tables(w.fact).items():
+            rows.write.saveAsTable(f"{database}.hs_{S.SOURCE_TABLE_MARK}_{level}")
+        build.build_all(w.spark, database, levels=(2, 4, 6))
+        return database
+
+    found = w.spark.table(f"{w.once('mixed-levels', make)}.country_year_metrics")
+    return found.select("country_id", "year", "total_exports", "total_imports", "trade_balance")
+
+
 def raw_csv_rows(w: Workbench) -> DataFrame:
     return _landed_rows(w, _landed(w)[0])
 
@@ -341,6 +360,12 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "full_build": full_build,
     **{f"built_{name}": partial(built_table, name, _SIX | _NINE | _FOUR) for name in BUILT},
     "incremental_ingest": incremental_ingest,
+    # Levels of product codes
+    "reconciled_levels": reconciled_levels,
+    "level_coverage": lambda w: hierarchy.coverage(sample.level_tables(w.fact)),
+    "chapter_totals": lambda w: hierarchy.rolled_up(reconciled_levels(w), 2),
+    "heading_totals": lambda w: hierarchy.rolled_up(reconciled_levels(w), 4),
+    "mixed_level_build": mixed_level_build,
     # Pipeline tables
     "clean_source": cleaned_sources,
     "combined_trade_data": combined,

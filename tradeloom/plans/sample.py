@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators import hierarchy
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -129,6 +130,34 @@ def raw_tables(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+def coded(fact: DataFrame) -> DataFrame:
+    """The fact with product codes of six digits, in 20 chapters of ten headings."""
+    part = F.col("product_id")
+    by = lambda n: F.call_function("div", part, F.lit(n).cast("long"))
+    code = (part % 20 + 1) * 10000 + by(20) % 10 * 100 + by(200) % 100
+    return _added(fact.withColumn("product_id", code))
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    values = [F.sum(c).alias(c) for c in hierarchy.VALUES]
+    return rows.groupBy(*S.FACT_KEYS).agg(*values, *[F.max(c).alias(c) for c in ("eci", "coi", "pci")])
+
+
+def level_tables(fact: DataFrame) -> dict[int, DataFrame]:
+    """The coded fact as three overlapping reports: some codes, some headings (some too low), all chapters."""
+    codes = coded(fact)
+    heading, chapter = (
+        _added(codes.withColumn("product_id", hierarchy.ancestor(F.col("product_id"), 6, n))) for n in (4, 2)
+    )
+    half = (F.col("product_id") + F.col("year")) % 5 == 0
+    low = {v: F.when(half, F.floor(F.col(v) / 2).cast("double")).otherwise(F.col(v)) for v in hierarchy.VALUES}
+    return {
+        6: codes.filter((F.col("country_id") + F.col("product_id")) % 3 != 0),
+        4: heading.filter((F.col("country_id") + F.col("product_id")) % 2 == 0).withColumns(low),
+        2: chapter,
+    }
+
+
 def product_categories(spark: SparkSession, folder: str) -> DataFrame:
     """The brand of a part stands in for the chapter of a product code."""
     return read_table(spark, folder, "part").select(
