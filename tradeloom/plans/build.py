@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import complexity, hierarchy, ingest, metrics, views
-from ..sources import tables
+from ..sources import snapshots, tables
 from ..sources.shared import discard, scope
 
 COMBINED = "combined_trade_data"
@@ -122,6 +122,15 @@ class _Build:
         chosen = years if years is not None else self.years
         return rows if chosen is None else rows.filter(F.col("year").isin(chosen))
 
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table))
+
+    def table(self, table: str) -> DataFrame:
+        return self.spark.table(self.name(table))
+
+    def overwrite(self, table: str, df: DataFrame) -> DataFrame:
+        return tables.overwrite_table(df, self.name(table))
+
     def keep(
         self, table: str, df: DataFrame, column: str = "year", values: list[int] | None = None
     ) -> DataFrame:
@@ -131,6 +140,10 @@ class _Build:
         values = self.years if values is None else values
         return tables.replace_partitions(df, self.name(table), column, values)
 
+    def define_views(self) -> None:
+        for view, sql in views.catalog_views(self.database).items():
+            tables.replace_database_view(self.spark, self.name(view), sql)
+
     def run(self, added: Added | None) -> dict[str, DataFrame]:
         spark = self.spark
         fact = tables.fact_in(spark, self.name(COMBINED))
@@ -167,7 +180,7 @@ class _Build:
             ),
         )
         # One row per country and year, each of which looks at the year before.
-        tables.overwrite_table(metrics.complexity_dynamics(country_year), self.name("complexity_dynamics"))
+        self.overwrite("complexity_dynamics", metrics.complexity_dynamics(country_year))
         tiers = self.keep("product_complexity", complexity.product_complexity(new_products))
         self.keep(
             "export_portfolio",
@@ -185,22 +198,18 @@ class _Build:
             metrics.partner_diversification(metrics.partner_flows(new_partner)),
         )
         self._growth(fact, country_year, product_year, by_product)
-        tables.overwrite_table(
-            views.v_global_yearly_metrics(country_year), self.name("v_global_yearly_metrics")
-        )
-        for view, sql in views.catalog_views(self.database).items():
-            tables.replace_database_view(spark, self.name(view), sql)
+        self.overwrite("v_global_yearly_metrics", views.v_global_yearly_metrics(country_year))
+        self.define_views()
         # Last, so that a build that was broken off is repeated.
-        state = spark.createDataFrame(sorted(files.items()), "year int, digest string")
-        tables.overwrite_table(state, self.name(FILES))
+        self.overwrite(FILES, spark.createDataFrame(sorted(files.items()), "year int, digest string"))
         return self._all_tables()
 
     def _changed_years(self, files: dict[int, str], added: Added | None) -> list[int]:
         """Sets the years to compute; returns those of them that only ``added`` has changed."""
         needed = (*METRICS, BY_PRODUCT, BY_PARTNER, FILES)
-        if not all(self.spark.catalog.tableExists(self.name(table)) for table in needed):
+        if not all(self.exists(table) for table in needed):
             return []
-        known = {r["year"]: r["digest"] for r in self.spark.table(self.name(FILES)).collect()}
+        known = {r["year"]: r["digest"] for r in self.table(FILES).collect()}
         changed = {y for y in files.keys() | known.keys() if files.get(y) != known.get(y)}
         self.years = sorted(changed)
         if added is None:
@@ -222,7 +231,7 @@ class _Build:
         other = [y for y in self.years if y not in simple]
         parts = []
         if simple:
-            old = self.of_years(self.spark.table(self.name(table)), simple)
+            old = self.of_years(self.table(table), simple)
             new = make(self.of_years(added.rows, simple))
             parts.append(add_up(old.select(new.columns).unionByName(new)))
         if other:
@@ -259,6 +268,70 @@ class _Build:
         return {name: self.spark.table(self.name(name)) for name in names}
 
 
+class _Publication(_Build):
+    """Metric tables in a draft of the next version instead of the catalog."""
+
+    def __init__(self, spark: SparkSession, database: str, draft: snapshots.Draft) -> None:
+        super().__init__(spark, database)
+        self.draft = draft
+
+    def exists(self, table: str) -> bool:
+        return table in self.draft
+
+    def table(self, table: str) -> DataFrame:
+        return self.draft.read(table)
+
+    def overwrite(self, table: str, df: DataFrame) -> DataFrame:
+        return self.draft.put(table, df)
+
+    def keep(
+        self, table: str, df: DataFrame, column: str = "year", values: list[int] | None = None
+    ) -> DataFrame:
+        return self.draft.put(table, df, column, self.years if values is None else values)
+
+    def define_views(self) -> None:
+        """Views are defined over the version that is read."""
+
+    def _all_tables(self) -> dict[str, DataFrame]:
+        return {}
+
+
+def publish_metrics(
+    spark: SparkSession, database: str, root: str, added: Added | None = None
+) -> int:
+    """``build_metrics`` into a new version of the tables in the folder ``root``; its number.
+
+    Readers of ``published`` see all tables of the version before until the last one is written, and
+    go on seeing it when the build breaks off. Without a change of the fact no version is made.
+    """
+    draft = snapshots.Draft(spark, root)
+    with scope(spark):
+        build = _Publication(spark, database, draft)
+        build.run(added)
+    return draft.base.number if build.years == [] else draft.commit()
+
+
+def published(
+    spark: SparkSession, root: str, number: int | None = None
+) -> dict[str, DataFrame]:
+    """Metric tables and views of the newest published version, or of the one asked for, by name."""
+    version = snapshots.current(spark, root, number).number
+    found = {
+        name: snapshots.read(spark, root, name, version)
+        for name in [*METRICS, "v_global_yearly_metrics"]
+    }
+    dynamics, portfolio = found["complexity_dynamics"], found["export_portfolio"]
+    return found | {
+        "v_eci_balance_trends": views.v_eci_balance_trends(dynamics),
+        "v_export_complexity_portfolio": views.v_export_complexity_portfolio(portfolio, dynamics),
+        "v_diversification_complexity": views.v_diversification_complexity(
+            found["partner_diversification"], dynamics
+        ),
+        "v_coi_predictive_power": views.v_coi_predictive_power(found["coi_growth_analysis"]),
+        "v_portfolio_evolution": views.v_portfolio_evolution(portfolio, dynamics),
+    }
+
+
 def build_all(
     spark: SparkSession,
     database: str,

@@ -882,4 +882,11 @@ def oracle_sql() -> dict[str, str]:
     for name in _BUILT:
         sql = "SELECT * FROM merged_fact" if name == "combined_trade_data" else QUERIES[name]
         found[f"built_{name}"] = _with_relations(sql, of_merged)
+    for name in ("export_specialization", "v_coi_predictive_power", "v_portfolio_evolution"):
+        found[f"published_{name}"] = found[f"built_{name}"]
+    of_first = dict(of_merged) | {
+        "first_year": re.sub(r"\bfact\b", "clean_a", RELATIONS["country_year"])
+    }
+    both = "SELECT *, 1 AS version FROM first_year UNION ALL SELECT *, 2 FROM country_year"
+    found["published_versions"] = _with_relations(both, of_first)
     return found

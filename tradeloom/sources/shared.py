@@ -20,14 +20,14 @@ _folders: dict[str, str] = {}
 _scopes = threading.local()
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, folder: str) -> bool:
-    path, files = _file_system(spark, folder)
+    path, files = file_system(spark, folder)
     return files.exists(path)
 
 
@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
             parent = tempfile.mkdtemp(prefix="tradeloom-")
         folder = f"{parent.rstrip('/')}/tradeloom-{application}-{uuid.uuid4().hex[:8]}"
-        path, files = _file_system(spark, folder)
+        path, files = file_system(spark, folder)
         files.mkdirs(path)
         files.deleteOnExit(path)
         _folders[application] = folder
@@ -68,14 +68,14 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.open = _scopes.open[:-1]
-        folder, files = _file_system(spark, path)
+        folder, files = file_system(spark, path)
         files.delete(folder, True)
 
 
 def discard(*tables: DataFrame) -> None:
     """Removes stored tables that nothing reads any more."""
     for table in tables:
-        path, files = _file_system(table.sparkSession, table._stored_at)
+        path, files = file_system(table.sparkSession, table._stored_at)
         files.delete(path, True)
 
 
