@@ -884,6 +884,10 @@ def oracle_sql() -> dict[str, str]:
         found[f"built_{name}"] = _with_relations(sql, of_merged)
     for name in ("export_specialization", "v_coi_predictive_power", "v_portfolio_evolution"):
         found[f"published_{name}"] = found[f"built_{name}"]
+    # Without null safety: rows without a partner come in with every batch that has them, once each.
+    of_batches = dict(of_merged) | {"merged_fact": QUERIES["merge_combined"]}
+    found["batch_ingest"] = _with_relations("SELECT * FROM merged_fact", of_batches)
+    found["batch_metrics"] = _with_relations("SELECT * FROM country_year", of_batches)
     of_first = dict(of_merged) | {
         "first_year": re.sub(r"\bfact\b", "clean_a", RELATIONS["country_year"])
     }

@@ -65,12 +65,15 @@ def replace_partitions(df: DataFrame, table: str, column: str, values: Sequence[
     return spark.table(table)
 
 
-def files_by_year(spark: SparkSession, table: str) -> dict[int, str]:
-    """A digest of the names of each year's files, which change whenever rows are added or rewritten."""
+def files_by_year(spark: SparkSession, table: str, *, without: str | None = None) -> dict[int, str]:
+    """A digest of the names of each year's files, which change whenever rows are added or rewritten.
+
+    Files with ``without`` in their path are left out.
+    """
     names: dict[int, list[str]] = {}
     for file in spark.table(table).inputFiles():
         year = re.search(r"/year=(\d+)/", file)
-        if year:
+        if year and not (without and without in file):
             names.setdefault(int(year[1]), []).append(file.rsplit("/", 1)[-1])
     return {y: hashlib.md5("\n".join(sorted(n)).encode()).hexdigest() for y, n in names.items()}
 

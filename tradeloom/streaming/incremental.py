@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
@@ -11,6 +12,27 @@ from ..sources import tables
 from ..sources.raw_csv import typed
 
 
+def landed_files(
+    spark: SparkSession, landing: str, max_files: int | None = None, file_column: str | None = None
+) -> DataFrame:
+    """The stream of rows of landed files, with the path of each row's file if a column is named for it."""
+    reader = (
+        spark.readStream.schema(", ".join(f"{name} string" for name in S.FACT_COLUMNS))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("pathGlobFilter", "*.gz")
+        .option("recursiveFileLookup", True)
+    )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.csv(landing)
+    if file_column is None:
+        return typed(rows)
+    return typed(rows.withColumn(file_column, F.col("_metadata.file_path")))
+
+
 def ingest_new_files(
     spark: SparkSession,
     landing: str,
@@ -27,18 +49,6 @@ def ingest_new_files(
     ``null_safe=True`` includes rows without a partner. Files must have the columns of the data
     model in order, else the header check fails.
     """
-    reader = (
-        spark.readStream.schema(", ".join(f"{name} string" for name in S.FACT_COLUMNS))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("pathGlobFilter", "*.gz")
-        .option("recursiveFileLookup", True)
-    )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if tables.table_status(session, table)[1]:
@@ -47,7 +57,7 @@ def ingest_new_files(
             tables.write_fact_table(clean_source(batch), table)
 
     return (
-        typed(reader.csv(landing))
+        landed_files(spark, landing, max_files)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
