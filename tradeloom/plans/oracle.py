@@ -503,6 +503,8 @@ QUERIES = {
         SELECT country_id, year, count(DISTINCT product_id) AS product_count,
                count(DISTINCT partner_country_id) AS partner_count
         FROM fact GROUP BY country_id, year HAVING count(partner_country_id) > 0""",
+    "products_by_curve": "SELECT * FROM fact WHERE product_id IN (7, 60, 150)",
+    "countries_by_curve": "SELECT * FROM fact WHERE country_id IN (1, 2, 3, 4, 5)",
     "reconciled_levels": "SELECT * FROM levels",
     "level_coverage": """
         SELECT year, level, count(*) AS codes, sum(export_value) AS reported,

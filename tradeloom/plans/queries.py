@@ -27,6 +27,7 @@ from .workbench import Workbench, workbench
 YEAR = 2022
 BASE_YEAR = 2016
 COUNTRIES = [1, 2, 3, 4, 5]
+PRODUCTS = [7, 60, 150]
 COUNTRY, OTHER_COUNTRY = 1, 2
 SOURCES = ("one_country_country_product_year_6", "two_country_country_product_year_6")
 
@@ -301,6 +302,18 @@ def published_table(name: str, digits: dict[str, int], w: Workbench) -> DataFram
     return found
 
 
+def _fact_by_curve(w: Workbench) -> DataFrame:
+    def make() -> DataFrame:
+        return tables.write_fact_table(w.fact, f"{new_database(w)}.combined_trade_data", curve=True)
+
+    return w.once("fact-by-curve", make)
+
+
+def curve_filter(column: str, values: list[int], w: Workbench) -> DataFrame:
+    """Rows of some countries or some products of a fact laid out along a curve."""
+    return _fact_by_curve(w).filter(F.col(column).isin(values))
+
+
 def full_build(w: Workbench) -> DataFrame:
     """Row counts of all tables and views after building a database from landed files."""
     with _loaded(w) as (database, _):
@@ -421,6 +434,8 @@ BENCH_QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "source_discovery": source_discovery,
     "full_build": full_build,
     **{f"built_{name}": partial(built_table, name, _SIX | _NINE | _FOUR) for name in BUILT},
+    "products_by_curve": partial(curve_filter, "product_id", PRODUCTS),
+    "countries_by_curve": partial(curve_filter, "country_id", COUNTRIES),
     "published_versions": published_versions,
     **{f"published_{name}": partial(published_table, name, _SIX | _NINE | _FOUR) for name in PUBLISHED},
     "incremental_ingest": incremental_ingest,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.curve import cell_bounds, curve_key
 from ..operators.ingest import new_rows, new_rows_by_index, row_key
 from .shared import discard, stored
 
@@ -89,8 +90,32 @@ def clustered_by_year(fact: DataFrame) -> DataFrame:
     )
 
 
-def write_fact_table(fact: DataFrame, table: str) -> DataFrame:
-    clustered_by_year(fact).write.mode("overwrite").partitionBy("year").saveAsTable(table)
+#: Columns that filters of a fact by curve may name alone.
+CURVE_COLUMNS = ("country_id", "product_id")
+
+
+def clustered_by_curve(fact: DataFrame) -> DataFrame:
+    """Rows of each year in the order of a curve through ``CURVE_COLUMNS``.
+
+    Sorting by country first spreads a product over all files of a year. Here a file holds a range of
+    the curve, which is a block of countries by a block of products, so a filter on either column
+    skips the files and row groups of other blocks. The key's columns follow in the range, so a cell
+    with many rows is split over files like any other. ``fact`` is read three times, for the cells'
+    bounds, the ranges and the rows: pass a stored one.
+    """
+    key = curve_key(cell_bounds(fact, CURVE_COLUMNS))
+    keyed = fact.withColumn("_curve", key)
+    order = ["year", "_curve", "country_id", "product_id", "partner_country_id"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_curve")
+
+
+def write_fact_table(fact: DataFrame, table: str, *, curve: bool = False) -> DataFrame:
+    """The fact partitioned by year; sorted by country first, or with ``curve`` by country and product alike."""
+    rows = stored(fact, "fact") if curve else fact
+    laid_out = clustered_by_curve(rows) if curve else clustered_by_year(rows)
+    laid_out.write.mode("overwrite").partitionBy("year").saveAsTable(table)
+    if curve:
+        discard(rows)
     return fact_in(fact.sparkSession, table)
 
 
