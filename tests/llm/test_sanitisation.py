@@ -45,7 +45,7 @@ def brute_personal(text: str):
     return sorted(found)
 
 
-def brute_spans(texts, generalise=sanitisation.GENERALISE, remove=sanitisation.REMOVE):
+def brute_spans(texts, generalise=sanitisation.GENERALISE, remove=sanitisation.REMOVE, everywhere=False):
     """All spans of each text, with passages, entities and terms as strings."""
     word = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -77,7 +77,7 @@ def brute_spans(texts, generalise=sanitisation.GENERALISE, remove=sanitisation.R
     for text in texts:
         base = brute_personal(text or "")
         spans = list(base)
-        for m in word.finditer(text or "") if base else ():
+        for m in word.finditer(text or "") if base or everywhere else ():
             share = told.get(m.group().translate(lower), 0)
             if share >= generalise and not any(m.start() < e and s < m.end() for s, _, e in base):
                 spans.append((m.start(), 4 if share >= remove else 5, m.end()))
@@ -153,6 +153,35 @@ def test_terms_that_give_a_person_away(llm):
     assert found[30][2] == texts[30] and "Zanzibar" in found[33][2]
 
 
+@pytest.mark.parametrize("bits", [1 << 24, 1 << 15])
+def test_terms_are_found_in_texts_without_personal_data(llm, monkeypatch, bits):
+    monkeypatch.setattr(sanitisation, "FILTER", bits)
+    texts = [*people(), None, "", "Oabrien lives in STRASSE or Straßea, Straßeb"]
+    rows = [*enumerate(texts), (None, texts[30]), (30, texts[30])]
+    found = sanitisation.sanitise(llm.createDataFrame(rows, "doc_id long, text string"), generalise=0.7, everywhere=True)
+    expected = brute_spans([t for _, t in rows], generalise=0.7, everywhere=True)
+    got = found.select("doc_id", sanitisation.span_text(terms="terms").alias("spans")).collect()
+    assert sorted((str(r.doc_id), r.spans) for r in got) == sorted((str(i), written(s)) for (i, _), (_, s) in zip(rows, expected))
+    assert not expected[30][0] and expected[30][1]
+    texts_of = {r.doc_id: r.text for r in found.where("doc_id is not null").collect()}
+    assert "Straßea" not in texts_of[30] and texts_of[len(texts) - 3] is None
+
+
+def test_the_query_looks_at_texts_without_personal_data(llm, tmp_path):
+    """The given tables have no such text, so one is made."""
+    draw = random.Random(1)
+    texts = [f"{' '.join(draw.sample([f'w{i}' for i in range(90)], 30))} Zanzibarit{n % 2} a{n % 2}@example.org" for n in range(12)]
+    texts += [" ".join(draw.sample([f"w{i}" for i in range(90)], 60)) for _ in range(40)]
+    rows = list(enumerate([*texts, "the house of Zanzibarit1"]))
+    columns = "doc_id long, text string"
+    # With the term in a text of its own it tells less than all.
+    llm.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.spans for r in queries.queries()["op12_sanitisation"](llm, str(tmp_path)).collect()}
+    expected = brute_spans([t for _, t in rows], everywhere=True)
+    assert {i: written(s) for (i, _), (_, s) in zip(rows, expected)} == found
+    assert found[len(rows) - 1] == "general:13:24"
+
+
 def test_a_long_text_is_read_in_pieces(llm, monkeypatch):
     texts = people(20)
     one = " ".join(texts)

@@ -143,7 +143,7 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
-    found = sanitisation.sanitise(_documents(spark, folder))
+    found = sanitisation.sanitise(_documents(spark, folder), everywhere=True)
     return found.select(
         "doc_id",
         *[sanitisation.count_of(kind).alias(f"n_{kind}") for kind in sanitisation.KINDS],

@@ -8,12 +8,14 @@ and n_ct with both, the term tells
 
 of the entity's information (pointwise mutual information by information content): 1 for a term that never stands
 without it. Terms that tell ``remove`` or more of some entity are taken out, those that tell ``generalise`` or more are
-replaced by their kind (word, number or code), in all texts that mention personal data. Texts without any are left alone.
+replaced by their kind (word, number or code). With ``everywhere`` that is done in all texts, as a term gives its entity
+away in any of them; else only in those that mention personal data.
 A single mention proves nothing: n_ct must stand on SUPPORT different passages, copies counting as one.
 
 Only passages with mentions are shuffled, equal ones once; counts of terms are combined first and are taken for the
 whole corpus; an entity in very many passages is a sum like any other. Terms, entities and passages are compared by 64-bit
-hashes. Long texts are read in pieces of whole passages.
+hashes. Long texts are read in pieces of whole passages. Texts without a mention are looked through by a table of
+FILTER bits, so that only the places of likely terms are shuffled, to be compared with the terms themselves.
 
 A null or empty text has no spans; rows that repeat an id are documents by their texts; spans that overlap are all
 reported, and replaced together by the first; an empty table gives an empty result; extra columns are dropped.
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,8 @@ GENERALISE, REMOVE = 0.9, 1.0
 PIECE = 1 << 20
 #: Terms of slices that a task adds up before it passes them on.
 COUNTED = 1 << 20
+#: Bits of the table of disclosing terms, a power of 2. Where it is full, more places are shuffled, but none is missed.
+FILTER = 1 << 24
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Kinds of the method's spans: a term that is removed, and one that is generalised.
@@ -113,15 +118,24 @@ _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
 
+def _versions(documents: DataFrame) -> DataFrame:
+    """(doc_id, version, text): ``version`` tells rows of one id apart."""
+    return documents.select("doc_id", F.xxhash64("text").alias("version"), F.col("text").cast("string").alias("text"))
+
+
+def _without_personal(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return batch.filter(pa.array([not personal(text.as_py() or "") for text in batch.column("text")], pa.bool_()))
+
+
 def with_personal(documents: DataFrame) -> DataFrame:
-    """(doc_id, version, text, base): ``base`` lists the personal data, ``version`` tells rows of one id apart."""
+    """(doc_id, version, text, base): ``base`` lists the personal data."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = [[dict(zip(("start", "kind", "end"), s)) for s in personal(text.as_py() or "")] for text in batch.column("text")]
             yield batch.append_column("base", pa.array(spans, _SPAN_TYPE))
 
-    rows = documents.select("doc_id", F.xxhash64("text").alias("version"), F.col("text").cast("string").alias("text"))
+    rows = _versions(documents)
     kind = documents.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(find, f"doc_id {kind}, version long, text string, base {_SPAN}")
 
@@ -278,11 +292,53 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, generalise: float =
     return told.groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= generalise).select("term", (F.col("share") >= remove).alias("removed"))
 
 
-def _term_places(found: DataFrame) -> DataFrame:
-    """(doc_id, version, term, start, end, kind) of all terms outside the personal data of ``found``, in code points."""
+def term_filter(terms: DataFrame) -> np.ndarray:
+    """FILTER bits, of which those of the terms' hashes are set; made on the executors, of a size that never grows."""
+    place = F.col("term").bitwiseAND(F.lit(FILTER - 1)) + 1
+    placed = terms.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    bits = np.zeros(FILTER // 8, np.uint8)
+    # At most FILTER / 32,768 rows of 4,096 bytes.
+    for row in placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        start = (row.bucket - 1) * 4096
+        part = np.frombuffer(row.bits, np.uint8)[: len(bits) - start]
+        bits[start : start + len(part)] = part
+    return bits
+
+
+def _likely(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be of a term in the filter."""
+    place = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _likely_texts(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows without personal data whose text is long or may hold a term in the filter, with an empty ``base``."""
+    for batch in _long_or_likely(batches, bits):
+        clean = _without_personal(batch)
+        yield clean.append_column("base", pa.array([[]] * len(clean), _SPAN_TYPE))
+
+
+def _long_or_likely(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        long = pc.fill_null(pc.greater(pc.binary_length(batch.column("text")), PIECE), False)
+        yield batch.filter(long)
+        for texts in slices(iter([batch.filter(pc.invert(long))])):
+            found = words(texts, _BREAKS)
+            hits = _likely(bits, span_hashes(_LOWER[texts.data], found.starts, found.ends))
+            rows = np.unique(found.text_of()[hits])
+            if len(rows):
+                yield texts.rows.take(pa.array(rows))
+
+
+def _term_places(found: DataFrame, likely: Broadcast | None = None) -> DataFrame:
+    """(doc_id, version, term, start, end, kind) of all terms outside the personal data of ``found``, in code points.
+
+    With ``likely``, a broadcast ``term_filter``, ``found`` has no ``base`` yet: only texts without personal data count, and
+    only terms in the filter.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if likely is None else _likely_texts(batches, likely.value):
             for row, (text, base) in enumerate(zip(batch.column("text"), batch.column("base").to_pylist())):
                 text = text.as_py() or ""
                 places = _byte_places(text, base)
@@ -298,6 +354,8 @@ def _term_places(found: DataFrame) -> DataFrame:
                     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) + before
                     before = int(points[-1])
                     free = inside[starts] == inside[ends]
+                    if likely is not None:
+                        free &= _likely(likely.value, hashes)
                     starts, ends, hashes = starts[free], ends[free], hashes[free]
                     owner = pa.array(np.full(len(starts), row))
                     code = (data >= 0x30) & (data <= 0x39)
@@ -328,30 +386,46 @@ def _replaced(text: str, base: list[dict], terms: list[dict]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def sanitise(documents: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def sanitise(documents: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, *, everywhere: bool = False) -> DataFrame:
     """(doc_id, text, base, terms): ``text`` without personal data and the terms that disclose it.
 
     ``base`` has (start, kind, end) of personal data, ``terms`` (start, end, removed, form) of the terms, both sorted.
+    ``everywhere`` looks for the terms in texts without personal data too.
     """
     found = with_personal(documents)
     # Few documents have any; the rest is read once more, as it is, for the result.
     some = stored(found.where(F.size("base") > 0), "personal")
     shape = "array<struct<start:int,end:int,removed:boolean,form:int>>"
-    places = _term_places(some).join(disclosing_terms(documents, some, generalise, remove), "term")
-    lists = stored(places.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(F.struct("start", "end", "removed", "form"))).alias("terms")), "disclosing")
-    # Lists belong to documents of `some` only, which are joined whole.
-    mine = some["doc_id"].eqNullSafe(lists["doc_id"]) & (some["version"] == lists["version"])
-    joined = some.join(lists, mine, "left").select(some["doc_id"], "text", "base", F.coalesce("terms", F.array().cast(shape)).alias("terms"))
+    terms = stored(disclosing_terms(documents, some, generalise, remove), "disclosing-terms")
+
+    def with_terms(rows: DataFrame, places: DataFrame) -> DataFrame:
+        """``rows`` with the list of their terms; the lists are few, and their stored size decides the join."""
+        told = places.join(terms, "term").groupBy("doc_id", "version")
+        lists = stored(told.agg(F.array_sort(F.collect_set(F.struct("start", "end", "removed", "form"))).alias("terms")), "disclosing")
+        mine = rows["doc_id"].eqNullSafe(lists["doc_id"]) & (rows["version"] == lists["version"])
+        kept = [rows[c] for c in rows.columns if c != "version"]
+        return rows.join(lists, mine, "left").select(*kept, F.coalesce("terms", F.array().cast(shape)).alias("terms"))
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [_replaced(t or "", b, m) for t, b, m in zip(*(batch.column(c).to_pylist() for c in ("text", "base", "terms")))]
             yield batch.set_column(1, "text", pa.array(texts, pa.string()))
 
+    def replace_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in map(_without_personal, batches):
+            # A text without terms stays as it is, null included.
+            texts = [_replaced(t.as_py(), [], m) if m else t.as_py() for t, m in zip(batch.column("text"), batch.column("terms").to_pylist())]
+            base = pa.array([[]] * len(batch), _SPAN_TYPE)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), base, batch.column("terms")], names=["doc_id", "text", "base", "terms"])
+
     kind = documents.schema["doc_id"].dataType.simpleString()
-    changed = joined.mapInArrow(replace, f"doc_id {kind}, text string, base {_SPAN}, terms {shape}")
-    clean = found.where(F.size("base") == 0).select("doc_id", "text", "base", F.array().cast(shape).alias("terms"))
-    return changed.unionByName(clean)
+    result = f"doc_id {kind}, text string, base {_SPAN}, terms {shape}"
+    changed = with_terms(some, _term_places(some)).mapInArrow(replace, result)
+    if not everywhere or terms.isEmpty():
+        return changed.unionByName(found.where(F.size("base") == 0).select("doc_id", "text", "base", F.array().cast(shape).alias("terms")))
+    likely = documents.sparkSession.sparkContext.broadcast(term_filter(terms))
+    rows = _versions(documents)
+    return changed.unionByName(with_terms(rows, _term_places(rows, likely)).mapInArrow(replace_clean, result))
 
 
 def _written(spans: Column) -> Column:
