@@ -9,7 +9,8 @@ import corpus_pipeline as pipeline
 import numpy as np
 import pytest
 
-from tradeloom.llm import near_copies
+from tradeloom.llm import near_copies, simhash
+from tradeloom.llm.texts import mix
 
 T = Fraction(4, 5)
 
@@ -40,6 +41,42 @@ def test_pairs_at_the_threshold_meet(size):
     assert met.mean() >= 0.995
 
 
+def test_bits_are_majorities():
+    """Each bit of a set's SimHash is the majority of one bit of its remixed hashes, ties being 0."""
+    rng = random.Random(3)
+    sets = [sorted(rng.getrandbits(64) for _ in range(n)) for n in (1, 2, 3, 4, 254, 255, 256, 700)]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    bits = near_copies.set_bits(np.array(sum(sets, []), np.uint64), offsets)
+    for values, found in zip(sets, bits, strict=True):
+        parts = [mix(np.array(values, np.uint64) + np.uint64(part)).tolist() for part in range(14)]
+        # Bit ``lane + 8 * byte`` stands at the place ``8 * lane + byte``.
+        expected = [2 * sum(h >> (lane + 8 * byte) & 1 for h in part) > len(values) for part in parts for lane in range(8) for byte in range(8)]
+        assert found.tolist() == [int(b) for b in expected]
+
+
+def test_candidates_come_from_fingerprints(spark, monkeypatch):
+    """Without the links between fingerprints only sets of one fingerprint are compared."""
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-5] + ["x"] * 5)), (3, " ".join(words).upper())]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = lambda: sorted(r.doc_id for r in pipeline.near_copies(spark, docs, "").collect())
+    assert kept() == [1]
+    found = simhash.links_within
+    monkeypatch.setattr(simhash, "links_within", lambda placed, radius: found(placed, radius).limit(0))
+    assert kept() == [1, 2]
+
+
+@pytest.mark.parametrize("size", [9, 63, 198, 801])
+def test_candidates_at_the_threshold(size):
+    """Of pairs of similarity 0.8 at least 0.995 share a key and are within the radius."""
+    rng, pairs = random.Random(size), 400
+    sets = [s for _ in range(pairs) for s in pair(rng, size, size * 8 // 9)]
+    keys, compared = near_copies._marked(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    differ = np.unpackbits(compared[::2] ^ compared[1::2], axis=1).sum(1)
+    assert ((keys[::2] == keys[1::2]).any(1) & (differ <= near_copies.RADIUS)).mean() >= 0.995
+
+
 def test_verified_links_are_all_links():
     rng = random.Random(1)
     base = [rng.getrandbits(64) for _ in range(60)]

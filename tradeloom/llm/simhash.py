@@ -199,7 +199,11 @@ def links(nodes: DataFrame, radius: int, tables: list[list[int]]) -> DataFrame:
                 key = (bits[:, chosen] * weight).sum(1, dtype=np.uint64) if len(bits) else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bits), number, np.int16)), pa.array(key.view(np.int64)), batch.column(0)], names=["number", "key", "fingerprint"])
 
-    placed = nodes.select("fingerprint").mapInArrow(keys, "number short, key long, fingerprint binary")
+    return links_within(nodes.select("fingerprint").mapInArrow(keys, "number short, key long, fingerprint binary"), radius)
+
+
+def links_within(placed: DataFrame, radius: int) -> DataFrame:
+    """(a, b) that span all links within the radius among ``fingerprint`` values that share number and key of a table."""
     # Buckets beyond a chunk: few, as each has more than CHUNK rows.
     large = stored(placed.groupBy("number", "key").count().where(F.col("count") > CHUNK), "large-buckets")
     chunks = F.coalesce(F.ceil(F.col("count") / CHUNK), F.lit(1))
