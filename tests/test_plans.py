@@ -77,3 +77,18 @@ def test_flows_need_no_shuffle(bench):
 
 def test_workbench_is_shared_until_files_change(spark):
     assert workbench(spark, SMALL) is workbench(spark, SMALL)
+
+
+@pytest.mark.parametrize("given, used", [(None, "16777216b"), ("64m", "64m")])
+def test_tasks_read_bounded_splits(spark, given, used):
+    """Unless the session has a size of its own, a task reads an eighth of what it would by default."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        if given:
+            spark.conf.set(name, given)
+        workbench(spark, SMALL)
+        assert spark.conf.get(name) == used
+    finally:
+        spark.conf.set(name, before)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import complexity, metrics, reports, views
-from ..sources.shared import stored
+from ..sources.shared import bounded_splits, stored
 from ..sources.tables import clustered_by_year
 from . import sample
 
@@ -233,6 +233,7 @@ def input_state(spark: SparkSession, folder: str) -> tuple:
 
 def workbench(spark: SparkSession, folder: str) -> Workbench:
     """The workbench of ``folder``; a new one when its files have changed."""
+    bounded_splits(spark)
     key = (spark.sparkContext.applicationId, folder, *input_state(spark, folder))
     with _benches_lock:
         if key not in _benches:

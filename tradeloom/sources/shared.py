@@ -20,6 +20,22 @@ _folders: dict[str, str] = {}
 _scopes = threading.local()
 
 
+#: Spark's setting for the bytes of files that a task reads, its default, and what ``bounded_splits`` makes of that.
+_SPLIT, _SPARK_SPLIT, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", "134217728b", "16777216b"
+
+
+def bounded_splits(spark: SparkSession) -> None:
+    """Lets a task read SPLIT_BYTES of files, unless the session has been given a size of its own.
+
+    Tables of keys and whole numbers take some ten bytes a row in parquet, and a hundred or more in a task's hash table. By
+    default a task would read over ten million rows, and nearly all of them are groups of their own in the partial
+    aggregates by product and in the distinct rows: these spill as soon as there is a full split to read. A smaller
+    split bounds what a task holds, whatever the size of the input.
+    """
+    if spark.conf.get(_SPLIT) == _SPARK_SPLIT:
+        spark.conf.set(_SPLIT, SPLIT_BYTES)
+
+
 def file_system(spark: SparkSession, folder: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
