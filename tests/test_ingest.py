@@ -98,3 +98,23 @@ def test_keys_of_all_sources_are_shuffled_once(spark, fact_of):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_existing_keys_are_not_gathered_by_year(spark, fact_of, tmp_path):
+    """A shuffle by year would put all keys of a year in one task, however large the tables are."""
+    path = str(tmp_path / "fact")
+    rows = fact_of((1, 2, 3, 2020, 5, 0), (1, 2, 4, 2021, 5, 0), (1, 2, 4, 2019, 5, 0))
+    rows.write.partitionBy("year").parquet(path)
+    existing = spark.read.schema(rows.schema).parquet(path)
+    batch = fact_of((1, 2, 3, 2020, 7, 0), (1, 2, 5, 2021, 7, 0))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As with tables too large to be broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        found = ingest.new_rows(existing, [batch])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r)[:5] for r in found.collect()] == [(1, 2, 5, 2021, 7.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin [year" in plan and "LeftSemi" in plan
+    assert "SortMergeJoin [year" not in plan

@@ -60,8 +60,10 @@ def new_rows(
     # A struct equals another one with NULLs in the same places, so the reduction and the join are
     # on one expression and share a partitioning.
     key = F.struct(*S.FACT_KEYS).alias("_key")
-    # Where ``existing`` is partitioned by year, other years are not read.
-    years = fresh.select("year").distinct()
+    # Where ``existing`` is partitioned by year, other years are not read. One row per year; left to
+    # itself, Spark expects as many as there are rows and shuffles ``existing`` by year, which puts
+    # all keys of a year in one task.
+    years = F.broadcast(fresh.select("year").distinct())
     seen = existing.join(years, "year", "left_semi").select(*S.FACT_KEYS, F.lit(0).alias("_source"))
     keys = seen.unionByName(fresh.select(*S.FACT_KEYS, "_source"))
     if not null_safe:
