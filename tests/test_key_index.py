@@ -53,3 +53,15 @@ def test_keys_of_merged_rows_are_known(spark, table, fact_of):
     tables.merge_into(spark, table, batch)
     assert tables.fact_in(spark, table).count() == 5
     assert spark.table(tables.key_index(table)).count() >= 3
+
+
+def test_buckets_grow_with_the_table(spark, fact_of, monkeypatch):
+    monkeypatch.setattr(tables, "KEYS_A_BUCKET", 2)
+    spark.sql("CREATE DATABASE IF NOT EXISTS many_buckets")
+    table = "many_buckets.fact"
+    tables.write_fact_table(fact_of(*[(1, 2, p, 2020, 1, 1) for p in range(30)]), table)
+    assert tables.write_key_index(spark, table).count() == 30
+    described = spark.sql(f"DESCRIBE EXTENDED {tables.key_index(table)}")
+    assert described.where("col_name = 'Num Buckets'").first()["data_type"] == "15"
+    merged = tables.merge_into(spark, table, fact_of((1, 2, 3, 2020, 9, 9), (1, 2, 40, 2020, 9, 9)))
+    assert merged.count() == 31

@@ -92,3 +92,19 @@ def test_tasks_read_bounded_splits(spark, given, used):
         assert spark.conf.get(name) == used
     finally:
         spark.conf.set(name, before)
+
+
+def test_shuffle_partitions_grow_with_the_input(spark):
+    from tradeloom.sources import shared
+
+    advisory, initial = shared._ADVISORY, shared._INITIAL
+    shared.bounded_splits(spark, 1 << 30)
+    assert (spark.conf.get(advisory), spark.conf.get(initial)) == ("16777216b", "512")
+    shared.bounded_splits(spark, 1)
+    assert spark.conf.get(initial) == "8"
+    spark.conf.set(initial, "77")
+    try:
+        shared.bounded_splits(spark, 1 << 30)
+        assert spark.conf.get(initial) == "77"
+    finally:
+        spark.conf.set(initial, "8")

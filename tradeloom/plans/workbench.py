@@ -233,8 +233,9 @@ def input_state(spark: SparkSession, folder: str) -> tuple:
 
 def workbench(spark: SparkSession, folder: str) -> Workbench:
     """The workbench of ``folder``; a new one when its files have changed."""
-    bounded_splits(spark)
-    key = (spark.sparkContext.applicationId, folder, *input_state(spark, folder))
+    state = input_state(spark, folder)
+    bounded_splits(spark, state[1])
+    key = (spark.sparkContext.applicationId, folder, *state)
     with _benches_lock:
         if key not in _benches:
             _benches[key] = Workbench(spark, folder)

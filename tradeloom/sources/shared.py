@@ -22,18 +22,35 @@ _scopes = threading.local()
 
 #: Spark's setting for the bytes of files that a task reads, its default, and what ``bounded_splits`` makes of that.
 _SPLIT, _SPARK_SPLIT, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", "134217728b", "16777216b"
+#: The same for the bytes of a shuffle that a task reads, and for the partitions that these are put together from.
+_ADVISORY, _SPARK_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864b"
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: One partition for so many bytes of input files. The largest shuffle of a merge has about five times their size.
+INPUT_BYTES_A_PARTITION = 1 << 21
 
+#: The number of partitions that ``bounded_splits`` has given to a session, by application.
+_partitions: dict[str, str] = {}
 
-def bounded_splits(spark: SparkSession) -> None:
-    """Lets a task read SPLIT_BYTES of files, unless the session has been given a size of its own.
+
+def bounded_splits(spark: SparkSession, input_bytes: int = 0) -> None:
+    """Lets a task read SPLIT_BYTES of files or of a shuffle, unless the session has been given sizes of its own.
 
     Tables of keys and whole numbers take some ten bytes a row in parquet, and a hundred or more in a task's hash table. By
     default a task would read over ten million rows, and nearly all of them are groups of their own in the partial
     aggregates by product and in the distinct rows: these spill as soon as there is a full split to read. A smaller
-    split bounds what a task holds, whatever the size of the input.
+    split bounds what a task holds, whatever the size of the input. The same holds after a shuffle, where the number of
+    partitions is fixed beforehand: it follows from ``input_bytes``, is never below that of the session, and AQE puts
+    small partitions together.
     """
     if spark.conf.get(_SPLIT) == _SPARK_SPLIT:
         spark.conf.set(_SPLIT, SPLIT_BYTES)
+    if spark.conf.get(_ADVISORY) == _SPARK_ADVISORY:
+        spark.conf.set(_ADVISORY, SPLIT_BYTES)
+    application = spark.sparkContext.applicationId
+    if spark.conf.get(_INITIAL, None) in (None, _partitions.get(application)):
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _partitions[application] = str(max(least, -(-input_bytes // INPUT_BYTES_A_PARTITION)))
+        spark.conf.set(_INITIAL, _partitions[application])
 
 
 def file_system(spark: SparkSession, folder: str):

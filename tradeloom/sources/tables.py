@@ -119,6 +119,10 @@ def write_fact_table(fact: DataFrame, table: str, *, curve: bool = False) -> Dat
     return fact_in(fact.sparkSession, table)
 
 
+#: Rows of a fact table for which its key index has one bucket.
+KEYS_A_BUCKET = 1_000_000
+
+
 def key_index(table: str) -> str:
     """The name of a fact table's key index."""
     return f"{table}_keys"
@@ -128,9 +132,12 @@ def write_key_index(spark: SparkSession, table: str, *, buckets: int | None = No
     """The distinct keys of a fact table, partitioned by year and bucketed by their hash.
 
     With it, a merge reads the keys of the batch's years only, and shuffles none of them. There is one
-    file per year, bucket and merge; ``buckets`` are as many as the session's shuffle partitions.
+    file per year, bucket and merge; ``buckets`` are as many as the session's shuffle partitions, or more
+    so that none gets over ``KEYS_A_BUCKET`` of the table's rows, since a merge sorts a bucket in one task.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not buckets:
+        rows = spark.table(table).count()
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // KEYS_A_BUCKET))
     keys = _indexed(fact_in(spark, table), buckets)
     writer = keys.write.mode("overwrite").partitionBy("year")
     writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(key_index(table))
