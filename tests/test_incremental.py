@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from tradeloom.operators import metrics
 from tradeloom.plans import build
 from tradeloom.sources import tables
 
@@ -97,3 +98,46 @@ def test_rows_added_by_others_are_found(spark, databases, fact_of):
     tables.fact_in(spark, f"{database}.{build.COMBINED}").write.saveAsTable(f"{whole}.{SOURCE.format('all')}")
     build.build_all(spark, whole, null_safe=True)
     assert content(spark, database) == content(spark, whole)
+
+
+def test_replaced_partitions_are_written_once(spark, databases, monkeypatch):
+    """Straight into their places, also from the table itself; years without rows are dropped, others stay."""
+    table = f"{databases[0]}.by_year"
+    rows = spark.createDataFrame([(2013, 1), (2015, 2), (2016, 3)], "year int, n int")
+    before = tables.overwrite_table(rows, table, partition_by="year")
+
+    def stored(*_, **__):
+        raise AssertionError("written twice")
+
+    monkeypatch.setattr(tables, "stored", stored)
+    monkeypatch.setattr(tables, "discard", lambda *_: None)
+    kept = files(spark, table, 2013)
+    changed = before.filter("year = 2016").selectExpr("year", "n + 1 AS n")
+    found = tables.replace_partitions(changed, table, "year", [2015, 2016])
+    assert sorted((r.year, r.n) for r in found.collect()) == [(2013, 1), (2016, 4)]
+    assert files(spark, table, 2013) == kept
+    assert sorted(r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()) == ["year=2013", "year=2016"]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_totals_of_added_rows_take_one_shuffle(spark, fact_of):
+    """Rows meet the older totals as they are, so they are not added up by themselves before."""
+    old, new = fact_of(*rows_of([2015, 2016], 7)), fact_of(*rows_of([2016, 2017], 8))
+    expected = sorted(map(str, metrics.country_product_year(old.unionByName(new)).collect()))
+    parts = metrics.country_product_year(old).unionByName(metrics.product_totals_of_rows(new))
+    assert sorted(map(str, metrics.added_product_totals(parts).collect())) == expected
+    assert "Exchange" not in metrics.product_totals_of_rows(new)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_list_of_files_starts_no_python(spark, databases, fact_of, monkeypatch):
+    plans, write = [], tables.overwrite_table
+
+    def noted(df, table, **options):
+        if table.endswith(build.FILES):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, table, **options)
+
+    monkeypatch.setattr(tables, "overwrite_table", noted)
+    load(fact_of, databases[0], "one", rows_of([2015], 9, 20))
+    build.build_all(spark, databases[0], null_safe=True)
+    assert plans and all("RDD" not in plan for plan in plans)

@@ -118,3 +118,13 @@ def test_existing_keys_are_not_gathered_by_year(spark, fact_of, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "BroadcastHashJoin [year" in plan and "LeftSemi" in plan
     assert "SortMergeJoin [year" not in plan
+
+
+def test_keys_are_shuffled_once_in_a_row(fact_of):
+    """The rows that meet the reduced keys carry the key's columns in the struct alone."""
+    found = ingest.new_rows(fact_of(*RAW), [fact_of(*RAW)])
+    join = found._jdf.queryExecution().optimizedPlan().children().head()
+    while join.nodeName() != "Join":
+        join = join.children().head()
+    names = [a.name() for a in (join.left().output().apply(n) for n in range(join.left().output().size()))]
+    assert sorted({*names} - {"_source"}) == ["_key", "coi", "eci", "export_value", "import_value", "pci"]

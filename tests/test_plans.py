@@ -32,6 +32,25 @@ def test_fact_has_one_aggregate_shuffle(spark):
     assert plan.count("Exchange hashpartitioning(a#") == 1
 
 
+def test_fact_is_gathered_by_year_before_its_ends_are_read(spark):
+    """The shuffle by year has a row per pair of countries, not one per end."""
+    plan = plan_of(sample.fact_table(spark, SMALL, by_year=True))
+    # Above stands what comes later.
+    assert plan.index("Generate") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+
+
+def test_small_files_by_default(spark):
+    name = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(name)
+    try:
+        for given, used in (("snappy", "zstd"), ("lz4", "lz4")):
+            spark.conf.set(name, given)
+            workbench(spark, SMALL)
+            assert spark.conf.get(name) == used
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_year_filter_reaches_the_fact_files(bench):
     """Through the rank within a country-year, whose partition keys it is on."""
     plan = plan_of(reports.rpt_top_partners(reports.v_top_trading_partners(bench.fact), 1))

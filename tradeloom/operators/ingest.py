@@ -69,12 +69,14 @@ def new_rows(
     if not null_safe:
         keys = keys.dropna(subset=list(S.FACT_KEYS))
     first = keys.select(key, "_source").groupBy("_key").agg(F.min("_source").alias("_first"))
+    # The key's columns are shuffled in the struct alone, and taken out of it after the join.
+    values = [c for c in S.FACT_COLUMNS if c not in S.FACT_KEYS]
     return (
-        fresh.withColumn("_key", key)
+        fresh.select(key, *values, "_source")
         .join(first, "_key", "left")
         .filter(F.col("_first").isNull() | (F.col("_first") == F.col("_source")))
         # With a NULL in the key, a row that several sources have is new in each of them.
-        .select(*S.FACT_COLUMNS)
+        .select(*[F.col(f"_key.{c}") if c in S.FACT_KEYS else F.col(c) for c in S.FACT_COLUMNS])
     )
 
 

@@ -18,22 +18,33 @@ def country_product_year(fact: DataFrame) -> DataFrame:
     as ``by_product``. Rows combine on the map side, so no country or product, however large,
     sends more than its distinct keys.
     """
+    return added_product_totals(product_totals_of_rows(fact))
+
+
+def product_totals_of_rows(fact: DataFrame) -> DataFrame:
+    """``country_product_year`` of each row by itself, without a shuffle."""
     exports = F.col("export_value")
-    return fact.groupBy("country_id", "product_id", "year").agg(
-        F.max("eci").alias("eci"),
-        F.max("coi").alias("coi"),
-        F.sum("pci").alias("pci_sum"),
-        F.count("pci").alias("pci_rows"),
-        F.sum(exports).alias("export_value"),
-        F.sum("import_value").alias("import_value"),
-        F.sum(exports - F.col("import_value")).alias("trade_balance"),
-        F.count_if(exports > 0).alias("export_rows"),
-        F.sum(F.when(exports > 0, F.lit(1.0) / exports)).alias("inverse_exports"),
+    return fact.select(
+        "country_id",
+        "product_id",
+        "year",
+        "eci",
+        "coi",
+        F.col("pci").alias("pci_sum"),
+        F.col("pci").isNotNull().cast("long").alias("pci_rows"),
+        "export_value",
+        "import_value",
+        (exports - F.col("import_value")).alias("trade_balance"),
+        F.when(exports > 0, 1).otherwise(0).cast("long").alias("export_rows"),
+        F.when(exports > 0, F.lit(1.0) / exports).alias("inverse_exports"),
     )
 
 
 def added_product_totals(parts: DataFrame) -> DataFrame:
-    """``country_product_year`` of a fact from those of its parts: every column is a sum or a maximum."""
+    """``country_product_year`` of a fact from those of its parts: every column is a sum or a maximum.
+
+    A part may be a single row, so rows are added to older totals in one shuffle.
+    """
     maxima = ("eci", "coi")
     keys = ["country_id", "product_id", "year"]
     measures = [c for c in parts.columns if c not in keys]
@@ -42,9 +53,9 @@ def added_product_totals(parts: DataFrame) -> DataFrame:
     )
 
 
-def added_partner_totals(parts: DataFrame) -> DataFrame:
-    """``country_partner_year`` of a fact from those of its parts."""
-    return country_partner_year(parts)
+def partner_totals_of_rows(fact: DataFrame) -> DataFrame:
+    """``country_partner_year`` of each row by itself; ``country_partner_year`` adds them up."""
+    return fact.select("country_id", "partner_country_id", "year", "export_value", "import_value")
 
 
 def country_partner_year(fact: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,10 +155,10 @@ class _Build:
         recent = self.of_years(fact)
 
         by_product = self._totals(
-            BY_PRODUCT, fact, added, simple, metrics.country_product_year, metrics.added_product_totals
+            BY_PRODUCT, fact, added, simple, metrics.product_totals_of_rows, metrics.added_product_totals
         )
         by_partner = self._totals(
-            BY_PARTNER, fact, added, simple, metrics.country_partner_year, metrics.added_partner_totals
+            BY_PARTNER, fact, added, simple, metrics.partner_totals_of_rows, metrics.country_partner_year
         )
         new_product, new_partner = self.of_years(by_product), self.of_years(by_partner)
         country_year = self.keep(
@@ -201,7 +202,10 @@ class _Build:
         self.overwrite("v_global_yearly_metrics", views.v_global_yearly_metrics(country_year))
         self.define_views()
         # Last, so that a build that was broken off is repeated.
-        self.overwrite(FILES, spark.createDataFrame(sorted(files.items()), "year int, digest string"))
+        years, digests = zip(*sorted(files.items())) if files else ((), ())
+        listed = pa.table({"year": pa.array(years, pa.int32()), "digest": pa.array(digests, pa.string())})
+        # From Arrow it is a relation of the plan, which starts no Python workers.
+        self.overwrite(FILES, spark.createDataFrame(listed))
         return self._all_tables()
 
     def _changed_years(self, files: dict[int, str], added: Added | None) -> list[int]:
@@ -223,20 +227,20 @@ class _Build:
         fact: DataFrame,
         added: Added | None,
         simple: list[int],
-        make: Callable[[DataFrame], DataFrame],
+        of_rows: Callable[[DataFrame], DataFrame],
         add_up: Callable[[DataFrame], DataFrame],
     ) -> DataFrame:
+        """Totals of the years to compute; old totals, added rows and the fact's rows meet in one shuffle."""
         if self.years is None:
-            return self.keep(table, make(fact))
+            return self.keep(table, add_up(of_rows(fact)))
         other = [y for y in self.years if y not in simple]
         parts = []
         if simple:
-            old = self.of_years(self.table(table), simple)
-            new = make(self.of_years(added.rows, simple))
-            parts.append(add_up(old.select(new.columns).unionByName(new)))
+            new = of_rows(self.of_years(added.rows, simple))
+            parts += [self.of_years(self.table(table), simple).select(new.columns), new]
         if other:
-            parts.append(make(self.of_years(fact, other)))
-        return self.keep(table, reduce(DataFrame.unionByName, parts))
+            parts.append(of_rows(self.of_years(fact, other)))
+        return self.keep(table, add_up(reduce(DataFrame.unionByName, parts)))
 
     def _growth(
         self,

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..operators import complexity, metrics, reports, views
 from ..sources.shared import bounded_splits, stored
-from ..sources.tables import clustered_by_year
 from . import sample
 
 T = TypeVar("T")
@@ -50,7 +49,7 @@ class Workbench:
     def fact(self) -> DataFrame:
         return self._stored(
             "fact",
-            lambda: clustered_by_year(sample.fact_table(self.spark, self.folder)),
+            lambda: sample.fact_table(self.spark, self.folder, by_year=True),
             partition_by="year",
         )
 

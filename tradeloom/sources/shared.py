@@ -28,6 +28,9 @@ _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 #: One partition for so many bytes of input files. The largest shuffle of a merge has about five times their size.
 INPUT_BYTES_A_PARTITION = 1 << 21
 
+#: The compression of parquet files, Spark's default, and what ``bounded_splits`` makes of that: smaller files.
+_CODEC, _SPARK_CODEC, CODEC = "spark.sql.parquet.compression.codec", "snappy", "zstd"
+
 #: The number of partitions that ``bounded_splits`` has given to a session, by application.
 _partitions: dict[str, str] = {}
 
@@ -46,6 +49,8 @@ def bounded_splits(spark: SparkSession, input_bytes: int = 0) -> None:
         spark.conf.set(_SPLIT, SPLIT_BYTES)
     if spark.conf.get(_ADVISORY) == _SPARK_ADVISORY:
         spark.conf.set(_ADVISORY, SPLIT_BYTES)
+    if spark.conf.get(_CODEC) == _SPARK_CODEC:
+        spark.conf.set(_CODEC, CODEC)
     application = spark.sparkContext.applicationId
     if spark.conf.get(_INITIAL, None) in (None, _partitions.get(application)):
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))

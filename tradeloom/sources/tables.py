@@ -52,20 +52,37 @@ def overwrite_table(df: DataFrame, table: str, *, partition_by: str | None = Non
     return df.sparkSession.table(table)
 
 
+#: Whether an overwriting insert replaces all partitions or those that get rows.
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def replace_partitions(df: DataFrame, table: str, column: str, values: Sequence[int]) -> DataFrame:
     """Puts ``df`` in place of the partitions of ``values``; all of its rows lie in them.
 
-    It is stored first, so it may be made from the table itself, and other partitions are not read.
+    Rows are written once, aside, and take the place of their partitions when all are written. So ``df`` may be made from
+    the table itself, and other partitions are not read. A partition that gets no rows is dropped.
     """
     spark = df.sparkSession
-    rows = stored(df, "partitions")
+    before = _files(spark, table, column, values)
+    mode = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        # The columns of an insert are taken by position.
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, mode)
+    left = _files(spark, table, column, values) & before
     for value in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {value})")
-    rows.write.mode("append").partitionBy(column).saveAsTable(table)
-    discard(rows)
+        if any(f"/{column}={value}/" in file for file in left):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {value})")
     return spark.table(table)
 
 
+def _files(spark: SparkSession, table: str, column: str, values: Sequence[int]) -> set[str]:
+    """Files of the partitions of ``values``; others are not listed."""
+    return set(spark.table(table).where(F.col(column).isin(list(values))).inputFiles())
+
+
 def files_by_year(spark: SparkSession, table: str, *, without: str | None = None) -> dict[int, str]:
     """A digest of the names of each year's files, which change whenever rows are added or rewritten.
 
