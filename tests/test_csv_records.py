@@ -99,3 +99,12 @@ def test_landing_of_parts_with_other_column_orders(spark, tmp_path):
 def test_an_open_quote_ends_with_the_file(spark, tmp_path):
     (tmp_path / "t.csv").write_text('country_id,note\n1,fine\n2,"never\nclosed\n')
     assert sorted(r.country_id for r in raw_csv.csv_rows(spark, str(tmp_path / "t.csv")).collect()) == ["1", "2"]
+
+
+def test_a_record_is_read_once(spark, tmp_path):
+    """Not once for each of its columns: what lies inside of ranges, and what stands at their ends."""
+    path = tmp_path / "t.csv"
+    path.write_text(text_of(["country_id", "note", "year"], soup(3)))
+    found = raw_csv.csv_rows(spark, str(path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == plan.count("MapInArrow") == 2

@@ -55,9 +55,28 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def _stretches():
+    """A function that goes with its code to executors, which need not have this package.
+
+    It gives the stretches of a batch's lines that lie in one range: the range, the first line and the end.
+    """
+
+    def stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
+        files, starts, n = batch.column("file_path"), batch.column("start"), len(batch)
+        other_file = pc.not_equal(files.slice(1), files.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
+        other_start = pc.not_equal(starts.slice(1), starts.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
+        changes = [0, *((other_file | other_start).nonzero()[0] + 1).tolist()] if n else []
+        for at, end in zip(changes, [*changes[1:], n]):
+            yield (files[at].as_py(), starts[at].as_py()), at, end
+
+    return stretches
+
+
 def examine(spark: SparkSession, paths: str | list[str]) -> CsvFiles:
     """Header and quotes of each file, from one pass over all lines; empty files are left out."""
 
+    stretches = _stretches()
+
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, odd_lines, header, in_header = None, 0, [], False
 
@@ -68,14 +87,9 @@ def examine(spark: SparkSession, paths: str | list[str]) -> CsvFiles:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
         for batch in batches:
-            files, starts, lines = batch.columns
+            lines = batch.column("value")
             odd = pc.bit_wise_and(pc.count_substring(lines, '"'), 1).to_numpy(zero_copy_only=False)
-            n = len(batch)
-            other_file = pc.not_equal(files.slice(1), files.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
-            other_start = pc.not_equal(starts.slice(1), starts.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
-            changes = [0, *((other_file | other_start).nonzero()[0] + 1).tolist()] if n else []
-            for at, end in zip(changes, [*changes[1:], n]):
-                here = (files[at].as_py(), starts[at].as_py())
+            for here, at, end in stretches(batch):
                 if here != known:
                     if known:
                         yield row()
@@ -112,65 +126,79 @@ def records(spark: SparkSession, found: CsvFiles) -> DataFrame:
     # One entry per file, as in the list of files.
     header_of = spark.sparkContext.broadcast({file.file_path: numbers[file.header] for file in found.files})
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, quoted, first, header = None, [], False, True, False
-        out: list[tuple[str, int, int, str]] = []
-
-        def emit(part: int, texts: list[str]) -> None:
-            nonlocal header
-            out.extend((*known, part, text) for text in texts[header and bool(texts) :])
-            header = header and not texts
-
-        def close() -> None:
-            # What is held goes on in the next range: the start of a record, or a whole range inside of one.
-            if held:
-                emit(MIDDLE if first and known in starts_inside.value else FIRST, ["\n".join(held)])
-
-        def rows() -> pa.RecordBatch:
-            columns = list(zip(*out)) or [()] * 4
-            columns.append([header_of.value[file] for file in columns[0]])
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-        for batch in batches:
-            files, starts, lines = (batch.column(c).to_pylist() for c in ("file_path", "start", "value"))
-            odd = pc.bit_wise_and(pc.count_substring(batch.column("value"), '"'), 1).to_pylist()
-            at = 0
-            while at < len(lines):
-                if (files[at], starts[at]) != known:
-                    close()
-                    known, held, first = (files[at], starts[at]), [], True
-                    quoted, header = known in starts_inside.value, starts[at] == 0
-                # Up to the next line that turns the state round, or the end of this range or batch.
-                end = at
-                while end < len(lines) and not odd[end] and starts[end] == known[1] and files[end] == known[0]:
-                    end += 1
-                turns = end < len(lines) and starts[end] == known[1] and files[end] == known[0]
-                if not quoted:
-                    emit(WHOLE, lines[at:end])
-                    first = first and end == at
-                    held = [lines[end]] if turns else []
-                else:
-                    held += lines[at : end + turns]
-                    if turns:
-                        emit(LAST if first and known in starts_inside.value else WHOLE, ["\n".join(held)])
-                        held, first = [], False
-                quoted = quoted != turns
-                at = end + turns
+    stretches = _stretches()
+
+    def cutter(ends: bool):
+        """Cuts ranges into records: what stands at their ends, with its place, or all that lies inside."""
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, held, quoted, first, header = None, [], False, True, False
+            out: list[list] = [[] for _ in kinds[ends]]
+
+            def emit(part: int, texts: list[str]) -> None:
+                nonlocal header
+                found = texts[header and bool(texts) :]
+                header = header and not texts
+                if (part != WHOLE) == ends:
+                    place = (*known, part) if ends else ()
+                    for column, value in zip(out, (header_of.value[known[0]], *place)):
+                        column.extend([value] * len(found))
+                    out[-1].extend(found)
+
+            def close() -> None:
+                # What is held goes on in the next range: the start of a record, or a whole range inside of one.
+                if held:
+                    emit(MIDDLE if first and known in starts_inside.value else FIRST, ["\n".join(held)])
+
+            def rows() -> pa.RecordBatch:
+                arrays = [pa.array(c, k) for c, k in zip(out, kinds[ends].values())]
+                return pa.RecordBatch.from_arrays(arrays, names=list(kinds[ends]))
+
+            for batch in batches:
+                column = batch.column("value")
+                lines = column.to_pylist()
+                odd = pc.bit_wise_and(pc.count_substring(column, '"'), 1).to_numpy(zero_copy_only=False)
+                # Lines that turn the state round.
+                turning, number = odd.nonzero()[0].tolist(), 0
+                for here, at, stop in stretches(batch):
+                    if here != known:
+                        close()
+                        known, held, first = here, [], True
+                        quoted, header = known in starts_inside.value, known[1] == 0
+                    while at < stop:
+                        turns = number < len(turning) and turning[number] < stop
+                        end = turning[number] if turns else stop
+                        if not quoted:
+                            emit(WHOLE, lines[at:end])
+                            first = first and end == at
+                            held = [lines[end]] if turns else []
+                        else:
+                            held += lines[at : end + turns]
+                            if turns:
+                                emit(LAST if first and known in starts_inside.value else WHOLE, ["\n".join(held)])
+                                held, first = [], False
+                        quoted = quoted != turns
+                        at, number = end + turns, number + turns
+                yield rows()
+                for values in out:
+                    values.clear()
+            if known:
+                close()
             yield rows()
-            out.clear()
-        if known:
-            close()
-        yield rows()
 
-    names = ["file_path", "start", "part", "record", "header"]
-    cut_up = _lines(spark, found.paths).mapInArrow(cut, "file_path string, start long, part int, record string, header int")
+        return cut
+
+    place = {"file_path": pa.string(), "start": pa.int64(), "part": pa.int32()}
+    kinds = {
+        ends: {"header": pa.int32(), **(place if ends else {}), "record": pa.string()} for ends in (False, True)
+    }
+    lines = _lines(spark, found.paths)
     # At most two parts per range.
-    parts = cut_up.where(F.col("part") != WHOLE)
+    parts = lines.mapInArrow(cutter(True), "header int, file_path string, start long, part int, record string")
     in_file = Window.partitionBy("file_path").orderBy("start", "part")
     numbered = parts.withColumn("number", F.sum((F.col("part") == FIRST).cast("int")).over(in_file))
     listed = F.array_sort(F.collect_list(F.struct("start", "part", "record")))
     texts = F.transform(listed, lambda p: p["record"])
     joined = numbered.groupBy("file_path", "number", "header").agg(F.array_join(texts, "\n").alias("record"))
-    whole = cut_up.where(F.col("part") == WHOLE)
-    return whole.select("header", "record").unionByName(joined.select("header", "record"))
+    whole = lines.mapInArrow(cutter(False), "header int, record string")
+    return whole.unionByName(joined.select("header", "record"))

@@ -95,6 +95,11 @@ def _names(header: str) -> list[str]:
     return next(csv.reader([header.lstrip("\ufeff").removesuffix("\r")]))
 
 
+def _by_name(parsed: Column, names: list[str], every: list[str]) -> Column:
+    """The fields of a record as a list in the order of ``every``."""
+    return F.array(*[parsed[f"c{names.index(n)}"] if n in names else F.lit(None).cast("string") for n in every])
+
+
 def _parsed(rows: DataFrame, headers: list[str]) -> DataFrame:
     """Columns of all headers, each record read by its own one."""
     every = list(dict.fromkeys(name for header in headers for name in _names(header)))
@@ -105,13 +110,10 @@ def _parsed(rows: DataFrame, headers: list[str]) -> DataFrame:
             record = F.regexp_replace(record, "\r(\n|$)", "$1")
         names = _names(header)
         ddl = ", ".join(f"c{n} string" for n in range(len(names)))
-        parsed = F.from_csv(record, ddl, CSV_OPTIONS)
-        by_name = [
-            parsed[f"c{names.index(name)}"] if name in names else F.lit(None).cast("string")
-            for name in every
-        ]
-        as_list = F.array(*by_name)
-        values = F.when(F.col("header") == number, as_list).otherwise(values)
+        # As the value of a variable the record is read once; a reference to each field would read it for each column.
+        parsed = F.array(F.from_csv(record, ddl, CSV_OPTIONS))
+        as_lists = F.transform(parsed, lambda p: _by_name(p, names, every))
+        values = F.when(F.col("header") == number, as_lists[0]).otherwise(values)
     # Empty lines are no records.
     read = rows.where(F.trim("record") != "").select(values.alias("v"))
     return read.select(*[F.get("v", n).alias(name) for n, name in enumerate(every)])
