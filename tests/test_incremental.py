@@ -141,3 +141,68 @@ def test_the_list_of_files_starts_no_python(spark, databases, fact_of, monkeypat
     load(fact_of, databases[0], "one", rows_of([2015], 9, 20))
     build.build_all(spark, databases[0], null_safe=True)
     assert plans and all("RDD" not in plan for plan in plans)
+
+
+def merged_rows(monkeypatch):
+    """Collects how many rows of each source reach a merge."""
+    counts, append = [], tables.append_new
+
+    def counted(spark, table, *sources, **options):
+        counts.append([rows.count() for rows in sources])
+        return append(spark, table, *sources, **options)
+
+    monkeypatch.setattr(tables, "append_new", counted)
+    return counts
+
+
+def fact_rows(spark, database):
+    return sorted(map(repr, tables.fact_in(spark, f"{database}.{build.COMBINED}").collect()))
+
+
+def test_unchanged_sources_are_not_merged_again(spark, databases, fact_of, monkeypatch):
+    check_unchanged(spark, databases, fact_of, monkeypatch, null_safe=True)
+
+
+def test_unchanged_sources_leave_their_rows_without_a_whole_key(spark, databases, fact_of, monkeypatch):
+    check_unchanged(spark, databases, fact_of, monkeypatch, null_safe=False)
+
+
+def check_unchanged(spark, databases, fact_of, monkeypatch, null_safe):
+    """Only rows that match nothing are merged again, and the fact is that of a whole merge."""
+    database, whole = databases
+    first, second = rows_of([2015, 2016], 11), rows_of([2016, 2017], 12)
+    counts = merged_rows(monkeypatch)
+    for name in databases:
+        load(fact_of, name, "one", first)
+        build.build_combined(spark, name, null_safe=null_safe)
+        load(fact_of, name, "two", second)
+    spark.sql(f"DROP TABLE {whole}.{build.MERGED}")
+    for name in databases:
+        build.build_combined(spark, name, null_safe=null_safe)
+    unkeyed = 0 if null_safe else sum(row[1] is None for row in first)
+    assert counts == [[unkeyed, len(second)], [len(first), len(second)]]
+    assert fact_rows(spark, database) == fact_rows(spark, whole)
+
+
+def test_changed_sources_or_facts_are_merged_in_whole(spark, databases, fact_of, monkeypatch):
+    database = databases[0]
+    rows, target = rows_of([2015, 2016], 13), f"{databases[0]}.{build.COMBINED}"
+    load(fact_of, database, "one", rows)
+    build.build_combined(spark, database, null_safe=True)
+    counts = merged_rows(monkeypatch)
+    # Rows appended to the source.
+    more = rows_of([2018], 14)
+    fact_of(*more).write.mode("append").saveAsTable(f"{database}.{SOURCE.format('one')}")
+    build.build_combined(spark, database, null_safe=True)
+    whole = fact_rows(spark, database)
+    assert len(whole) == len(rows) + len(more)
+    # Rows taken from the fact come back.
+    spark.sql(f"ALTER TABLE {target} DROP PARTITION (year = 2016)")
+    build.build_combined(spark, database, null_safe=True)
+    assert fact_rows(spark, database) == whole
+    # A view may change without its files.
+    spark.sql(f"CREATE VIEW {database}.{SOURCE.format('view')} AS SELECT * FROM {database}.{SOURCE.format('one')}")
+    build.build_combined(spark, database, null_safe=True)
+    build.build_combined(spark, database, null_safe=True)
+    n = len(rows) + len(more)
+    assert counts == [[n], [n], [0, n], [0, n]]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,11 +64,19 @@ def _splitters(value: str) -> Column:
     return F.array_distinct(F.percentile_approx(value, [n / PIECES for n in range(1, PIECES)]))
 
 
-def _bin(value: Column, splitters: Column) -> Column:
-    """Odd for a splitter's value, even for the interval below the next one; -1 for NULL."""
-    below = F.array_position(F.sort_array(F.array_append(splitters, value)), value) - 1
-    number = 2 * below + F.array_contains(splitters, value).cast("int")
-    return F.when(value.isNull(), -1).otherwise(number.cast("int"))
+def _with_bin(df: DataFrame, name: str, value: str, splitters: str, most: int = PIECES - 1) -> DataFrame:
+    """Adds the bin of ``value``: odd for a splitter's value, even for the interval below the next one; -1 for NULL.
+
+    The column ``splitters`` holds at most ``most`` values in ascending order. Each step of the binary search is a
+    projection of its own, so that the generated code stays short.
+    """
+    v, below = F.col(value), F.col("_below")
+    found = df.withColumn("_below", F.lit(0))
+    for step in (1 << n for n in reversed(range(most.bit_length()))):
+        smaller = F.get(splitters, below + (step - 1)) < v
+        found = found.withColumn("_below", F.when(smaller, below + step).otherwise(below))
+    equal = F.when(F.get(splitters, below) == v, 1).otherwise(0)
+    return found.withColumn(name, F.when(v.isNull(), -1).otherwise(2 * below + equal)).drop("_below")
 
 
 def _local(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -103,10 +112,9 @@ def bins_of(
     table = _local(df.sparkSession, listed, schema)
     # One row per group.
     joined = df.join(F.broadcast(table), _same((df[g], table[f"_{g}"]) for g in group))
-    each = [
-        F.struct(F.lit(n).alias("_column"), _bin(F.col(c), F.col(f"_s{n}")).alias("_bin"))
-        for n, c in enumerate(columns)
-    ]
+    for n, c in enumerate(columns):
+        joined = _with_bin(joined, f"_b{n}", c, f"_s{n}")
+    each = [F.struct(F.lit(n).alias("_column"), F.col(f"_b{n}").alias("_bin")) for n in range(len(columns))]
     binned = joined.select(*group, w.alias("_w"), F.inline(F.array(*each)))
     counted = binned.groupBy(*group, "_column", "_bin").agg(F.sum("_w").alias("w"), F.count("*").alias("n"))
     found = {key[:n_keys]: Bins(r["_total"], {}, {c: [] for c in columns}) for r, key in zip(rows, listed)}
@@ -167,8 +175,8 @@ class _Order:
 
     def _counted(self, brackets: list[_Bracket], level: int, splitters: list[list]) -> dict[int, list]:
         """(bin, weight, rows) of each bracket's bins in their order."""
-        number = _bin(F.col(self.order[level]), F.col("_splitters")).alias("bin")
-        found = self._in(brackets, level, splitters).groupBy("_id", number)
+        inside = self._in(brackets, level, splitters)
+        found = _with_bin(inside, "bin", self.order[level], "_splitters").groupBy("_id", "bin")
         bins: dict[int, list] = {}
         for row in found.agg(F.sum("_w").alias("weight"), F.count(F.lit(1)).alias("n")).collect():
             bins.setdefault(row["_id"], []).append((row["bin"], row["weight"], row["n"]))
@@ -282,14 +290,17 @@ def between_positions(
     by_group: dict[tuple, list] = {}
     for hit in located:
         by_group.setdefault(hit.group, []).append((hit.position, hit.key, hit.before))
-    listed = [(*g, b.total, [_named(bound, hit) for hit in by_group.get(g, [])]) for g, b in bins.items()]
+    # In the order of positions, which is that of keys.
+    listed = [(*g, b.total, [_named(bound, hit) for hit in sorted(by_group.get(g, []), key=itemgetter(0))]) for g, b in bins.items()]
     table = _local(df.sparkSession, listed, schema)
-    key = F.struct(*order)
-    covering = F.filter("_bounds", lambda b: b["key"] == key)
-    passed = F.array_max(F.transform(F.filter("_bounds", lambda b: b["key"] < key), lambda b: b["end"]))
-    before = F.coalesce(F.get(covering, 0)["before"], passed, F.lit(0).cast("long"))
     joined = df.join(F.broadcast(table), _same((df[g], table[f"_{g}"]) for g in group))
-    return joined.withColumn("before", before).drop("_bounds", *[f"_{g}" for g in group])
+    keyed = joined.withColumn("_key", F.struct(*order)).withColumn("_ends", F.col("_bounds")["key"])
+    binned = _with_bin(keyed, "_bin", "_key", "_ends", max((len(hits) for hits in by_group.values()), default=0))
+    # The bound in the row itself, else the last one that it lies beyond.
+    at = F.floor(F.col("_bin") / 2).cast("int")
+    covering, passed = F.get("_bounds", at)["before"], F.get("_bounds", at - 1)["end"]
+    before = F.coalesce(F.when(F.col("_bin") % 2 == 1, covering), passed, F.lit(0).cast("long"))
+    return binned.withColumn("before", before).drop("_bounds", "_key", "_ends", "_bin", *[f"_{g}" for g in group])
 
 
 def _named(kind: T.StructType, values: tuple) -> dict:
@@ -326,7 +337,7 @@ def with_rank(
     table = _local(df.sparkSession, listed, schema)
     # One row per group.
     joined = df.join(F.broadcast(table), _same((df[g], table[f"_{g}"]) for g in group))
-    binned = joined.withColumn("_bin", _bin(F.col(value), F.col("_splitters")))
+    binned = _with_bin(joined, "_bin", value, "_splitters")
     one_value = F.col("_bin") % 2 != 0
     dealt = F.when(one_value, F.pmod(F.xxhash64(*df.columns), F.lit(PIECES)))
     inside = Window.partitionBy(*group, "_bin", "_dealt").orderBy(F.col(value).desc())

@@ -80,6 +80,13 @@ def new_rows(
     )
 
 
+def unkeyed_rows(raw: DataFrame, *, null_safe: bool = False) -> DataFrame:
+    """Rows of ``raw`` that ``new_rows`` compares with nothing: all that it adds when every key of ``raw`` is known."""
+    if null_safe:
+        return raw.filter(F.lit(False))
+    return raw.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in S.FACT_KEYS]))
+
+
 def row_key() -> Column:
     """A hash of a row's key; rows of one key share it, and few others do."""
     return F.xxhash64(*S.FACT_KEYS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -46,6 +47,8 @@ def build_combined(
 ) -> DataFrame:
     """Create the fact table from all source tables, or merge them into it when it has rows.
 
+    Of a source table that has not changed since it was merged, the keys are in the fact, so none of its rows
+    would be added but those that match nothing (NULL in the key, without ``null_safe``): only these are merged.
     With ``levels``, source tables of these numbers of digits are reconciled; since a finer row
     changes what remains of a coarser one, the fact is then written anew each time.
     """
@@ -71,10 +74,45 @@ def _combine(
     sources = [spark.table(f"{database}.{name}") for name in names]
     # A year without rows has no files.
     before = tables.files_by_year(spark, target) if spark.catalog.tableExists(target) else {}
+    states = {name: tables.table_state(spark, f"{database}.{name}") for name in names}
     if not before:
         tables.write_fact_table(ingest.combined_trade_data(sources), target)
+        _remember(spark, database, states)
         return None
-    return Added(tables.append_new(spark, target, *sources, null_safe=null_safe), before)
+    merged = _merged(spark, database, before)
+    sources = [
+        ingest.unkeyed_rows(rows, null_safe=null_safe) if states[name] and merged.get(name) == states[name] else rows
+        for name, rows in zip(names, sources)
+    ]
+    added = Added(tables.append_new(spark, target, *sources, null_safe=null_safe), before)
+    _remember(spark, database, merged | states)
+    return added
+
+
+#: The source tables that the fact has been merged from, each with its state and the fact's files after that.
+MERGED = "merged_sources"
+
+
+def _remember(spark: SparkSession, database: str, states: dict[str, str | None]) -> None:
+    """Written after the rows, so that a merge that was broken off is repeated."""
+    fact = _digest(tables.files_by_year(spark, f"{database}.{COMBINED}"))
+    rows = sorted((name, state, fact) for name, state in states.items() if state)
+    columns = ("source", "state", "fact")
+    listed = pa.table({c: pa.array([r[n] for r in rows], pa.string()) for n, c in enumerate(columns)})
+    tables.overwrite_table(spark.createDataFrame(listed), f"{database}.{MERGED}")
+
+
+def _merged(spark: SparkSession, database: str, files: dict[int, str]) -> dict[str, str]:
+    """States of source tables all of whose keys are in the fact; none when anything else has changed the fact."""
+    table = f"{database}.{MERGED}"
+    if not spark.catalog.tableExists(table):
+        return {}
+    fact = _digest(files)
+    return {r["source"]: r["state"] for r in spark.table(table).collect() if r["fact"] == fact}
+
+
+def _digest(files: dict[int, str]) -> str:
+    return hashlib.md5(repr(sorted(files.items())).encode()).hexdigest()
 
 
 def _reconciled(spark: SparkSession, database: str, levels: Sequence[int]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,28 @@ def files_by_year(spark: SparkSession, table: str, *, without: str | None = None
     return {y: hashlib.md5("\n".join(sorted(n)).encode()).hexdigest() for y, n in names.items()}
 
 
+#: Formats in which a table's rows follow from its files alone.
+_PLAIN = ("parquet", "orc", "json", "csv")
+
+
+def table_state(spark: SparkSession, table: str) -> str | None:
+    """A digest of a table's columns and of its files' names, sizes and times; None where it does not follow from files.
+
+    A view may be defined anew over the same files, so it has none, nor has a table without files.
+    """
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if detail["Type"] == "VIEW" or detail.get("Provider", "").lower() not in _PLAIN:
+        return None
+    rows = spark.table(table)
+    files = [unquote(file) for file in rows.inputFiles()]
+    if not files or any(re.search(r"[*?{}\[\]\\]", file) for file in files):
+        return None
+    # The files are listed, not read.
+    listed = spark.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
+    state = [rows.schema.json(), *sorted(repr(tuple(r)) for r in listed.collect())]
+    return hashlib.md5("\n".join(state).encode()).hexdigest()
+
+
 def clustered_by_year(fact: DataFrame) -> DataFrame:
     """Rows laid out for a table partitioned by year and sorted by country and product.
 
