@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,14 @@ def test_keys_are_shuffled_once_in_a_row(fact_of):
         join = join.children().head()
     names = [a.name() for a in (join.left().output().apply(n) for n in range(join.left().output().size()))]
     assert sorted({*names} - {"_source"}) == ["_key", "coi", "eci", "export_value", "import_value", "pci"]
+
+
+def test_known_keys_do_not_meet_the_rows(fact_of):
+    """Only keys that are new go into the join, for whole and for missing keys alike."""
+    for null_safe in (False, True):
+        found = ingest.new_rows(fact_of(*RAW), [fact_of(*RAW, (2, 3, 10, 2015, 7.0, 1.0))], null_safe=null_safe)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"\(_first#\d+ > 0\)", plan[plan.index("Join "):])
+        expected = [(1, None, 16, 2015), (2, 3, 10, 2015)]
+        # The existing rows have no 2,3; a row without a partner is known only as a key value.
+        assert keys(found) == (expected[1:] if null_safe else expected)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import random
 
 import pytest
@@ -110,3 +111,12 @@ def test_nothing_is_sorted_whole(spark):
     assert "Exchange rangepartitioning" not in plan and "Sort " not in plan and "Window" not in plan
     ranks = with_rank(df, ["year"], "value", "place")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in ranks
+
+
+def test_bins_by_binary_search(spark):
+    """As by bisection of the splitters, for any number of them; NULL has a bin of its own."""
+    lists = [[], [1.0], [-2.0, 0.0, 3.5], [float(n) for n in range(63)]]
+    values = [None, -3.0, -2.0, 0.0, 0.5, 1.0, 3.5, 31.0, 61.5, 62.0, 99.0]
+    rows = spark.createDataFrame([(v, s) for v in values for s in lists], "v double, s array<double>")
+    for v, s, number in selection._with_bin(rows, "number", "v", "s").collect():
+        assert number == (-1 if v is None else bisect.bisect_left(s, v) * 2 + (v in s))

@@ -55,26 +55,31 @@ def new_rows(
     tagged = [
         _valid_rows(raw, min_year).withColumn("_source", F.lit(n)) for n, raw in enumerate(sources, 1)
     ]
+    rows = reduce(DataFrame.unionByName, tagged)
     # Copies collapse here, before rows of one key meet.
-    fresh = reduce(DataFrame.unionByName, tagged).distinct()
+    fresh = rows.distinct()
     # A struct equals another one with NULLs in the same places, so the reduction and the join are
-    # on one expression and share a partitioning.
-    key = F.struct(*S.FACT_KEYS).alias("_key")
+    # on one expression and share a partitioning. What tells most keys apart comes first.
+    key = F.struct(*sorted(S.FACT_KEYS, key="product_id".__ne__)).alias("_key")
     # Where ``existing`` is partitioned by year, other years are not read. One row per year; left to
     # itself, Spark expects as many as there are rows and shuffles ``existing`` by year, which puts
     # all keys of a year in one task.
-    years = F.broadcast(fresh.select("year").distinct())
+    years = F.broadcast(rows.select("year").distinct())
     seen = existing.join(years, "year", "left_semi").select(*S.FACT_KEYS, F.lit(0).alias("_source"))
-    keys = seen.unionByName(fresh.select(*S.FACT_KEYS, "_source"))
+    keys = seen.unionByName(rows.select(*S.FACT_KEYS, "_source"))
     if not null_safe:
         keys = keys.dropna(subset=list(S.FACT_KEYS))
     first = keys.select(key, "_source").groupBy("_key").agg(F.min("_source").alias("_first"))
+    # Only new keys meet the rows; a row without a whole key is new by itself.
+    # Not an equality of two columns, which would become one more key of the join.
+    of_first = F.col("_first").bitwiseXOR(F.col("_source")) == 0
+    unkeyed = reduce(lambda a, b: a | b, [F.col(f"_key.{c}").isNull() for c in S.FACT_KEYS])
     # The key's columns are shuffled in the struct alone, and taken out of it after the join.
     values = [c for c in S.FACT_COLUMNS if c not in S.FACT_KEYS]
     return (
         fresh.select(key, *values, "_source")
-        .join(first, "_key", "left")
-        .filter(F.col("_first").isNull() | (F.col("_first") == F.col("_source")))
+        .join(first.filter(F.col("_first") > 0), "_key", "left")
+        .filter(of_first if null_safe else of_first | unkeyed)
         # With a NULL in the key, a row that several sources have is new in each of them.
         .select(*[F.col(f"_key.{c}") if c in S.FACT_KEYS else F.col(c) for c in S.FACT_COLUMNS])
     )

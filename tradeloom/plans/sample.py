@@ -87,20 +87,21 @@ def fact_table(spark: SparkSession, folder: str, *, by_year: bool = False) -> Da
         .agg(F.sum("a_to_b").alias("a_to_b"), F.sum("b_to_a").alias("b_to_a"))
     )
 
-    def end(country: str, partner: str, exports: str, imports: str) -> Column:
-        return F.struct(
-            F.col(country).alias("country_id"),
-            F.col(partner).alias("partner_country_id"),
-            F.col(exports).cast("double").alias("export_value"),
-            F.col(imports).cast("double").alias("import_value"),
-        )
+    def read(from_a: str, from_b: str) -> Column:
+        return F.when(F.col("end") == 0, F.col(from_a)).otherwise(F.col(from_b))
 
-    ends = F.explode(F.array(end("a", "b", "a_to_b", "b_to_a"), end("b", "a", "b_to_a", "a_to_b")))
     if by_year:
         pairs = pairs.hint("rebalance", F.col("year"))
     fact = (
-        pairs.select("product_id", "year", ends.alias("end"))
-        .select("product_id", "year", "end.*")
+        pairs.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("end"))
+        .select(
+            "product_id",
+            "year",
+            read("a", "b").alias("country_id"),
+            read("b", "a").alias("partner_country_id"),
+            read("a_to_b", "b_to_a").cast("double").alias("export_value"),
+            read("b_to_a", "a_to_b").cast("double").alias("import_value"),
+        )
         .filter(F.col("country_id").isNotNull())
         .withColumn("eci", _index(F.col("country_id"), 37, 11, 101, 50))
         .withColumn("coi", _index(F.col("country_id"), 53, 29, 103, 51))
