@@ -147,3 +147,15 @@ def test_repeated_ids_lose_no_text(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     found = sorted((r.doc_id, r.text) for r in pipeline.near_copies(spark, docs, "").collect())
     assert found == sorted([(7, first), (7, other), (8, third)])
+
+
+def test_rows_without_an_id_are_compared(spark):
+    """A row without an id goes when it is a copy of another row, with an id or without one; null texts stay."""
+    first, other, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(None, first), (7, first), (None, f"{first} end"), (None, other), (None, f"{other} end"), (None, other), (8, third), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = pipeline.near_copies(spark, docs, "").collect()
+    of = lambda word: [(r.doc_id, r.text) for r in found if r.text and r.text.startswith(word)]
+    assert of("a0 ") == [(7, first)] and of("c0 ") == [(8, third)]
+    assert [i for i, _ in of("b0 ")] == [None]
+    assert len(found) == 5 and sum(r.text is None for r in found) == 2
