@@ -141,3 +141,19 @@ def test_known_keys_do_not_meet_the_rows(fact_of):
         expected = [(1, None, 16, 2015), (2, 3, 10, 2015)]
         # The existing rows have no 2,3; a row without a partner is known only as a key value.
         assert keys(found) == (expected[1:] if null_safe else expected)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("known_years", [[], [2015], [2015, 2016], [2014, 2015, 2016, 2017]])
+def test_years_without_rows_need_no_comparison(fact_of, null_safe, known_years):
+    """The same rows, whichever years are said to be known, as long as those of the existing rows are among them."""
+    old = [(1, 2, 3, 2015, 1, 0), (1, None, 3, 2015, 1, 0)] if known_years else []
+    new = [
+        (1, 2, 3, 2015, 9, 0), (1, None, 3, 2015, 9, 0), (4, 2, 3, 2015, 5, 0), (1, 2, 3, 2016, 1, 0), (1, 2, 3, 2016, 1, 0),
+        (1, 2, 3, 2016, 7, 0), (1, None, 3, 2016, 1, 0), (1, None, 3, 2016, 1, 0), (1, 2, 3, 2011, 1, 0), (1, 2, 3, None, 1, 0),
+        (1, 2, 3, 2016, -1, 0), (1, 2, 3, 2017, None, 0), (None, 2, 3, 2018, 3, 0),
+    ]
+    existing, raw = fact_of(*old), fact_of(*new)
+    rows = lambda df: sorted(map(str, df.collect()))
+    found = rows(ingest.new_rows(existing, [raw], null_safe=null_safe, known_years=known_years))
+    assert found == rows(ingest.new_rows(existing, [raw], null_safe=null_safe)) and found

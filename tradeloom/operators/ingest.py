@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +43,7 @@ def new_rows(
     *,
     null_safe: bool = False,
     min_year: int = S.MIN_YEAR,
+    known_years: Collection[int] | None = None,
 ) -> DataFrame:
     """Cleaned rows of ``sources`` that an insert-only merge, source by source, adds to ``existing``.
 
@@ -50,8 +51,17 @@ def new_rows(
     supplies its rows. By default a NULL in the key matches nothing, so such rows come out on every
     run; ``null_safe=True`` treats NULL as a key value. All sources are compared in one pass: the
     keys of the existing rows and of all sources are reduced to the first that has each, in one
-    shuffle, and rows are kept where that is their own source.
+    shuffle, and rows are kept where that is their own source. ``known_years`` may give the years, or
+    more, that ``existing`` has rows of: a single source's rows of other years are new without comparison.
     """
+    if known_years is not None and len(sources) == 1:
+        (raw,) = sources
+        if not known_years:
+            return clean_source(raw, min_year=min_year)
+        # A row without a year is not valid.
+        known = F.col("year").isin(sorted(known_years))
+        compared = new_rows(existing, [raw.filter(known)], null_safe=null_safe, min_year=min_year)
+        return clean_source(raw.filter(~known), min_year=min_year).unionByName(compared)
     tagged = [
         _valid_rows(raw, min_year).withColumn("_source", F.lit(n)) for n, raw in enumerate(sources, 1)
     ]

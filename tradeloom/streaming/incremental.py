@@ -10,6 +10,7 @@ from .. import schema as S
 from ..operators.ingest import clean_source
 from ..sources import tables
 from ..sources.raw_csv import typed
+from ..sources.shared import discard, stored
 
 
 def landed_files(
@@ -52,7 +53,10 @@ def ingest_new_files(
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if tables.table_status(session, table)[1]:
-            tables.merge_into(session, table, batch, null_safe=null_safe)
+            # Read once: text would be parsed again for each step of the merge.
+            landed = stored(batch, "landed")
+            tables.merge_into(session, table, landed, null_safe=null_safe)
+            discard(landed)
         else:
             tables.write_fact_table(clean_source(batch), table)
 

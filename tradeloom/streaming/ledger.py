@@ -59,17 +59,20 @@ def add_batch(
     if is_done(spark, table, batch):
         return None
     _create(spark, table)
+    # Read once: text would be parsed again for each step below.
+    landed = stored(rows.select(*S.FACT_COLUMNS, FILE), "landed")
     others = spark.table(table).where(F.col(BATCH) != batch).select(*S.FACT_COLUMNS)
-    fresh = stored(new_rows(others, [rows], null_safe=null_safe), "batch")
     # The rows of a first attempt may be in the totals already; they are not those of other batches.
     before = tables.files_by_year(spark, table, without=f"/{BATCH}={batch}/")
+    fresh = stored(new_rows(others, [landed], null_safe=null_safe, known_years=before), "batch")
     # With the batch given, all that lies below its folder is replaced, and nothing else.
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{batch}', year) SELECT * FROM {{rows}}",
         rows=tables.clustered_by_year(fresh).select(*_VALUES, "year"),
     )
-    files = rows.select(F.lit(batch).alias(BATCH), F.col(FILE)).distinct().coalesce(1)
+    files = landed.select(F.lit(batch).alias(BATCH), F.col(FILE)).distinct().coalesce(1)
     files.write.mode("append").insertInto(ledger_of(table))
+    discard(landed)
     return build.Added(fresh, before)
 
 
