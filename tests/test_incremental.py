@@ -206,3 +206,26 @@ def test_changed_sources_or_facts_are_merged_in_whole(spark, databases, fact_of,
     build.build_combined(spark, database, null_safe=True)
     n = len(rows) + len(more)
     assert counts == [[n], [n], [0, n], [0, n]]
+
+
+def test_only_years_of_the_fact_are_compared(spark, databases, fact_of, monkeypatch):
+    """A single changed source meets the years that the fact has files of, and no unchanged source beside it."""
+    database, calls, found = databases[0], [], tables.new_rows
+
+    def noted(existing, sources, **options):
+        calls.append((len(sources), options["known_years"]))
+        return found(existing, sources, **options)
+
+    monkeypatch.setattr(tables, "new_rows", noted)
+    load(fact_of, database, "one", rows_of([2015, 2016], 15))
+    build.build_combined(spark, database, null_safe=True)
+    load(fact_of, database, "two", rows_of([2016, 2017], 16))
+    build.build_combined(spark, database, null_safe=True)
+    build.build_combined(spark, database, null_safe=True)
+    assert calls == [(1, {2015, 2016}), (1, {2015, 2016, 2017})]
+
+
+def test_a_fact_without_partitions_is_compared_in_whole(spark, databases, fact_of):
+    name = f"{databases[0]}.plain"
+    fact_of((1, 2, 3, 2020, 9, 9)).write.saveAsTable(name)
+    assert tables.years_with_files(spark, name) is None

@@ -80,11 +80,13 @@ def _combine(
         _remember(spark, database, states)
         return None
     merged = _merged(spark, database, before)
+    unchanged = [n for n, name in enumerate(names) if states[name] and merged.get(name) == states[name]]
     sources = [
-        ingest.unkeyed_rows(rows, null_safe=null_safe) if states[name] and merged.get(name) == states[name] else rows
-        for name, rows in zip(names, sources)
+        ingest.unkeyed_rows(rows, null_safe=null_safe) if n in unchanged else rows for n, rows in enumerate(sources)
     ]
-    added = Added(tables.append_new(spark, target, *sources, null_safe=null_safe), before)
+    # With NULL as a value of the key nothing is left of an unchanged source.
+    empty = unchanged if null_safe else ()
+    added = Added(tables.append_new(spark, target, *sources, null_safe=null_safe, empty=empty), before)
     _remember(spark, database, merged | states)
     return added
 

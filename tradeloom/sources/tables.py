@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +97,13 @@ def files_by_year(spark: SparkSession, table: str, *, without: str | None = None
     return {y: hashlib.md5("\n".join(sorted(n)).encode()).hexdigest() for y, n in names.items()}
 
 
+def years_with_files(spark: SparkSession, table: str) -> set[int] | None:
+    """The years that a table has files of, and so all that it has rows of; None if it is not partitioned by year."""
+    if "year" not in {c.name for c in spark.catalog.listColumns(table) if c.isPartition}:
+        return None
+    return set(files_by_year(spark, table))
+
+
 #: Formats in which a table's rows follow from its files alone.
 _PLAIN = ("parquet", "orc", "json", "csv")
 
@@ -190,19 +197,26 @@ def _indexed(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def append_new(
-    spark: SparkSession, table: str, *sources: DataFrame, null_safe: bool = False
+    spark: SparkSession,
+    table: str,
+    *sources: DataFrame,
+    null_safe: bool = False,
+    empty: Collection[int] = (),
 ) -> DataFrame:
     """Append the cleaned rows of ``sources`` whose key is not in ``table`` or an earlier source.
 
     The rows that were added are returned, as a stored table. A key index is used and kept up; after a
-    merge that was broken off between the two it must be written again.
+    merge that was broken off between the two it must be written again. ``empty`` may give the places of
+    sources that are known to have no rows.
     """
+    sources = tuple(rows for n, rows in enumerate(sources) if n not in empty) or sources[:1]
     index = key_index(table)
     if spark.catalog.tableExists(index):
         known = spark.table(index)
         found = new_rows_by_index(known, sources, null_safe=null_safe)
     else:
-        known, found = None, new_rows(fact_in(spark, table), sources, null_safe=null_safe)
+        known, years = None, years_with_files(spark, table)
+        found = new_rows(fact_in(spark, table), sources, null_safe=null_safe, known_years=years)
     fresh = stored(found, "fresh")
     clustered_by_year(fresh).write.mode("append").partitionBy("year").saveAsTable(table)
     if known is not None:
